@@ -135,6 +135,7 @@ BALANCED_ROWS = 300
 VALIDATION_SHARE = 0.2
 MAX_FEATURES = 12000
 MAX_ITERATIONS = 1000
+TOLERANCE = 1e-4
 SAFE_DOMAINS = [
     "google.com", "youtube.com", "wikipedia.org", "github.com", "python.org",
     "apple.com", "microsoft.com", "amazon.com", "nytimes.com", "cnn.com",

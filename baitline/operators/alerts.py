@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import first_text
-from baitline.plans.scale import with_neighbour
+from baitline.plans.scale import filter_late, with_neighbour
 
 
 def badge(verdicts: DataFrame) -> DataFrame:
@@ -22,8 +22,8 @@ def badge(verdicts: DataFrame) -> DataFrame:
 
 def alert_rows(verdicts: DataFrame) -> DataFrame:
     """Medium and high verdicts on web pages, with the text of their alert."""
-    due = verdicts.filter((F.col("page_source") == "webpage")
-                          & F.col("risk_level").isin("medium", "high"))
+    on_pages = verdicts.filter(F.col("page_source") == "webpage")
+    due = filter_late(on_pages, F.col("risk_level").isin("medium", "high"))
     level = F.upper("risk_level")
     source = first_text(F.col("subject"), F.col("sender_name"), F.col("sender_email"),
                         F.lit(fv.ALERT_FALLBACK_SOURCE))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import blank_if_null
-from baitline.plans.scale import with_neighbour
+from baitline.plans.scale import filter_late, with_neighbour
 
 
 def capture_filter(captures: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def capture_filter(captures: DataFrame) -> DataFrame:
               ("sender_email", "subject", "body_text")]
     short = (F.coalesce(F.col("page_source"), F.lit("")) == "webpage") & (
         F.length("body_text") < fv.MIN_PAGE_CHARS)
-    return captures.filter(filled[0] & filled[1] & filled[2] & ~short)
+    return filter_late(captures, filled[0] & filled[1] & filled[2] & ~short)
 
 
 def fingerprint_of(sender: Column, subject: Column, body: Column, urls: Column) -> Column:

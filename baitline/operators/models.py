@@ -65,7 +65,7 @@ def logistic_regression(n_rows: int) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="features", labelCol="label", weightCol="weight", predictionCol="y_pred",
         regParam=1.0 / n_rows, elasticNetParam=0.0, standardization=False,
-        maxIter=fv.MAX_ITERATIONS)
+        maxIter=fv.MAX_ITERATIONS, tol=fv.TOLERANCE)
 
 
 def train_classifier(train: DataFrame, with_hand_features: bool = True,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions import url_rules as ur
-from baitline.plans.scale import LITERAL_ROWS, Measured, lookup_join, measure
+from baitline.plans.scale import LITERAL_ROWS, lookup_join
 from baitline.rules import DEFAULT_RULES, RuleSet
 
 
@@ -50,34 +50,36 @@ def url_parts(urls: DataFrame, column: str = "url") -> DataFrame:
                           "is_ip": part["is_ip"]}).drop("_part"))
 
 
-def match_bad_ips(hosts: DataFrame, feed: DataFrame, size: Measured | None = None) -> DataFrame:
-    """Distinct (host, is_ip) rows -> (host, matched) for IP hosts in the feed."""
-    listed = feed.select(F.col("ip").alias("host"), F.col("ip").alias("matched"))
-    return lookup_join(hosts.filter("is_ip").select("host"), listed, "host", ["host"],
-                       how="inner", size=size)
+def feed_entries(spark: SparkSession, feeds: Feeds) -> DataFrame:
+    """Both feeds as one table of distinct entries, ``domain:x`` or ``ip:x``."""
+    tagged = [feed_table(spark, values, column).select(
+        F.concat(F.lit(f"{column}:"), column).alias("entry"))
+        for values, column in ((feeds.domains, "domain"), (feeds.ips, "ip"))]
+    return tagged[0].unionByName(tagged[1])
 
 
-def match_bad_domains(hosts: DataFrame, feed: DataFrame,
-                      size: Measured | None = None) -> DataFrame:
-    """Distinct (host, is_ip) rows -> (host, matched): the longest parent in the feed."""
-    chain = (hosts.filter(~F.col("is_ip"))
-             .select("host", F.posexplode(ur.parent_domains(F.col("host"))).alias("pos", "domain")))
-    hits = lookup_join(chain, feed.select("domain"), "domain", ["host"], how="inner", size=size)
-    return hits.groupBy("host").agg(F.min_by("domain", "pos").alias("matched"))
+def _entries_of(part: Column) -> Column:
+    """What a host would be listed as, most specific first; IP hosts have no parents."""
+    chain = F.when(part["is_ip"], F.array(F.concat(F.lit("ip:"), part["host"]))).otherwise(
+        F.transform(ur.parent_domains(part["host"]), lambda d: F.concat(F.lit("domain:"), d)))
+    return F.when(part["host"] != "", chain).otherwise(F.array().cast("array<string>"))
 
 
 def match_reputation(urls: DataFrame, feeds: Feeds = Feeds()) -> DataFrame:
     """URL table -> its distinct hosts found in a feed: host, matched, feed.
 
     Hosts are made distinct first (with partial aggregation), so a host that fills a
-    third of the URL table is matched once.
+    third of the URL table is matched once; the longest listed parent wins.
     """
-    spark = urls.sparkSession
-    hosts = url_parts(urls.select("url")).select("host", "is_ip").filter("host <> ''").distinct()
-    by_ip = match_bad_ips(hosts, feed_table(spark, feeds.ips, "ip"))
-    by_domain = match_bad_domains(hosts, feed_table(spark, feeds.domains, "domain"))
-    return by_ip.withColumn("feed", F.lit("ip")).unionByName(
-        by_domain.withColumn("feed", F.lit("domain")))
+    hosts = (urls.select(F.get(ur.split_urls(F.array("url")), F.lit(0)).alias("p"))
+             .select("p.host", "p.is_ip").distinct())
+    chain = hosts.select("host", F.posexplode(_entries_of(
+        F.struct("host", "is_ip"))).alias("pos", "entry"))
+    entries = feed_entries(urls.sparkSession, feeds)
+    first = (lookup_join(chain, entries, "entry", ["host"], how="inner")
+             .groupBy("host").agg(F.min_by("entry", "pos").alias("entry")))
+    return first.select("host", F.expr("substring(entry, locate(':', entry) + 1)").alias("matched"),
+                        F.substring_index("entry", ":", 1).alias("feed"))
 
 
 def _literal_feed(values: DataFrame | list[str] | None, column: str) -> list[str] | None:
@@ -90,24 +92,17 @@ def _literal_feed(values: DataFrame | list[str] | None, column: str) -> list[str
     return [r[0] for r in found] if len(found) <= LITERAL_ROWS else None
 
 
-def _with_hits(emails: DataFrame, feed: DataFrame, column: str, out: str, key: str) -> DataFrame:
-    """Adds per email the feed values its URL hosts touch.
+def _with_hits(emails: DataFrame, feeds: Feeds, key: str) -> DataFrame:
+    """Adds ``_hits``, the feed entries an email's URL hosts touch.
 
-    Only (key, host) pairs are exploded and shuffled, and only matches come back, one
+    Only (key, entry) pairs are exploded and shuffled, and only matches come back, one
     row per key, so the wide email row is joined once and never multiplied.
     """
-    pairs = (emails.select(key, F.explode(F.array_distinct(ur.split_urls(F.col("urls")))).alias("u"))
-             .select(key, F.col("u.host").alias("host"), F.col("u.is_ip").alias("is_ip"))
-             .distinct())
-    if column == "ip":
-        candidates = pairs.filter("is_ip").select(key, F.col("host").alias("ip"))
-    else:
-        candidates = (pairs.filter(~F.col("is_ip"))
-                      .select(key, F.explode(ur.parent_domains(F.col("host"))).alias("domain"))
-                      .distinct())
-    size = measure(feed, column)
-    hits = (lookup_join(candidates, feed, column, [key], how="inner", size=size)
-            .groupBy(key).agg(F.collect_set(column).alias(out)))
+    entries = F.array_distinct(F.flatten(F.transform(ur.split_urls(F.col("urls")), _entries_of)))
+    pairs = emails.select(key, F.explode(entries).alias("entry"))
+    listed = feed_entries(emails.sparkSession, feeds)
+    hits = (lookup_join(pairs, listed, "entry", [key], how="inner")
+            .groupBy(key).agg(F.collect_set("entry").alias("_hits")))
     return emails.join(hits, key, "left")
 
 
@@ -115,31 +110,19 @@ def _in_list(values: list[str]) -> Callable[[Column], Column]:
     return lambda c: c.isin(values) if values else F.lit(False)
 
 
-def _in_column(name: str) -> Callable[[Column], Column]:
-    return lambda c: F.coalesce(F.array_contains(F.col(name), c), F.lit(False))
-
-
-def _feed_tests(emails: DataFrame, feeds: Feeds, key: str):
-    """Emails with whatever helper columns the feed tests need, and the two tests."""
-    tests: list[Callable[[Column], Column]] = []
-    helpers: list[str] = []
-    for values, column in ((feeds.domains, "domain"), (feeds.ips, "ip")):
-        short = _literal_feed(values, column)
-        if short is not None:
-            tests.append(_in_list(short))
-            continue
-        helper = f"_hit_{column}s"
-        emails = _with_hits(emails, feed_table(emails.sparkSession, values, column), column,
-                            helper, key)
-        helpers.append(helper)
-        tests.append(_in_column(helper))
-    return emails, tests[0], tests[1], helpers
+def _in_hits(kind: str) -> Callable[[Column], Column]:
+    return lambda c: F.coalesce(
+        F.array_contains(F.col("_hits"), F.concat(F.lit(f"{kind}:"), c)), F.lit(False))
 
 
 def _judged(emails: DataFrame, feeds: Feeds, rules: RuleSet, key: str) -> DataFrame:
-    held, bad_domain, bad_ip, helpers = _feed_tests(emails, feeds, key)
-    return held.withColumn(
-        "_judged", ur.judge_urls(F.col("urls"), bad_domain, bad_ip, rules)).drop(*helpers)
+    domains, ips = _literal_feed(feeds.domains, "domain"), _literal_feed(feeds.ips, "ip")
+    if domains is not None and ips is not None:
+        tests = _in_list(domains), _in_list(ips)
+    else:
+        emails = _with_hits(emails, feeds, key)
+        tests = _in_hits("domain"), _in_hits("ip")
+    return emails.withColumn("_judged", ur.judge_urls(F.col("urls"), *tests, rules)).drop("_hits")
 
 
 def url_findings(emails: DataFrame, feeds: Feeds = Feeds(), rules: RuleSet = DEFAULT_RULES,

@@ -59,11 +59,26 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: list[str],
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
-def seconds_of(df: DataFrame, ts: str) -> Column:
-    """Whole seconds since the epoch, for zoned and unzoned timestamps alike."""
-    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
-        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', `{ts}`)")
-    return F.unix_seconds(F.col(ts))
+def filter_late(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on computed columns without computing them twice.
+
+    The optimiser moves a plain filter below the projections it reads from and copies
+    their expressions into it; for scores that doubles the work of the whole job. A
+    generator stays where it is. Use it for conditions on scores, and plain filters for
+    conditions on stored columns.
+    """
+    passed = F.explode(F.when(condition, F.array(F.lit(True)))).alias("_passed")
+    return df.select("*", passed).drop("_passed")
+
+
+def micros_of(df: DataFrame, ts: str) -> Column:
+    """Microseconds since the epoch; an unzoned timestamp is taken as it reads."""
+    if df.schema[ts].dataType.typeName() != "timestamp_ntz":
+        return F.unix_micros(F.col(ts))
+    seconds = (F.unix_date(F.to_date(ts)).cast("bigint") * 86400 + F.hour(ts) * 3600
+               + F.minute(ts) * 60)
+    fraction = F.expr(f"extract(SECOND FROM `{ts}`)") * 1000000
+    return seconds * 1000000 + fraction.cast("bigint")
 
 
 def with_neighbour(df: DataFrame, key: str, order: list[str], value: Column, out: str,
@@ -81,7 +96,8 @@ def with_neighbour(df: DataFrame, key: str, order: list[str], value: Column, out
     if step not in (-1, 1):
         raise ValueError("step must be -1 or 1")
     has_key = F.col(key).isNotNull()
-    rows = (df.withColumn("_slice", F.floor(seconds_of(df, order[0]) / slice_seconds))
+    rows = (df.withColumn("_slice", F.floor(
+        micros_of(df, order[0]) / (slice_seconds * 1000000)))
             .withColumn("_spread", F.when(has_key, F.lit(0)).otherwise(
                 F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(4096)).cast("int")))
             .withColumn("_value", F.struct(value.alias("v"))))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
-from baitline.functions.strings import strip
+from baitline.functions.strings import SPACE_CLASS, web_strip
 from baitline.operators.datasets import decode_mail, mail_to_training, url_lines
 from baitline.operators.features import training_text
 from baitline.plans.scale import LITERAL_ROWS
@@ -76,8 +76,8 @@ def read_url_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_feed(raw: DataFrame, column: str = "value", out: str = "domain") -> DataFrame:
     """Values split at commas and whitespace, lower-cased, distinct."""
-    token = F.explode(F.split(F.col(column), r"[,\s\x1c-\x1f\x85\xa0\x{2000}-\x{200a}\x{3000}]+"))
-    return (raw.select(F.lower(strip(token)).alias(out)).filter(F.col(out) != "").distinct())
+    tokens = raw.select(F.explode(F.split(F.col(column), f"[,{SPACE_CLASS[1:-1]}]+")).alias("t"))
+    return tokens.select(F.lower("t").alias(out)).filter(F.col(out) != "").distinct()
 
 
 def read_reputation_feed(spark: SparkSession, path: str | None, column: str = "domain"
@@ -93,9 +93,9 @@ def read_reputation_feed(spark: SparkSession, path: str | None, column: str = "d
 
 def parse_domains(raw: DataFrame, action: str, column: str = "value") -> DataFrame:
     """Comma-separated domains -> (domain, action)."""
-    domain = F.lower(strip(F.explode(F.split(F.col(column), ","))))
-    return (raw.select(domain.alias("domain")).filter("domain <> ''").distinct()
-            .withColumn("action", F.lit(action)))
+    tokens = raw.select(F.explode(F.split(F.col(column), ",")).alias("t"))
+    return (tokens.select(F.lower(web_strip(F.col("t"))).alias("domain")).filter("domain <> ''")
+            .distinct().withColumn("action", F.lit(action)))
 
 
 def read_domain_policy(spark: SparkSession, allow: str | None = None, block: str | None = None
