@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
+    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer,
     VectorAssembler,
 )
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
@@ -20,7 +21,9 @@ from pyspark.sql import types as T
 from baitline import fixed_values as fv
 from baitline.functions import text_rules as tr
 from baitline.functions.strings import round2
-from baitline.operators.features import WORD, hand_features, with_class_weight
+from baitline.operators.features import (
+    WORD, hand_features, ngram_vocabulary, with_class_weight,
+)
 from baitline.operators.metrics import binary_metrics
 from baitline.operators.text import score_text
 from baitline.plans.scale import cut_lineage
@@ -31,23 +34,26 @@ HAND_FEATURES = ["keyword_hits", "has_ip_url", "url_count", "has_free_sender"]
 def fit_text_features(train: DataFrame, vocabulary: int = fv.MAX_FEATURES) -> PipelineModel:
     """tf-idf over words and word pairs, unit length, column ``tfidf``.
 
-    idf is ln((1+n)/(1+df)) + 1. Spark's IDF has no ``+ 1``, so its vector plus one
-    scales the counts.
+    One counting pass over the text gives the vocabulary and, with it, the document
+    counts, so no separate pass is needed to fit the idf ln((1+n)/(1+df)) + 1. The
+    vocabulary is bounded by its size limit and fits the driver.
     """
-    counting = Pipeline(stages=[
+    terms = ngram_vocabulary(train, vocabulary).collect()
+    n_docs = train.count()
+    idf = [math.log((1 + n_docs) / (1 + t["n_docs"])) + 1.0 for t in terms]
+    counts = CountVectorizerModel.from_vocabulary(
+        [t["term"] for t in terms], inputCol="terms", outputCol="counts")
+    return PipelineModel(stages=[
         RegexTokenizer(inputCol="text", outputCol="words", pattern=WORD, gaps=False,
                        toLowercase=True),
         NGram(n=2, inputCol="words", outputCol="pairs"),
         SQLTransformer(statement="SELECT *, concat(words, pairs) AS terms FROM __THIS__"),
-        CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=vocabulary),
-    ]).fit(train)
-    idf = IDF(inputCol="counts", outputCol="unused").fit(counting.transform(train))
-    scale = ElementwiseProduct(inputCol="counts", outputCol="scaled",
-                               scalingVec=Vectors.dense(idf.idf.toArray() + 1.0))
-    unit = Normalizer(inputCol="scaled", outputCol="tfidf", p=2.0)
-    drop = SQLTransformer(statement="SELECT * EXCEPT (words, pairs, terms, counts, scaled)"
-                                    " FROM __THIS__")
-    return PipelineModel(stages=[*counting.stages, scale, unit, drop])
+        counts,
+        ElementwiseProduct(inputCol="counts", outputCol="scaled", scalingVec=Vectors.dense(idf)),
+        Normalizer(inputCol="scaled", outputCol="tfidf", p=2.0),
+        SQLTransformer(statement="SELECT * EXCEPT (words, pairs, terms, counts, scaled)"
+                                 " FROM __THIS__"),
+    ])
 
 
 def assemble_features(df: DataFrame, text_model: PipelineModel,

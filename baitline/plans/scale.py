@@ -59,6 +59,19 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, spread: list[str],
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes as a few large row groups.
+
+    Heavy per-row work (chunk scoring, MIME decoding, tokenising) would otherwise run
+    on as many cores as there are row groups. An input with at least one split per core,
+    as any large one has, is left alone and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def filter_late(df: DataFrame, condition: Column) -> DataFrame:
     """Filter on computed columns without computing them twice.
 

@@ -586,4 +586,22 @@ def statements() -> dict[str, str]:
         [MAIL, RAW_LINES, GOOD, testset, _parts("testset"), JUDGED],
         _metrics("(SELECT y_true, CASE WHEN points >= 40 THEN 1 ELSE 0 END AS y_pred"
                  " FROM testset JOIN judged USING (url))"))
+    s["stream_changes"], s["stream_alerts"] = s["capture_changes"], s["alerts_deduped"]
+    s["stream_latest"] = s["latest_verdict"]
+    # A burst is over when its last event plus the gap is not after the watermark.
+    s["stream_debounce"] = s["debounced_captures"].replace(
+        "WHERE n IS NULL OR n - ts >= INTERVAL 30 MINUTE",
+        """WHERE (n IS NULL OR n - ts >= INTERVAL 30 MINUTE) AND ts + INTERVAL 30 MINUTE
+        <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 10 SECOND""")
+    from_json = """mail AS (SELECT email_id, raw->>'$.sender_email' AS sender_email,
+        raw->>'$.sender_name' AS sender_name, raw->>'$.subject' AS subject,
+        raw->>'$.body_text' AS body_text, array_to_string(raw->>'$.urls[*]', ' ') AS urls_joined,
+        array_to_string(raw->>'$.attachments[*].filename', ' ') AS files_joined
+      FROM objects JOIN complaints USING (email_id) WHERE errors = '')"""
+    # The inner mail view is renamed: the scored mails are the ones inside the JSON.
+    named = [c.replace("mail AS (", "source_mail AS (", 1) if c == MAIL else
+             c.replace("FROM mail", "FROM source_mail") for c in INTAKE]
+    s["stream_scores"] = _sql([*named, from_json, *INDICATOR_CHAIN], """
+      SELECT email_id, risk_score, reasons FROM verdicts
+      UNION ALL SELECT email_id, NULL, errors FROM complaints WHERE errors <> ''""")
     return s

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,9 @@ from baitline.operators import (
     sampling, senders, text, urls,
 )
 from baitline.plans.scoring import score_emails, url_benchmark
+from baitline.plans.scale import micros_of, shared_folder
 from baitline.sources.readers import parse_domains, parse_feed
+from baitline.streaming import jobs
 from baitline.workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,10 +274,10 @@ def alert_rows(spark, sf):
                       F.col("sticky").cast("int").alias("sticky"))
 
 
-def _visited(spark, sf):
+def _visited(spark, sf, events=None):
     scored = score_emails(v.emails(spark, sf), keep=_SHOWN + ("body_text", "urls"))
     printed = captures.fingerprint(scored).drop("body_text", "urls", "indicators")
-    return v.visited_verdicts(spark, sf, printed)
+    return v.visited_verdicts(spark, sf, printed, events)
 
 
 @query
@@ -499,3 +502,75 @@ def function_text_scores(spark, sf):
 
     scored = models.score_text_with_fn(text.clean_emails(v.emails(spark, sf)), load, "max")
     return scored.select("email_id", "text_score", "chunk_count", "text_mode")
+
+
+# --- streams: the tables arrive as files, results are read back from the sink ---------
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/baitline-stream-{uuid.uuid4().hex}"
+
+
+def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(
+        sf)
+
+
+def _drained(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
+    folder = _folder(spark)
+    jobs.drain(lambda: jobs.to_folder(df, f"{folder}/out", f"{folder}/checkpoint", mode, once=True))
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query
+def stream_scores(spark, sf):
+    """JSON texts arriving as files, checked and scored."""
+    jobs.use_stream_settings(spark)
+    folder = _folder(spark)
+    v.raw_json(spark, sf).select("email_id", "raw").write.parquet(f"{folder}/in")
+    raw = spark.readStream.schema("email_id bigint, raw string").parquet(f"{folder}/in")
+    jobs.drain(lambda: jobs.stream_score_emails(
+        raw, f"{folder}/verdicts", f"{folder}/rejected", f"{folder}/checkpoint", once=True))
+    good = spark.read.parquet(f"{folder}/verdicts").select("email_id", "risk_score", joined("reasons"))
+    bad = spark.read.parquet(f"{folder}/rejected").select(
+        "email_id", F.lit(None).cast("double").alias("risk_score"),
+        F.array_join("errors", " ; ").alias("reasons"))
+    return good.unionByName(bad)
+
+
+@query
+def stream_debounce(spark, sf):
+    """Bursts that have ended by the watermark; an unfinished one is not reported."""
+    jobs.use_stream_settings(spark)
+    events = _events_stream(spark, sf)
+    captures = events.select(
+        F.col("user_id").alias("tab"), F.timestamp_micros(micros_of(events, "ts")).alias("ts"),
+        F.col("event_id").alias("seq"), "event_type")
+    last = _drained(spark, jobs.stream_debounce(captures, gap=v.GAP))
+    return last.select("tab", "seq", v.ts_us(last), "event_type")
+
+
+@query
+def stream_changes(spark, sf):
+    jobs.use_stream_settings(spark)
+    kept = _drained(spark, jobs.stream_changes(
+        v.page_captures(spark, sf, _events_stream(spark, sf))))
+    return kept.select("tab", "seq", v.ts_us(kept), "page_id", "fingerprint")
+
+
+@query
+def stream_alerts(spark, sf):
+    jobs.use_stream_settings(spark)
+    due = alerts.alert_rows(_visited(spark, sf, _events_stream(spark, sf)))
+    kept = _drained(spark, jobs.stream_alerts(
+        due.select("tab", "ts", "seq", "email_id", "title", "subject", "fingerprint", "risk_level")))
+    return kept.select("tab", "seq", v.ts_us(kept), "email_id", "title", "alert_key")
+
+
+@query
+def stream_latest(spark, sf):
+    jobs.use_stream_settings(spark)
+    seen = _visited(spark, sf, _events_stream(spark, sf)).filter("tab IS NOT NULL").select(
+        "tab", "ts", "seq", "email_id", "risk_score", "risk_level")
+    last = jobs.newest_per_key(_drained(spark, jobs.stream_latest(seen), "update"))
+    return last.select("tab", "seq", v.ts_us(last), "email_id", "risk_score", "risk_level")

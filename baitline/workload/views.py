@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from baitline.operators.captures import fingerprint
 from baitline.operators.pages import pages_to_emails
-from baitline.plans.scale import micros_of
+from baitline.plans.scale import micros_of, spread_small_input
 
 MAIL_SQL = """
 SELECT doc_id AS email_id,
@@ -76,7 +76,7 @@ POLICY = [("paypa1-login.top", "block"), ("google.com", "allow"), ("microsoft.co
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread_small_input(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def mail(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,27 +131,29 @@ def ts_us(df: DataFrame, column: str = "ts"):
     return micros_of(df, column).alias(f"{column}_us")
 
 
-def _visits(spark: SparkSession, folder: str, target: str, n: int) -> DataFrame:
+def _visits(events: DataFrame, target: str, n: int) -> DataFrame:
     # Visitors stay with one target for three days, so repeats follow each other.
-    events = table(spark, folder, "events")
     period = F.floor(micros_of(events, "ts") / (3 * 86400 * 1000000))
     return events.select(
         F.col("user_id").alias("tab"), "ts", F.col("event_id").alias("seq"),
         ((F.col("user_id") * 7 + period) % n).alias(target))
 
 
-def page_captures(spark: SparkSession, folder: str) -> DataFrame:
+def page_captures(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
     """Events as page captures: tab, ts, seq and the fingerprint of the visited page."""
     pages = table(spark, folder, "pages")
     prints = fingerprint(pages_to_emails(pages)).select(
         F.col("email_id").alias("page_id"), "fingerprint")
-    return _visits(spark, folder, "page_id", pages.count()).join(prints, "page_id")
+    events = table(spark, folder, "events") if events is None else events
+    return _visits(events, "page_id", pages.count()).join(prints, "page_id")
 
 
-def visited_verdicts(spark: SparkSession, folder: str, verdicts: DataFrame) -> DataFrame:
+def visited_verdicts(spark: SparkSession, folder: str, verdicts: DataFrame,
+                     events: DataFrame | None = None) -> DataFrame:
     """Events as analyses of mails: tab (null for some), ts, seq and the mail's verdict."""
     n = table(spark, folder, "documents").count()
-    visits = _visits(spark, folder, "email_id", n).withColumn(
+    events = table(spark, folder, "events") if events is None else events
+    visits = _visits(events, "email_id", n).withColumn(
         "tab", F.when(F.col("seq") % 17 != 0, F.col("tab")))
     return visits.join(verdicts, "email_id")
 
