@@ -14,11 +14,14 @@ def merged_text(subject: Column, body: Column) -> Column:
 
 
 def chunk_array(text: Column) -> Column:
-    """Overlapping windows over the whole text; an empty text has none."""
-    starts = F.sequence(F.lit(0), ((F.length(text) - 1) / fv.CHUNK_STEP).cast("int"))
-    windows = F.transform(
-        starts, lambda i: F.substring(text, i * fv.CHUNK_STEP + 1, F.lit(fv.CHUNK_CHARS)))
-    return F.when(F.length(text) > 0, windows).otherwise(F.array().cast("array<string>"))
+    """Overlapping windows over the whole text; an empty text has none.
+
+    Each match looks ahead one window, keeps it, and moves on by one step: one pass over
+    the text. Substrings by position would count characters from the start for every
+    window, which is quadratic in the length of a mail.
+    """
+    window = f"(?s)(?=(.{{1,{fv.CHUNK_CHARS}}})).{{1,{fv.CHUNK_STEP}}}"
+    return F.regexp_extract_all(text, F.lit(window), F.lit(1))
 
 
 def uppercase_count(text: Column) -> Column:

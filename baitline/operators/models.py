@@ -28,6 +28,7 @@ from baitline.operators.metrics import binary_metrics
 from baitline.operators.text import score_text
 from baitline.plans.scale import cut_lineage
 
+ROWS_PER_PARTITION = 5_000
 HAND_FEATURES = ["keyword_hits", "has_ip_url", "url_count", "has_free_sender"]
 
 
@@ -86,7 +87,10 @@ def train_classifier(train: DataFrame, with_hand_features: bool = True,
     matrix = cut_lineage(assemble_features(weighted, text_model, with_hand_features)
                          .select("features", F.col("label").cast("double").alias("label"),
                                  "weight"))
-    classifier = logistic_regression(matrix.count()).fit(matrix)
+    n_rows = matrix.count()
+    # An iteration over few rows is all scheduling: fewer, fuller partitions then.
+    parts = min(matrix.rdd.getNumPartitions(), max(1, n_rows // ROWS_PER_PARTITION))
+    classifier = logistic_regression(n_rows).fit(matrix.coalesce(parts))
     inputs = ["tfidf"] + (HAND_FEATURES if with_hand_features else [])
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
     return PipelineModel(stages=[*text_model.stages, assembler, classifier])
