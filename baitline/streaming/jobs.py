@@ -81,8 +81,9 @@ def stream_debounce(captures: DataFrame, gap: str = f"{fv.DEBOUNCE_MS} milliseco
     ``ts`` must be a zoned timestamp. Captures later than ``delay`` are dropped.
     """
     rest = [c for c in captures.columns if c != tab]
+    # A session window still takes in a row exactly one gap later; the timer has fired by then.
     bursts = (captures.withWatermark(ts, delay)
-              .groupBy(tab, F.session_window(ts, gap).alias("burst"))
+              .groupBy(tab, F.session_window(ts, f"{gap} -1 microseconds").alias("burst"))
               .agg(F.max_by(F.struct(*rest), F.struct(ts, seq)).alias("_last")))
     return bursts.select(tab, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
