@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
@@ -49,12 +49,11 @@ def class_sizes(df: DataFrame, label: str = "label") -> DataFrame:
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """label, n_rows, weight = n / (classes * n_rows)."""
-    sizes = class_sizes(df, label)
-    whole = sizes.agg(F.sum("n_rows").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    # One row on the right: the totals of the (small) class table.
-    return (sizes.join(F.broadcast(whole), F.lit(True))
-            .select(label, "n_rows", (F.col("_n") / (F.col("_k") * F.col("n_rows")))
-                    .alias("weight")))
+    # The window runs over the class table: one row per class, already counted.
+    every = Window.partitionBy(F.lit(0))
+    total, classes = F.sum("n_rows").over(every), F.count(F.lit(1)).over(every)
+    return class_sizes(df, label).select(
+        label, "n_rows", (total / (classes * F.col("n_rows"))).alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:

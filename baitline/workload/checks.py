@@ -418,7 +418,7 @@ def statements() -> dict[str, str]:
     s["emails_normalized"] = _sql([MAIL, DOMAINS, FILES], """SELECT s.email_id, address AS sender_email,
       name AS sender_name, coalesce(e, '') AS extensions FROM senders s LEFT JOIN
       (SELECT email_id, string_agg(ext, ' ' ORDER BY p) AS e FROM files GROUP BY email_id) USING (email_id)""")
-    s["clean_subject_body"] = _sql([MAIL, CLEAN], """SELECT email_id, subject,
+    s["clean_text"] = _sql([MAIL, CLEAN], """SELECT email_id, subject,
       CAST(length(body) AS INTEGER) AS n_chars, md5(body) AS body_md5 FROM clean""")
     s["clean_whole_text"] = f"SELECT doc_id, md5({_clean('text')}) AS text_md5 FROM documents"
     s["urls_deduped"] = _sql([MAIL, MAIL_URLS], """SELECT mail.email_id, coalesce(u, '') AS urls,
@@ -469,7 +469,7 @@ def statements() -> dict[str, str]:
       WHERE domain <> '' AND NOT contains(domain, b || '.com')""")
     s["sender_scores"] = _sql([MAIL, DOMAINS, BRAND_HITS, SENDER_SCORES], "SELECT * FROM sender_scores")
     s["attachment_scores"] = _sql([MAIL, FILES, ATTACHMENT_SCORES], "SELECT * FROM attachment_scores")
-    s["risk_verdicts"] = s["score_all"] = _sql(SCORED, _verdict_columns())
+    s["risk_verdicts"] = s["score_emails"] = _sql(SCORED, _verdict_columns())
     s["policy_verdicts"] = _sql([*SCORED, LISTED], f"""SELECT email_id,
       CASE action WHEN 'block' THEN 100 WHEN 'allow' THEN 0 ELSE risk_score END AS risk_score,
       CASE action WHEN 'block' THEN 'high' WHEN 'allow' THEN 'low' ELSE risk_level END AS risk_level,
@@ -493,7 +493,7 @@ def statements() -> dict[str, str]:
       CASE risk_level WHEN 'high' THEN 'HIGH' WHEN 'medium' THEN 'MED' ELSE 'LOW' END AS badge_text,
       CASE risk_level WHEN 'high' THEN '#b83232' WHEN 'medium' THEN '#b7791f' ELSE '#2d7d46' END
       AS badge_color FROM verdicts""")
-    s["alert_rows"] = _sql([*SCORED, ALERTS],
+    s["alerts"] = _sql([*SCORED, ALERTS],
                            "SELECT email_id, title, message, priority, sticky FROM alerts")
     prints = [*SCORED, ALERTS, FINGERPRINTS[2], FINGERPRINTS[3], MAIL_VISITS]
     s["alerts_deduped"] = _sql(prints, """SELECT tab, seq, ts_us, email_id, title, alert_key FROM (
@@ -505,10 +505,10 @@ def statements() -> dict[str, str]:
     s["latest_verdict"] = _sql([*SCORED, MAIL_VISITS], """SELECT tab, seq, ts_us, email_id, risk_score,
       risk_level FROM (SELECT *, row_number() OVER (PARTITION BY tab ORDER BY ts_us DESC, seq DESC) AS r
       FROM mail_visits WHERE tab IS NOT NULL) JOIN verdicts USING (email_id) WHERE r = 1""")
-    s["page_emails"] = _sql([PAGE_EMAILS], """SELECT email_id, sender_email, sender_name, subject,
+    s["pages_to_emails"] = _sql([PAGE_EMAILS], """SELECT email_id, sender_email, sender_name, subject,
       CAST(length(body_text) AS INTEGER) AS n_chars, md5(body_text) AS body_md5,
       array_to_string(urls, ' ') AS urls, page_source FROM page_emails""")
-    s["mail_view_emails"] = _sql([PAGE_EMAILS], f"""SELECT page_id AS email_id,
+    s["mail_view_to_emails"] = _sql([PAGE_EMAILS], f"""SELECT page_id AS email_id,
       CASE WHEN page_id % 3 > 0 THEN 'Box@' || host ELSE 'Team ' || page_id END AS sender_email,
       'Team ' || page_id AS sender_name, title AS subject,
       md5({_visible("html || '<a>more</a>'")}) AS body_md5, pages.url AS urls,
@@ -521,7 +521,7 @@ def statements() -> dict[str, str]:
          *INDICATOR_CHAIN], _verdict_columns())
     s["capture_filter"] = _sql([MAIL], """SELECT email_id, page_source FROM mail WHERE sender_email <> ''
       AND subject <> '' AND body_text <> '' AND NOT (page_source = 'webpage' AND length(body_text) < 80)""")
-    s["fingerprints"] = _sql(FINGERPRINTS, "SELECT * FROM fingerprints")
+    s["fingerprint"] = _sql(FINGERPRINTS, "SELECT * FROM fingerprints")
     s["capture_changes"] = _sql([*FINGERPRINTS, PAGE_VISITS], """SELECT tab, seq, ts_us, page_id, fingerprint
       FROM (SELECT *, lag(fingerprint) OVER (PARTITION BY tab ORDER BY ts_us, seq) AS f FROM page_visits)
       WHERE f IS DISTINCT FROM fingerprint""")

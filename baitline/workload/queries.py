@@ -26,7 +26,8 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore is left out."""
+    REGISTRY[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -69,7 +70,7 @@ def emails_normalized(spark, sf):
 
 
 @query
-def clean_subject_body(spark, sf):
+def clean_text_(spark, sf):
     held = text.clean_emails(v.emails(spark, sf))
     return held.select("email_id", "subject", F.length("body_text").alias("n_chars"),
                        F.md5("body_text").alias("body_md5"))
@@ -241,7 +242,7 @@ def risk_verdicts(spark, sf):
 
 
 @query
-def score_all(spark, sf):
+def score_emails_(spark, sf):
     return flat(score_emails(v.emails(spark, sf)))
 
 
@@ -268,7 +269,7 @@ _SHOWN = ("page_source", "subject", "sender_name", "sender_email")
 
 
 @query
-def alert_rows(spark, sf):
+def alerts_(spark, sf):
     due = alerts.alert_rows(score_emails(v.emails(spark, sf), keep=_SHOWN))
     return due.select("email_id", "title", "message", "priority",
                       F.col("sticky").cast("int").alias("sticky"))
@@ -297,7 +298,7 @@ def latest_verdict(spark, sf):
 # --- pages and captures --------------------------------------------------------------
 
 @query
-def page_emails(spark, sf):
+def pages_to_emails(spark, sf):
     held = pages.pages_to_emails(v.table(spark, sf, "pages"))
     return held.select("email_id", "sender_email", "sender_name", "subject",
                        F.length("body_text").alias("n_chars"), F.md5("body_text").alias("body_md5"),
@@ -305,7 +306,7 @@ def page_emails(spark, sf):
 
 
 @query
-def mail_view_emails(spark, sf):
+def mail_view_to_emails(spark, sf):
     """Pages as opened mails: their HTML is the body, their links count when absolute."""
     views = v.table(spark, sf, "pages").select(
         F.col("page_id").alias("email_id"), page_title(F.col("html")).alias("subject"),
@@ -336,7 +337,7 @@ def capture_filter(spark, sf):
 
 
 @query
-def fingerprints(spark, sf):
+def fingerprint(spark, sf):
     of_pages = captures.fingerprint(pages.pages_to_emails(v.table(spark, sf, "pages")))
     of_mail = captures.fingerprint(v.emails(spark, sf))
     return (of_pages.select(F.lit("page").alias("kind"), "email_id", "fingerprint")

@@ -231,3 +231,19 @@ def test_missing_indicator_counts_zero_and_reasons_stop_at_eight(spark):
     row = combine_scores(indicator(spark, 100, *"abcde"), indicator(spark, 100, *"fghij"),
                          none, none).first()
     assert row["risk_score"] == 65.0 and row["reasons"] == list("abcdefgh")
+
+
+def test_result_does_not_depend_on_partitions(spark, data):
+    from baitline.workload import views
+    mails = views.emails(spark, data)
+    one = sorted(map(str, score_emails(mails.repartition(1)).collect()))
+    assert sorted(map(str, score_emails(mails.repartition(13)).collect())) == one
+
+
+def test_expected_indicators_of_the_mail_view(spark, data):
+    from baitline.workload import views
+    rows = {r["email_id"]: r["indicators"] for r in
+            score_emails(views.emails(spark, data).filter("email_id < 9")).collect()}
+    want = [(46, 25, 55), (14, 31, 18), (100, 0, 67), (28, 50, 0), (18, 8, 0), (79, 100, 0),
+            (60, 25, 55), (25, 0, 18), (0, 50, 67)]
+    assert [(rows[i]["url"], rows[i]["sender"], rows[i]["attachment"]) for i in range(9)] == want
