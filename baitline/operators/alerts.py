@@ -47,7 +47,8 @@ def with_alert_key(alerts: DataFrame) -> DataFrame:
 def suppress_repeat_alerts(alerts: DataFrame, tab: str = "tab", ts: str = "ts",
                            seq: str = "seq", slice_seconds: int = 3600) -> DataFrame:
     """Per tab, drop an alert equal to the last one shown there; no tab, no memory."""
-    held = with_neighbour(with_alert_key(alerts), tab, [ts, seq], F.col("alert_key"), "_shown",
+    keyed = alerts if "alert_key" in alerts.columns else with_alert_key(alerts)
+    held = with_neighbour(keyed, tab, [ts, seq], F.col("alert_key"), "_shown",
                           step=-1, slice_seconds=slice_seconds)
     return held.filter(F.col(tab).isNull() | ~F.col("alert_key").eqNullSafe(F.col("_shown"))
                        ).drop("_shown")

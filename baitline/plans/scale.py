@@ -104,31 +104,37 @@ def with_neighbour(df: DataFrame, key: str, order: list[str], value: Column, out
     slice looks into another slice, through a table with one row per key and slice.
     Rows with a null key get no neighbour and are spread by a hash.
 
-    The window and the join use the same three keys, so the rows are shuffled once.
+    The input is computed and shuffled once: window, edge table and join all read the
+    same exchange. For that the two branches must stay equal down to the exchange: the
+    place is one struct (never null, so no filter is inferred for one branch only), the
+    edge table takes whole rows (so no column is pruned from one branch only), and its
+    filter stays late. Drop columns nobody needs before the call, not after it.
     """
     if step not in (-1, 1):
         raise ValueError("step must be -1 or 1")
     has_key = F.col(key).isNotNull()
-    rows = (df.withColumn("_slice", F.floor(
-        micros_of(df, order[0]) / (slice_seconds * 1000000)))
-            .withColumn("_spread", F.when(has_key, F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(4096)).cast("int")))
-            .withColumn("_value", F.struct(value.alias("v"))))
-    place = [key, "_slice", "_spread"]
+    slice_no = F.floor(micros_of(df, order[0]) / (slice_seconds * 1000000))
+    spread = F.when(has_key, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(4096)).cast("int"))
+    rows = (df.withColumn("_place", F.struct(F.col(key).alias("key"), slice_no.alias("slice"),
+                                             spread.alias("spread")))
+            .withColumn("_value", F.struct(value.alias("v"))).repartition("_place"))
     position = F.struct(*[F.col(c) for c in order])
     pick = F.max_by if step < 0 else F.min_by
-    edges = (rows.filter(has_key).groupBy(*place).agg(pick("_value", position).alias("_edge")))
-    along = Window.partitionBy(key).orderBy(F.col("_slice"))
-    near = F.lag("_edge", 1) if step < 0 else F.lead("_edge", 1)
-    edges = edges.withColumn("_edge", near.over(along)).filter(F.col("_edge").isNotNull())
+    whole = F.struct(*[F.col(c) for c in rows.columns if c != "_place"])
+    edges = rows.groupBy("_place").agg(pick(whole, position).alias("_row"))
+    along = Window.partitionBy(F.col("_place.key")).orderBy(F.col("_place.slice"))
+    near = F.lag("_row", 1) if step < 0 else F.lead("_row", 1)
+    edges = (filter_late(edges, F.col("_place.spread") == 0)
+             .withColumn("_near", near.over(along))
+             .select("_place", F.col("_near._value").alias("_edge")))
 
     direction = [F.col(c).asc() if step < 0 else F.col(c).desc() for c in order]
-    inside = Window.partitionBy(*place).orderBy(*direction)
+    inside = Window.partitionBy("_place").orderBy(*direction)
     placed = rows.withColumn("_inside", F.lag("_value", 1).over(inside))
-    joined = placed.join(edges, place, "left")
+    joined = placed.join(edges, "_place", "left")
     neighbour = F.when(has_key, F.coalesce(F.col("_inside"), F.col("_edge")))
-    return (joined.withColumn(out, neighbour["v"])
-            .drop("_slice", "_spread", "_value", "_inside", "_edge"))
+    return joined.withColumn(out, neighbour["v"]).select(*df.columns, out)
 
 
 def with_exact_rank(df: DataFrame, group: str, hash_key: Column, tie: str, out: str,

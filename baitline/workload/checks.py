@@ -586,6 +586,11 @@ def statements() -> dict[str, str]:
         [MAIL, RAW_LINES, GOOD, testset, _parts("testset"), JUDGED],
         _metrics("(SELECT y_true, CASE WHEN points >= 40 THEN 1 ELSE 0 END AS y_pred"
                  " FROM testset JOIN judged USING (url))"))
+    share = "length(regexp_replace(chunk, '[^!]+', '', 'g')) / CAST(length(chunk) AS DOUBLE)"
+    s["function_text_scores"] = _sql([MAIL, CLEAN, CHUNKS], f"""SELECT m.email_id,
+      coalesce({_round('p * 100')}, 0) AS text_score, CAST(coalesce(n, 0) AS INTEGER) AS chunk_count,
+      CASE WHEN n > 0 THEN 'transformer' END AS text_mode FROM merged m LEFT JOIN (SELECT email_id,
+      max(1 / (1 + exp(1 - 40 * {share}))) AS p, count(*) AS n FROM chunks GROUP BY email_id) USING (email_id)""")
     s["stream_changes"], s["stream_alerts"] = s["capture_changes"], s["alerts_deduped"]
     s["stream_latest"] = s["latest_verdict"]
     # A burst is over when its last event plus the gap is not after the watermark.

@@ -283,8 +283,9 @@ def _visited(spark, sf, events=None):
 
 @query
 def alerts_deduped(spark, sf):
-    due = alerts.alert_rows(_visited(spark, sf))
-    kept = alerts.suppress_repeat_alerts(due)
+    due = alerts.with_alert_key(alerts.alert_rows(_visited(spark, sf)))
+    kept = alerts.suppress_repeat_alerts(
+        due.select("tab", "ts", "seq", "email_id", "title", "alert_key"))
     return kept.select("tab", "seq", v.ts_us(kept), "email_id", "title", "alert_key")
 
 

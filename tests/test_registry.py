@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 
 def test_every_query_has_a_check_but_for_models():
     assert set(entry.queries()) - set(entry.oracle_sql()) == {
-        "train_metrics", "model_text_scores", "function_text_scores"}
+        "train_metrics", "model_text_scores"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
