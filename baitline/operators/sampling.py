@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import seeded_key
-from baitline.plans.scale import with_exact_rank
+from baitline.plans.scale import (
+    LITERAL_ROWS, UNBOUNDED, Measured, hash_cuts, lookup_join, with_exact_rank,
+)
 
 # Up to here a top-n keeps n rows per task and merges them; above, ranks are computed
 # bucket by bucket.
@@ -30,12 +32,26 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = fv.SEED) -> DataFrame:
 
 def stratified_split(df: DataFrame, share: float = fv.VALIDATION_SHARE, label: str = "label",
                      key: str = "id", seed: int = fv.SEED) -> DataFrame:
-    """Adds ``part`` ('validation' or 'train'): exactly ceil(share * n) rows of every class."""
-    ranked = with_exact_rank(df, label, seeded_key(seed, F.col(key)), key, "_rank", "_size")
+    """Adds ``part`` ('validation' or 'train'): exactly ceil(share * n) rows of every class.
+
+    The key should be unique; copies of a key always go to the same part. Rows are not
+    shuffled: each is compared with the cut of its class.
+    """
+    hashed = seeded_key(seed, F.col(key))
     # The product is made decimal so that 0.2 * 15 does not become 3.0000000000000004.
-    quota = F.ceil((F.col("_size") * F.lit(share)).cast("decimal(38,9)"))
-    return (ranked.withColumn("part", F.when(F.col("_rank") <= quota, "validation")
-                              .otherwise("train")).drop("_rank", "_size"))
+    quota = F.ceil((F.col("size") * F.lit(share)).cast("decimal(38,9)")).cast("bigint")
+    cuts = hash_cuts(df, label, hashed, key, quota)
+    # One row per class. Read now when it is short: the split then stays a plain map, and
+    # later passes over it (training makes several) do not count again.
+    rows = cuts.limit(LITERAL_ROWS + 1).collect()
+    if len(rows) <= LITERAL_ROWS:
+        cuts, size = df.sparkSession.createDataFrame(rows, cuts.schema), Measured(len(rows), 0)
+    else:
+        size = UNBOUNDED
+    held = lookup_join(df, cuts, label, [key], size=size)
+    place = F.struct(hashed.alias("_hash"), F.col(key).alias("_key"))
+    return held.withColumn("part", F.when(place <= F.col("cut"), "validation").otherwise("train")
+                           ).drop("cut")
 
 
 def balanced_head(df: DataFrame, k: int = fv.BALANCED_ROWS, label: str = "label",

@@ -165,6 +165,37 @@ def with_exact_rank(df: DataFrame, group: str, hash_key: Column, tie: str, out:
     return ranked.drop("_hash", "_bucket", "_inside", "_start", "_total")
 
 
+def hash_cuts(df: DataFrame, group: str, hash_key: Column, key: str, quota: Column,
+              digits: int = 4) -> DataFrame:
+    """Per group, the (hash, key) pair up to which ``quota`` rows lie: group, cut.
+
+    ``quota`` is a Column over ``size``, the number of rows of the group. With the cuts
+    rows are taken or left where they stand: nothing but hashes is ever shuffled. Counts
+    per hash bucket show in which bucket the quota is reached, and only that bucket (one
+    of 16**digits) is then ordered, after copies of a key have been counted together.
+    """
+    hashed = (df.select(group, F.col(key).alias("_key"), hash_key.alias("_hash"))
+              .withColumn("_bucket", F.substring("_hash", 1, digits)))
+    counts = hashed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(group).orderBy("_bucket")
+    reached = (counts.withColumn("_end", F.sum("_n").over(upto))
+               .withColumn("size", F.sum("_n").over(Window.partitionBy(group)))
+               .withColumn("_quota", quota)
+               .withColumn("_need", F.col("_quota") - F.col("_end") + F.col("_n"))
+               .filter("_need > 0 AND _need <= _n").select(group, "_bucket", "_need"))
+    # One row per group is left; groups are spread by their buckets should there be many.
+    place = F.struct(group, "_bucket").alias("_place")
+    inside = (lookup_join(hashed.select(place, "_hash", "_key"),
+                          reached.select(place, "_need"), "_place", ["_key"], how="inner",
+                          size=measure(reached))
+              .groupBy("_place", "_hash", "_key", "_need").agg(F.count(F.lit(1)).alias("_n")))
+    ordered = Window.partitionBy("_place").orderBy("_hash", "_key")
+    ends = inside.withColumn("_end", F.sum("_n").over(ordered))
+    return (ends.filter("_end >= _need").groupBy("_place")
+            .agg(F.min(F.struct("_hash", "_key")).alias("cut"))
+            .select(F.col(f"_place.{group}").alias(group), "cut"))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a folder of our own only where none is named."""
     current = spark.sparkContext.getCheckpointDir()

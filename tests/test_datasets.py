@@ -214,6 +214,23 @@ def test_split_keeps_class_shares(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, stratified_split(df).collect()))
 
 
+def test_copies_of_a_key_stay_together(spark):
+    df = spark.range(400).select(F.when(F.col("id") < 150, 7).otherwise(F.col("id")).alias("id"),
+                                 F.lit(1).alias("label"))
+    parts = stratified_split(df).groupBy("part").count().collect()
+    assert sum(r["count"] for r in parts) == 400
+    of_copies = stratified_split(df).filter("id = 7").select("part").distinct().collect()
+    assert len(of_copies) == 1
+
+
+def test_wide_rows_are_not_shuffled_by_a_split(spark):
+    df = spark.range(100).withColumn("label", (F.col("id") % 2).cast("int")).withColumn(
+        "body", F.concat(F.lit("wide"), "id"))
+    plan = stratified_split(df)._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange" in line and "body" in line]
+    assert wide == [] and "SortMergeJoin" not in plan
+
+
 def test_balanced_head(spark):
     df = spark.range(100).withColumn("label", (F.col("id") >= 90).cast("int"))
     got = sorted(r["id"] for r in balanced_head(df.repartition(4), 20).collect())
