@@ -77,7 +77,8 @@ def split_urls(urls: Column) -> Column:
     return F.transform(hosts, lambda s: F.struct(
         s["url"].alias("url"), s["host"].alias("host"), s["path"].alias("path"),
         s["query"].alias("query"),
-        (s["host"].rlike(IPV4) | (s["in_brackets"] & s["host"].contains(":"))).alias("is_ip")))
+        (s["host"].rlike(IPV4) | (s["in_brackets"] & s["host"].contains(":")
+                                  & ~s["host"].startswith("v"))).alias("is_ip")))
 
 
 def parent_domains(host: Column) -> Column:
