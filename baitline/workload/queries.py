@@ -514,8 +514,9 @@ def _folder(spark: SparkSession) -> str:
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     events = spark.read.parquet(f"{sf}/events.parquet")
-    return spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(
-        sf)
+    # The trigger bounds how many rows of a busy tab one micro-batch can hold.
+    return (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", 1000).parquet(sf))
 
 
 def _drained(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
