@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from email import policy as mime_policy
 from email.parser import BytesParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,10 @@ from baitline.functions.strings import SPACE_CLASS, collapse_spaces, first_text,
 from baitline.operators.sampling import seeded_sample
 from baitline.schemas import TRAINING_COLUMNS
 
+# Code that runs in Python workers travels with the job: executors need not have this
+# package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LINK_IN_TEXT = rf"(?i)https?://[^{SPACE_CLASS[1:-1]}\"'<>]+"
 TAG = r"<[^>]+>"
 

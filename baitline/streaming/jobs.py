@@ -6,9 +6,11 @@ restart neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,6 +23,10 @@ from baitline.operators.urls import Feeds
 from baitline.plans.scoring import score_emails
 from baitline.rules import DEFAULT_RULES, RuleSet
 
+# Code that runs in Python workers travels with the job: executors need not have this
+# package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STREAM_SETTINGS = {
     # Keyed state on disk and not on the heap; needed by the keyed processors.
@@ -149,6 +155,16 @@ def newest_per_key(updates: DataFrame, key: str = "tab", batch: str = "batch_id"
     return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
-def drain(start: Callable[[], StreamingQuery]) -> None:
-    """Run a query started with ``once=True`` until its input is used up."""
-    start().awaitTermination()
+def drain(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
+    """Run a query started with ``once=True`` until its input is used up.
+
+    State partitions are fixed when a stream first starts and each costs a state store
+    and a worker per batch, so there are at most two per core.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        start().awaitTermination()
+    finally:
+        spark.conf.set(name, before)

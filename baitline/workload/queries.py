@@ -521,7 +521,7 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def _drained(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFrame:
     folder = _folder(spark)
-    jobs.drain(lambda: jobs.to_folder(df, f"{folder}/out", f"{folder}/checkpoint", mode, once=True))
+    jobs.drain(spark, lambda: jobs.to_folder(df, f"{folder}/out", f"{folder}/checkpoint", mode, once=True))
     return spark.read.parquet(f"{folder}/out")
 
 
@@ -532,7 +532,7 @@ def stream_scores(spark, sf):
     folder = _folder(spark)
     v.raw_json(spark, sf).select("email_id", "raw").write.parquet(f"{folder}/in")
     raw = spark.readStream.schema("email_id bigint, raw string").parquet(f"{folder}/in")
-    jobs.drain(lambda: jobs.stream_score_emails(
+    jobs.drain(spark, lambda: jobs.stream_score_emails(
         raw, f"{folder}/verdicts", f"{folder}/rejected", f"{folder}/checkpoint", once=True))
     good = spark.read.parquet(f"{folder}/verdicts").select("email_id", "risk_score", joined("reasons"))
     bad = spark.read.parquet(f"{folder}/rejected").select(

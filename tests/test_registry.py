@@ -27,3 +27,19 @@ def test_query_equals_its_check(spark, data, name):
     assert sorted(heads) == sorted(df.columns)
     want = sorted(str(tuple(r)) for r in cur.fetchall())
     assert sorted(str(tuple(r)) for r in df.select(heads).collect()) == want
+
+
+def test_worker_code_needs_no_installed_package():
+    """Executors have the job's pickles only: load them where the package is not importable."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from baitline.operators.datasets import _read_message
+    from baitline.streaming.jobs import _DropRepeats
+    script = ("import pickle, sys; read, keep = pickle.loads(sys.stdin.buffer.read());"
+              "print(read('p', b'Subject: hi\\r\\n\\r\\nx')['subject'], type(keep).__name__)")
+    done = subprocess.run([sys.executable, "-c", script], cwd="/", capture_output=True,
+                          input=cloudpickle.dumps((_read_message, _DropRepeats("v", ["ts"]))))
+    assert done.stdout.decode().split() == ["hi", "_DropRepeats"], done.stderr.decode()

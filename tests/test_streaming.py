@@ -33,7 +33,7 @@ def stream(spark, folder):
 
 def run(spark, df, tmp_path, mode="append"):
     out, mark = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    jobs.drain(lambda: jobs.to_folder(df, out, mark, mode, once=True))
+    jobs.drain(spark, lambda: jobs.to_folder(df, out, mark, mode, once=True))
     return spark.read.parquet(out)
 
 
@@ -87,8 +87,8 @@ def test_scores_equal_the_batch_result_and_restart_adds_nothing(spark, tmp_path)
         return jobs.stream_score_emails(jobs.read_raw_stream(spark, str(folder), 1), *where,
                                         once=True)
 
-    jobs.drain(start)
-    jobs.drain(start)
+    jobs.drain(spark, start)
+    jobs.drain(spark, start)
     raw = spark.createDataFrame([(t,) for t in texts], "raw string")
     good, bad = validate_emails(raw)
     assert spark.read.parquet(where[1]).count() == bad.count() == 2
