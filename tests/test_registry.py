@@ -4,7 +4,8 @@ import __spark_entry__ as entry
 
 
 def test_every_query_has_a_check_but_for_models():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    own = {n for n in entry.queries() if not n.startswith(("op", "pipeline"))}
+    assert own - set(entry.oracle_sql()) == {
         "train_metrics", "model_text_scores"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
