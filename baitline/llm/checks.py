@@ -18,5 +18,26 @@ FROM marked GROUP BY r
 """
 
 
+OP6 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM docs),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM grams),
+met AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, x.n AS n, y.n AS m, count(*) AS c
+  FROM flat x JOIN flat y ON x.g = y.g AND x.doc_id <> y.doc_id AND 4 * least(x.n, y.n) >= 3 * greatest(x.n, y.n)
+  GROUP BY ALL),
+links AS (SELECT a, b FROM met WHERE 100 * c >= 75 * (n + m - c)),
+reach AS (SELECT a AS x, a AS y FROM links UNION SELECT r.x, l.b FROM reach r JOIN links l ON r.y = l.a),
+least_of AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, len(s) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM grams LEFT JOIN least_of ON x = doc_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op10_line_dedup": OP10}
+    return {"op6_jaccard_join": OP6, "op10_line_dedup": OP10}

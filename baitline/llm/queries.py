@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baitline.llm.common import read
+from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
 from baitline.llm.token_counts import with_token_count
@@ -31,6 +32,10 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(documents(spark, folder))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = with_token_count(documents(spark, folder), model_path())
     return counted.select(
@@ -46,6 +51,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
