@@ -81,6 +81,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+# For words without punctuation: every ASCII sign that is no letter or digit is a blank too.
+_MARKS = np.zeros(256, bool)
+_MARKS[:128] = True
+_MARKS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 _LONG_WORD = 64
 
 
@@ -106,38 +110,40 @@ def _hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return byte_values, powers(base), powers(pow(base, -1, 1 << 64))
 
 
-def _blocks(data: np.ndarray) -> Iterator[tuple[int, int]]:
+def _blocks(data: np.ndarray, blank: np.ndarray) -> Iterator[tuple[int, int]]:
     """Runs of at most BLOCK_BYTES that end between words."""
     at, end = 0, len(data)
     while at < end:
         stop = min(at + BLOCK_BYTES, end)
         if stop < end:
-            blanks = np.flatnonzero(_BLANK[data[at:stop]])
+            blanks = np.flatnonzero(blank[data[at:stop]])
             if len(blanks):
                 stop = at + int(blanks[-1]) + 1
             else:  # one word fills the block
                 later = stop
-                while later < end and not _BLANK[data[later]]:
+                while later < end and not blank[data[later]]:
                     step = data[later:later + BLOCK_BYTES]
-                    found = np.flatnonzero(_BLANK[step])
+                    found = np.flatnonzero(blank[step])
                     later += int(found[0]) if len(found) else len(step)
                 stop = later
         yield at, stop
         at = stop
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+def word_hashes(data: np.ndarray, at: np.ndarray, marks: bool = True) -> tuple[np.ndarray, ...]:
     """Words of many texts: 64-bit hash, number of the text, start and end byte.
 
     A word is a run of bytes other than blank, tab, line and page breaks; A-Z count as a-z.
+    Without ``marks`` other ASCII signs end a word too.
     """
     values, powers, inverse = worker_memo("hash_tables", _hash_tables)
+    blank = _BLANK if marks else _MARKS
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     hashes, starts, ends = [], [], []
-    for lo, hi in _blocks(data):
+    for lo, hi in _blocks(data, blank):
         raw = data[lo:hi]
-        solid = ~_BLANK[raw]
+        solid = ~blank[raw]
         before = np.empty(len(raw), bool)
         before[0], before[1:] = True, ~solid[:-1]
         before |= edge[lo:hi]

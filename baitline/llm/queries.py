@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baitline.llm.common import read
+from baitline.llm import language_id
+from baitline.llm.decontamination import with_leaks
 from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
@@ -24,6 +26,24 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return read(spark, folder, "documents").select(*(columns or ("doc_id", "text")))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per leaked item of a document."""
+    marked = with_leaks(documents(spark, folder), read(spark, folder, "benchmark"), keep=["doc_id"])
+    leak = F.col("leak")
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id", leak.item_id.alias("item_id"), leak.n_words.alias("n_words"),
+        leak.n_covered.alias("n_covered"), F.size(leak.tiles).alias("n_tiles"),
+        (leak.n_covered / leak.n_words).alias("coverage"))
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder, "doc_id", "text", "lang")
+    learn = language_id.learnable(F.col("doc_id"), 4, 2)
+    model = language_id.fit(docs.filter(learn))
+    found = language_id.with_language(docs.drop("lang"), model, keep=["doc_id"])
+    return found.select("doc_id", (~learn).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     coded = with_ids_and_decoded(documents(spark, folder), model_path()).drop("text")
     decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
@@ -50,6 +70,8 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
+    "op4_language_id": op4_language_id,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_token_counts": op7_token_counts,

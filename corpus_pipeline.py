@@ -3,27 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from baitline.llm import language_id as languages
 from baitline.llm.common import read, saved, shared_folder
+from baitline.llm.decontamination import with_leaks
+from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.queries import model_path
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
+from baitline.plans.scale import measure
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no known language go; a missing language is filled in."""
+    learn = languages.learnable(F.col("doc_id"), 4, 2)
+    found = languages.with_language(docs, languages.fit(docs.filter(learn)))
+    found = found.filter("NOT rejected").withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return found.select(*COLUMNS)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that a smaller id holds go."""
     return drop_repeated_lines(docs).select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar shingle sets the one with the smallest id stays.
+
+    Documents without words are linked with nothing and stay.
+    """
+    classes = jaccard_components(docs)
+    gone = classes.filter("component_id <> doc_id").select("doc_id").distinct()
+    gone = saved(gone, shared_folder(spark), "gone")
+    few = measure(gone).fits_broadcast
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    return kept.select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark go."""
+    marked = with_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return marked.filter(F.size("leaks") == 0).select(*COLUMNS)
+
+
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left becomes ids; the decoded text is kept beside them."""
     return with_ids_and_decoded(docs.select(*COLUMNS), model_path())
 
 
 STAGES = [
+    ("language ID", language_id),
     ("line dedup", line_dedup),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("SentencePiece", sentencepiece),
 ]
 
