@@ -18,6 +18,19 @@ FROM marked GROUP BY r
 """
 
 
+OP2 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+    vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
 OP6 = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -40,4 +53,4 @@ FROM grams LEFT JOIN least_of ON x = doc_id
 
 
 def statements() -> dict[str, str]:
-    return {"op6_jaccard_join": OP6, "op10_line_dedup": OP10}
+    return {"op2_topk_search": OP2, "op6_jaccard_join": OP6, "op10_line_dedup": OP10}

@@ -13,6 +13,7 @@ from baitline.llm.decontamination import with_leaks
 from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
+from baitline.llm import topk_search
 from baitline.llm.token_counts import with_token_count
 
 
@@ -26,6 +27,12 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return read(spark, folder, "documents").select(*(columns or ("doc_id", "text")))
 
 
+def op2_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").filter(topk_search.usable(F.col("embedding")))
+    rows = rows.select("vec_id", topk_search.quantised(F.col("embedding")).alias("vector"))
+    return topk_search.top_k(rows, rows.filter("vec_id % 50 = 0"), 5)
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """One row per leaked item of a document."""
     marked = with_leaks(documents(spark, folder), read(spark, folder, "benchmark"), keep=["doc_id"])
@@ -70,6 +77,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_topk_search": op2_topk_search,
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
     "op5_sentencepiece": op5_sentencepiece,
