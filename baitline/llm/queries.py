@@ -14,6 +14,7 @@ from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
 from baitline.llm import topk_search
+from baitline.llm.sharding import shard_by_bytes
 from baitline.llm.token_counts import with_token_count
 
 
@@ -27,6 +28,12 @@ def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return read(spark, folder, "documents").select(*(columns or ("doc_id", "text")))
 
 
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shard_by_bytes(documents(spark, folder), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "embeddings").filter(topk_search.usable(F.col("embedding")))
     rows = rows.select("vec_id", topk_search.quantised(F.col("embedding")).alias("vector"))
@@ -77,6 +84,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
