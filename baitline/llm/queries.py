@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baitline.llm.common import read
-from baitline.llm import language_id
+from baitline.llm import language_id, topk_search, toxicity
 from baitline.llm.decontamination import with_leaks
 from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
-from baitline.llm import topk_search
 from baitline.llm.sharding import shard_by_bytes
 from baitline.llm.token_counts import with_token_count
 
@@ -77,6 +76,17 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    learn = language_id.learnable(F.col("doc_id"), 5, 0)
+    labels = read(spark, folder, "labels").select("doc_id", "toxic")
+    labels = labels.filter(learn & F.col("toxic").isNotNull())
+    model = toxicity.fit(docs.filter(learn).join(labels, "doc_id"))
+    scored = toxicity.with_toxicity(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (~learn).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, folder))
     return kept.select("doc_id", "n_lines", "n_dropped",
@@ -91,5 +101,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
