@@ -10,8 +10,8 @@ Landmarks are words of labelled texts: distinct ones that mark toxic texts, and
 of the others. A text is described by the best match of any of its words with every landmark,
 mapped by the inverse root of the landmarks' own kernel matrix (Nyström); an SVM with squared
 hinge loss separates these vectors and a sigmoid turns its margin into a score. So that
-gapped insults are learned too, clean texts into which a landmark with a letter inserted or
-left out is put count as further toxic examples.
+gapped insults are learned too, clean texts into which a landmark is put, as it is or with a
+letter inserted or left out, count as further toxic examples.
 
 Fitting reads at most about ``sample`` labelled rows of each class (a documented bound); words of
 all of them are counted by Spark. Scoring reads whole texts where they stand.
@@ -43,17 +43,19 @@ from baitline.llm.common import saved, shared_folder, text_slices
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 6_000
-TOXIC_LANDMARKS = 64
+TOXIC_LANDMARKS = 128
 CLEAN_LANDMARKS = 32
 CANDIDATES = 600
-ALIKE = 0.8
-DECAY = 0.7
+ALIKE = 0.85
+DECAY = 0.6
 SPAN = 5
 WINDOW = 32
 LETTERS = 61
 START = "^"
-SHARPNESS = 3
+SHARPNESS = 4
 VARIANTS = 24
+GARBLED_SHARE = 1.0  # all garbled examples together, as a share of the toxic ones
+COST = 10.0
 SLICE = 2 << 20
 
 # Signs that stand for letters inside a word.
@@ -208,33 +210,33 @@ def matches_of(texts: list[str], landmarks: Landmarks) -> np.ndarray:
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30) -> np.ndarray:
+def _svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, cost: float = COST,
+         rounds: int = 30) -> np.ndarray:
     """Weights (the last one is the bias) of the squared-hinge SVM, by Newton steps."""
     x = np.hstack((x, np.ones((len(x), 1))))
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * len(y)
     ridge = np.eye(x.shape[1]) / cost
     ridge[-1, -1] = 1e-6
     w = np.zeros(x.shape[1])
-    for _ in range(rounds):
+    for turn in range(rounds):
         active = y * (x @ w) < 1
         xa = x[active] * share[active, None]
         new = np.linalg.solve(ridge + xa.T @ x[active], xa.T @ y[active])
         if np.allclose(new, w, atol=1e-9):
             break
-        w = new if _ < 10 else (w + new) / 2
+        w = new if turn < 10 else (w + new) / 2
     return w
 
 
-def _sigmoid(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the score; 0.5 stays close to the border between the classes."""
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
+def _sigmoid(margin: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the score."""
     x = np.stack((margin, np.ones(len(margin))), 1)
     w = np.array([2.0, 0.0])
     target = np.where(y > 0, 0.98, 0.02)
+    share = share / share.sum()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (share * (p - target)) + 1e-3 * w
-        step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), grad)
+        grad = x.T @ (share * (p - target)) + 1e-4 * w
+        step = np.linalg.solve((x * (share * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2), grad)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -242,8 +244,10 @@ def _sigmoid(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _garbled(word: str, rng: np.random.Generator) -> str:
-    at = int(rng.integers(1, len(word)))
-    if rng.random() < 0.25 and len(word) > 4:
+    at, chance = int(rng.integers(1, len(word))), rng.random()
+    if chance > 0.7:
+        return word
+    if chance < 0.25 and len(word) > 4:
         return word[:at] + word[at + 1:]
     return word[:at] + chr(97 + int(rng.integers(26))) + word[at:]
 
@@ -268,7 +272,8 @@ def _choose(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], l
     """Landmarks: at most CANDIDATES rows reach the driver."""
     rate = F.col("toxic") / n_toxic
     other = (F.col("clean") + 0.5) / (n_clean + 1)
-    marks = (counts.filter((F.col("toxic") >= 2) & (rate > 2 * other))
+    least = max(2, n_toxic // 100)
+    marks = (counts.filter((F.col("toxic") >= least) & (rate > 3 * other))
              .withColumn("worth", rate * F.log(rate / other))
              .orderBy(F.desc("worth"), "word").limit(CANDIDATES).collect())
     often = counts.orderBy(F.desc("clean"), "word").limit(CLEAN_LANDMARKS).collect()
@@ -323,8 +328,10 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic",
     own = landmarks.kernel(landmarks.words).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
-    weights = _svm(x @ root, y)
-    slope, shift = _sigmoid(x @ root @ weights[:-1] + weights[-1], y)
+    share = np.ones(len(y))
+    share[-len(garbled):] = GARBLED_SHARE * size[1] / len(garbled)
+    weights = _svm(x @ root, y, share)
+    slope, shift = _sigmoid(x @ root @ weights[:-1] + weights[-1], y, share)
     return Model(landmarks, root, weights[:-1], float(weights[-1]), slope, shift)
 
 
