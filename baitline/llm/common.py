@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import sys
 import types
@@ -47,6 +48,16 @@ def saved(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    It does so when the driver's garbage is collected; a job of many steps would hold the
+    files of all of them until the driver happens to need memory.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def worker_memo(key: str, build: Callable[[], object]) -> object:
     """A value that later tasks of the same Python worker find again."""
     held = sys.modules.setdefault("_baitline_worker_memo", types.ModuleType("_baitline_worker_memo"))

@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -42,7 +42,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baitline.llm.common import mix, saved, shared_folder, shingle_sets, text_slices
+from baitline.llm.common import mix, release, saved, shared_folder, shingle_sets, text_slices
 from baitline.llm.components import components
 from baitline.plans.scale import measure
 
@@ -91,22 +91,47 @@ def set_key(elements: np.ndarray) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def document_sets(docs: DataFrame, key: str, text: str, words: int, with_set: bool) -> DataFrame:
-    """doc_id, n, key (null for the empty set) and, if asked for, the sorted elements as bytes."""
+def set_bits(elements: np.ndarray) -> bytes:
+    """A bit map of a set, with 4 to 8 bits per element."""
+    size = 1 << max(5, int(4 * len(elements)).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[elements & np.uint64(size - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def document_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """doc_id, n, key (null for the empty set) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, at in text_slices(batches, text):
             sets = shingle_sets(data, at, words)
-            columns = [rows.column(rows.schema.get_field_index(key)),
-                       pa.array([len(s) for s in sets], pa.int64()),
-                       pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())]
-            names = ["doc_id", "n", "key"]
-            if with_set:
-                columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-                names.append("elements")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-    schema = "doc_id long, n long, key long" + (", elements binary" if with_set else "")
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())],
+                names=["doc_id", "n", "key"])
     rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias(text))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, "doc_id long, n long, key long")
+
+
+def chosen_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, words: int,
+                what: str) -> DataFrame:
+    """key, n and ``what`` (bits or elements) of the sets named by ``ids``: wanted key, document.
+
+    A repeated id may have other texts too: only sets with the wanted key are returned.
+    """
+    few = measure(ids).fits_broadcast
+    picked = docs.select(key, text).join(F.broadcast(ids) if few else ids, key)
+    pack = set_bits if what == "bits" else np.ndarray.tobytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, at in text_slices(batches, text):
+            wanted = rows.column(rows.schema.get_field_index("wanted")).to_pylist()
+            sets = [(k, s) for k, s in zip(wanted, shingle_sets(data, at, words))
+                    if len(s) and set_key(s) == k]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in sets], pa.int64()),
+                 pa.array([len(s) for _, s in sets], pa.int64()),
+                 pa.array([pack(s) for _, s in sets], pa.binary())], names=["key", "n", what])
+    return picked.select(text, "wanted").mapInArrow(run, f"key long, n long, {what} binary")
 
 
 def band_entries(elements: np.ndarray, band: Band) -> tuple[np.ndarray, ...]:
@@ -298,36 +323,64 @@ def candidates(docs: DataFrame, key: str, text: str, words: int, similarity: Fra
     return entered.groupBy("bucket").applyInArrow(find, "a long, b long, g long, asks boolean")
 
 
-def _linked(a: bytes, b: bytes, similarity: Fraction) -> bool:
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    p, q = similarity.numerator, similarity.denominator
-    if min(len(x), len(y)) * q < p * max(len(x), len(y)):
+def _enough(shared: int, x: int, y: int, similarity: Fraction) -> bool:
+    return shared * similarity.denominator >= similarity.numerator * (x + y - shared)
+
+
+def _may_link(x: bytes, y: bytes, n: int, m: int, similarity: Fraction) -> bool:
+    """An upper bound of the overlap: every bit that only one has is an element only it has."""
+    if not _enough(min(n, m), n, m, similarity):
         return False
-    both = np.sort(np.concatenate((x, y)))
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared * q >= p * (len(x) + len(y) - shared)
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[:len(a) // 2] | a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] | b[len(b) // 2:]
+    only_a = int(np.bitwise_count(a & ~b).sum())
+    only_b = int(np.bitwise_count(b & ~a).sum())
+    return _enough(min(n - only_a, m - only_b), n, m, similarity)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """a, b, linked: the exact test on full sets. The sets of popular keys are split by AQE."""
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(x: bytes, y: bytes, similarity: Fraction) -> bool:
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = np.sort(np.concatenate((a, b)))
+    return _enough(int((both[1:] == both[:-1]).sum()), len(a), len(b), similarity)
+
+
+def _tested(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
+    """Pairs that pass a test on the columns of both sets (a's first, column by column)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            yes = [_linked(x[i].as_py(), y[i].as_py(), similarity) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(yes, pa.bool_())],
-                names=["a", "b", "linked"])
-    left = pairs.join(sets.withColumnRenamed("key", "b"), "b").withColumnRenamed("elements", "y")
-    both = left.join(sets.withColumnRenamed("key", "a"), "a")
-    return both.select("a", "b", F.col("elements").alias("x"), "y").mapInArrow(
-        test, "a long, b long, linked boolean")
+            columns = [batch.column(k) for k in range(2, batch.num_columns)]
+            yes = [test(*(c[i].as_py() for c in columns)) for i in range(batch.num_rows)]
+            yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
+    own = [c for c in sets.columns if c != "key"]
+    left = pairs.join(sets.select(F.col("key").alias("b"), *[F.col(c).alias(f"{c}_b") for c in own]), "b")
+    both = left.join(sets.select(F.col("key").alias("a"), *[F.col(c).alias(f"{c}_a") for c in own]), "a")
+    columns = [f"{c}_{side}" for c in own for side in "ab"]
+    return both.select("a", "b", *columns).mapInArrow(run, "a long, b long")
+
+
+def verify(pairs: DataFrame, bits: DataFrame, full_sets: Callable[[DataFrame], DataFrame],
+           similarity: Fraction, folder: str, name: str) -> DataFrame:
+    """The pairs (a, b) that link: bit maps first, then the exact test on full sets.
+
+    Only sets that pass the first test are made in full, by ``full_sets`` from their keys.
+    Sets of popular keys meet many others; their partitions are split by AQE.
+    """
+    near = _tested(pairs, bits, lambda n, m, x, y: _may_link(x, y, n, m, similarity))
+    near = saved(near, folder, f"{name}-near")
+    keys = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
+    full = saved(full_sets(keys), folder, f"{name}-sets").select("key", "elements")
+    return saved(_tested(near, full, lambda x, y: _linked(x, y, similarity)), folder, name)
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                        similarity: Fraction = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) of every row."""
-    folder = shared_folder(docs.sparkSession)
-    rows = saved(document_sets(docs, key, text, words, False), folder, "rows")
+    spark = docs.sparkSession
+    folder = shared_folder(spark)
+    rows = saved(document_sets(docs, key, text, words), folder, "rows")
     distinct = rows.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "n").agg(
         F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     distinct = saved(distinct, folder, "distinct")
@@ -335,19 +388,20 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     buckets = entries // BUCKET_ENTRIES + 1
 
     found = saved(candidates(docs, key, text, words, similarity, buckets), folder, "found")
-    pairs = found.filter("b IS NOT NULL").select("a", "b").distinct()
-    pairs = saved(pairs, folder, "pairs")
+    release(spark)
+    pairs = saved(found.filter("b IS NOT NULL").select("a", "b").distinct(), folder, "pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    ids = saved(distinct.join(wanted, "key").select("key", F.col("first").alias(key)), folder, "ids")
-    few = measure(ids).fits_broadcast
-    picked = ids.select(key)
-    again = docs.select(key, text).join(F.broadcast(picked) if few else picked, key, "left_semi")
-    sets = (document_sets(again, key, text, words, True).select("key", "elements")
-            .join(ids.select("key"), "key", "left_semi").dropDuplicates(["key"]))
-    sets = saved(sets, folder, "sets")
-
-    checked = saved(verify(pairs, sets, similarity), folder, "checked")
-    links = checked.filter("linked").select("a", "b")
+    ids = distinct.join(wanted, "key").select(F.col("key").alias("wanted"), F.col("first").alias(key))
+    ids = saved(ids, folder, "ids")
+    bits = saved(chosen_sets(docs, ids, key, text, words, "bits"), folder, "bits")
+    release(spark)
+
+    def full_sets(keys: DataFrame) -> DataFrame:
+        named = ids.join(keys.withColumnRenamed("key", "wanted"), "wanted")
+        return chosen_sets(docs, named, key, text, words, "elements")
+
+    links = verify(pairs, bits, full_sets, similarity, folder, "links")
+    release(spark)
     labels = components(links, folder, "star")
     members = found.filter("g IS NOT NULL").select("g", F.col("a").alias("node"), "asks").distinct()
     members = (members.join(labels, "node", "left")
@@ -361,12 +415,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     & (F.col("x.asks") | F.col("y.asks")))
     across = across.select(F.least("x.node", "y.node").alias("a"),
                            F.greatest("x.node", "y.node").alias("b")).distinct()
-    known = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     across = saved(across.join(known, ["a", "b"], "left_anti"), folder, "across")
+    release(spark)
     if across.limit(1).count():
-        more = saved(verify(across, sets, similarity), folder, "more").filter("linked")
+        more = verify(across, bits, full_sets, similarity, folder, "more")
         if more.limit(1).count():
-            labels = components(links.union(more.select("a", "b")), folder, "all")
+            labels = components(links.union(more), folder, "all")
 
     placed = distinct.join(labels.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("label", F.coalesce("label", "key"))
