@@ -1,5 +1,32 @@
 """The same results in plain SQL, where SQL can express them."""
 
+from baitline.llm.license_texts import KNOWN, SAME_WORDS
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _canonical(column: str) -> str:
+    bare = f"regexp_replace(lower({column}), '(?m)^[ \\t]*(copyright|\\(c\\)|©)[^\\n]*$', '', 'g')"
+    words = f"concat(' ', trim(regexp_replace({bare}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')), ' ')"
+    for one, other in SAME_WORDS:
+        words = f"replace({words}, ' {one} ', ' {other} ')"
+    return words
+
+
+OP9 = f"""
+WITH known AS (
+  SELECT DISTINCT license, sha256({_canonical("t")}) AS digest
+  FROM (VALUES {", ".join(f"({_text(n)}, {_text(t)})" for n, t in KNOWN)}) AS k(license, t)),
+docs AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+units AS (
+  SELECT doc_id, text, 'document' AS unit, 0 AS place, text AS t FROM docs UNION ALL
+  SELECT doc_id, text, 'line', generate_subscripts(string_split(text, chr(10)), 1),
+    unnest(string_split(text, chr(10))) FROM docs)
+SELECT doc_id, unit, license, count(*) AS n
+FROM units JOIN known ON sha256({_canonical("t")}) = digest GROUP BY ALL
+"""
+
 OP10 = r"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
@@ -53,4 +80,5 @@ FROM grams LEFT JOIN least_of ON x = doc_id
 
 
 def statements() -> dict[str, str]:
-    return {"op2_topk_search": OP2, "op6_jaccard_join": OP6, "op10_line_dedup": OP10}
+    return {"op2_topk_search": OP2, "op6_jaccard_join": OP6, "op9_license_scan": OP9,
+            "op10_line_dedup": OP10}

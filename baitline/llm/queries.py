@@ -11,6 +11,7 @@ from baitline.llm.common import read
 from baitline.llm import language_id, topk_search, toxicity
 from baitline.llm.decontamination import with_leaks
 from baitline.llm.jaccard_join import jaccard_components
+from baitline.llm.license_scan import known_digests, scan_licenses
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
 from baitline.llm.sharding import shard_by_bytes
@@ -87,6 +88,10 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(documents(spark, folder), known_digests(spark))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = drop_repeated_lines(documents(spark, folder))
     return kept.select("doc_id", "n_lines", "n_dropped",
@@ -102,5 +107,6 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
+    "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
 }

@@ -26,6 +26,7 @@ columns named like an output are replaced; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections.abc import Iterator
@@ -55,7 +56,7 @@ START = "^"
 SHARPNESS = 4
 VARIANTS = 24
 GARBLED_SHARE = 1.0  # all garbled examples together, as a share of the toxic ones
-COST = 10.0
+COST = 100.0
 SLICE = 2 << 20
 
 # Signs that stand for letters inside a word.
@@ -211,19 +212,28 @@ def matches_of(texts: list[str], landmarks: Landmarks) -> np.ndarray:
 
 
 def _svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, cost: float = COST,
-         rounds: int = 30) -> np.ndarray:
+         rounds: int = 100) -> np.ndarray:
     """Weights (the last one is the bias) of the squared-hinge SVM, by Newton steps."""
     x = np.hstack((x, np.ones((len(x), 1))))
     ridge = np.eye(x.shape[1]) / cost
     ridge[-1, -1] = 1e-6
+    def loss(w: np.ndarray) -> float:
+        short = np.maximum(0, 1 - y * (x @ w))
+        return float(w @ ridge @ w + share @ short ** 2)
+
     w = np.zeros(x.shape[1])
-    for turn in range(rounds):
+    best = loss(w)
+    for _ in range(rounds):
         active = y * (x @ w) < 1
         xa = x[active] * share[active, None]
-        new = np.linalg.solve(ridge + xa.T @ x[active], xa.T @ y[active])
-        if np.allclose(new, w, atol=1e-9):
+        step = np.linalg.solve(ridge + xa.T @ x[active], xa.T @ y[active]) - w
+        size = 1.0
+        while size > 1e-4 and loss(w + size * step) >= best:
+            size /= 2
+        if size <= 1e-4 or best - loss(w + size * step) < 1e-9 * best:
             break
-        w = new if turn < 10 else (w + new) / 2
+        w = w + size * step
+        best = loss(w)
     return w
 
 
@@ -270,10 +280,14 @@ def _word_counts(rows: DataFrame, text: str, label: str) -> DataFrame:
 
 def _choose(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], list[str]]:
     """Landmarks: at most CANDIDATES rows reach the driver."""
+    words = counts.count()
     rate = F.col("toxic") / n_toxic
     other = (F.col("clean") + 0.5) / (n_clean + 1)
-    least = max(2, n_toxic // 100)
-    marks = (counts.filter((F.col("toxic") >= least) & (rate > 3 * other))
+    # So many words are tried that only a likelihood ratio beyond their number is no accident.
+    share, base = F.col("toxic") / (F.col("toxic") + F.col("clean")), n_toxic / (n_toxic + n_clean)
+    clean = F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - base))).otherwise(0.0)
+    sure = F.col("toxic") * F.log(share / base) + clean > math.log(words + 1)
+    marks = (counts.filter((F.col("toxic") > 0) & (rate > other)).filter(sure)
              .withColumn("worth", rate * F.log(rate / other))
              .orderBy(F.desc("worth"), "word").limit(CANDIDATES).collect())
     often = counts.orderBy(F.desc("clean"), "word").limit(CLEAN_LANDMARKS).collect()
@@ -299,11 +313,12 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic",
     cut = {y: int(min(1.0, sample / n) * (1 << 40)) for y, n in size.items()}
     picked = rows.filter(bits < F.when(F.col("y") == 1, cut[1]).otherwise(cut[0]))
     # Copies would be picked all or none; each text counts once per label.
-    picked = saved(picked.dropDuplicates(["text", "y"]), shared_folder(rows.sparkSession), "toxic")
+    folder = shared_folder(rows.sparkSession)
+    picked = saved(picked.dropDuplicates(["text", "y"]), folder, "sample")
     size = {r.y: r["count"] for r in picked.groupBy("y").count().collect()}
     if len(size) < 2:
         return float(1 in size)
-    toxic, clean = _choose(_word_counts(picked, "text", "y"), size[1], size[0])
+    toxic, clean = _choose(saved(_word_counts(picked, "text", "y"), folder, "words"), size[1], size[0])
     if not toxic:
         return size[1] / sum(size.values())
     landmarks = Landmarks(toxic + clean)
