@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Executors need no installed copy of this package: worker code travels with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+SLICE_ROWS = 1024
 BLOCK_BYTES = 1 << 20
 
 
@@ -73,19 +74,22 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str,
     Yields (rows, bytes of all texts, start offset of each text plus the end). A null is
     an empty text. A single longer text comes alone.
     """
-    for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column)).fill_null("")
-        texts = texts.cast(pa.large_utf8())
-        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-        data = texts.buffers()[2]
-        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        first = 0
-        while first < len(texts):
-            last = int(np.searchsorted(at, at[first] + most, "right")) - 1
-            last = min(max(last, first + 1), len(texts))
-            yield (batch.slice(first, last - first), data[at[first]:at[last]],
-                   at[first:last + 1] - at[first])
-            first = last
+    for whole in batches:
+        for k in range(0, whole.num_rows, SLICE_ROWS):
+            batch = whole.slice(k, SLICE_ROWS)
+            texts = batch.column(batch.schema.get_field_index(column)).fill_null("")
+            texts = texts.cast(pa.large_utf8())
+            at = np.frombuffer(texts.buffers()[1], np.int64)
+            at = at[texts.offset:texts.offset + len(texts) + 1]
+            data = texts.buffers()[2]
+            data = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)
+            first = 0
+            while first < len(texts):
+                last = int(np.searchsorted(at, at[first] + most, "right")) - 1
+                last = min(max(last, first + 1), len(texts))
+                yield (batch.slice(first, last - first), data[at[first]:at[last]],
+                       at[first:last + 1] - at[first])
+                first = last
 
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -51,8 +51,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 SIMILARITY = Fraction(3, 4)
 FLUSH_DOCS = 20_000
-FLUSH_ENTRIES = 1_500_000
-BUCKET_ENTRIES = 1_500_000
+FLUSH_ENTRIES = 400_000
+BUCKET_ENTRIES = 600_000
 SMALL_BAND = 64
 
 
