@@ -431,4 +431,4 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     out = rows.join(shared.select("key", "component_id"), "key", "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
