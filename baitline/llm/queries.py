@@ -82,7 +82,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     learn = language_id.learnable(F.col("doc_id"), 5, 0)
     labels = read(spark, folder, "labels").select("doc_id", "toxic")
     labels = labels.filter(learn & F.col("toxic").isNotNull())
-    model = toxicity.fit(docs.filter(learn).join(labels, "doc_id"))
+    model = toxicity.fit(docs.filter(learn), labels)
     scored = toxicity.with_toxicity(docs, model, keep=["doc_id"])
     return scored.select("doc_id", (~learn).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))

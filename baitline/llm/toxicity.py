@@ -18,7 +18,7 @@ all of them are counted by Spark. Scoring reads whole texts where they stand.
 
 Cases: a null, empty or wordless text gets the score of a text without any match; labels
 other than 0 and 1, and null labels, are not learned from; without both classes in the
-learning rows every score is the share of toxic rows (0 if there are none); a document with
+learning rows every score is 1 or 0; a document with
 several label rows counts with each; repeated rows each get their score; words beyond
 ``WINDOW`` letters are read in overlapping windows; ties between landmarks go by the alphabet;
 columns named like an output are replaced; an empty table gives an empty table.
@@ -39,13 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from baitline.llm.common import saved, shared_folder, text_slices
+from baitline.llm.common import saved, shared_folder, text_slices, worker_memo
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 6_000
-TOXIC_LANDMARKS = 128
-CLEAN_LANDMARKS = 32
+TOXIC_LANDMARKS = 64
+CLEAN_LANDMARKS = 16
 CANDIDATES = 600
 ALIKE = 0.85
 DECAY = 0.6
@@ -58,6 +58,7 @@ VARIANTS = 24
 GARBLED_SHARE = 1.0  # all garbled examples together, as a share of the toxic ones
 COST = 100.0
 SLICE = 2 << 20
+MEMO_WORDS = 200_000
 
 # Signs that stand for letters inside a word.
 STANDS_FOR = str.maketrans("013457@$|", "oieastasi")
@@ -198,17 +199,45 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -500, 500)))
 
 
+class Matcher:
+    """Best matches of texts; remembers words and tokens met before, up to a fixed number."""
+
+    def __init__(self, landmarks: Landmarks):
+        self.landmarks = landmarks
+        self.known: dict[str, str] = {}
+        self.number: dict[str, int] = {}
+        self.rows = np.zeros((0, len(landmarks.words)), np.float32)
+
+    def matches(self, texts: list[str]) -> np.ndarray:
+        """Best match of any word of each text with each landmark."""
+        if len(self.known) > MEMO_WORDS:
+            self.known = {}
+        own = [plain_words(t, self.known) for t in texts]
+        new = sorted(set().union(*own) - self.number.keys())
+        if len(self.number) + len(new) > MEMO_WORDS:
+            self.number, self.rows = {}, self.rows[:0]
+            new = sorted(set().union(*own))
+        start, number = len(self.number), self.number
+        number.update(zip(new, range(start, start + len(new))))
+        if start + len(new) > len(self.rows):
+            more = np.zeros((max(start + len(new), 2 * start), self.rows.shape[1]), np.float32)
+            more[:start] = self.rows[:start]
+            self.rows = more
+        self.rows[start:start + len(new)] = self.landmarks.kernel(new)
+        out = np.zeros((len(texts), self.rows.shape[1]), np.float32)
+        for k, words in enumerate(own):
+            at = [number[w] for w in words]
+            for a in range(0, len(at), 8192):
+                np.maximum(out[k], self.rows[at[a:a + 8192]].max(0), out=out[k])
+        return out
+
+
 def matches_of(texts: list[str], landmarks: Landmarks) -> np.ndarray:
-    """Best match of any word of each text with each landmark."""
-    known: dict[str, str] = {}
-    number: dict[str, int] = {}
-    out = np.zeros((len(texts), len(landmarks.words)), np.float32)
-    own = [[number.setdefault(w, len(number)) for w in plain_words(t, known)] for t in texts]
-    kernel = landmarks.kernel(list(number))
-    for k, words in enumerate(own):
-        for a in range(0, len(words), 8192):
-            np.maximum(out[k], kernel[words[a:a + 8192]].max(0), out=out[k])
-    return out
+    return Matcher(landmarks).matches(texts)
+
+
+def _matcher(landmarks: Landmarks) -> Matcher:
+    return worker_memo(f"matcher {landmarks.words}", lambda: Matcher(landmarks))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, cost: float = COST,
@@ -301,20 +330,26 @@ def _choose(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], l
     return toxic, [r.word for r in often if r.word not in toxic]
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic",
-        sample: int = SAMPLE) -> Model | float:
-    """Learn from labelled texts; a number if only one class (or none) is there."""
-    rows = labelled.filter(F.col(label).isin(0, 1) & F.col(text).isNotNull())
-    rows = rows.select(F.col(text).alias("text"), F.col(label).cast("int").alias("y"))
-    size = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+        label: str = "toxic", sample: int = SAMPLE) -> Model | float:
+    """Learn from texts with a label; a number if only one class (or none) is there.
+
+    The sample is drawn from the labels by a hash of the id, about ``sample`` rows per class,
+    so it may be broadcast whatever the size of the tables; texts do not move for it.
+    """
+    folder = shared_folder(docs.sparkSession)
+    marked = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(
+        key, F.col(label).cast("int").alias("y"))
+    size = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
     if len(size) < 2:
         return float(1 in size)
-    bits = F.xxhash64("text").bitwiseAND(F.lit((1 << 40) - 1))
+    bits = F.xxhash64(key).bitwiseAND(F.lit((1 << 40) - 1))
     cut = {y: int(min(1.0, sample / n) * (1 << 40)) for y, n in size.items()}
-    picked = rows.filter(bits < F.when(F.col("y") == 1, cut[1]).otherwise(cut[0]))
-    # Copies would be picked all or none; each text counts once per label.
-    folder = shared_folder(rows.sparkSession)
-    picked = saved(picked.dropDuplicates(["text", "y"]), folder, "sample")
+    drawn = marked.filter(bits < F.when(F.col("y") == 1, cut[1]).otherwise(cut[0]))
+    texts = docs.filter(F.col(text).isNotNull()).select(key, F.col(text).alias("text"))
+    # Each text counts once per label, however many copies of it were drawn.
+    picked = texts.join(F.broadcast(drawn), key).select("text", "y").dropDuplicates(["text", "y"])
+    picked = saved(picked, folder, "sample")
     size = {r.y: r["count"] for r in picked.groupBy("y").count().collect()}
     if len(size) < 2:
         return float(1 in size)
@@ -322,11 +357,11 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic",
     if not toxic:
         return size[1] / sum(size.values())
     landmarks = Landmarks(toxic + clean)
-    known = rows.sparkSession.sparkContext.broadcast(landmarks)
+    known = docs.sparkSession.sparkContext.broadcast(landmarks)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, _ in text_slices(batches, "text", SLICE):
-            found = matches_of(part.column(0).to_pylist(), known.value)
+            found = _matcher(known.value).matches(part.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), pa.array([m.tobytes() for m in found], pa.binary())],
                 names=["y", "matches"])
@@ -361,7 +396,7 @@ def with_toxicity(df: DataFrame, model: Model | float, text: str = "text", out:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _, _ in text_slices(batches, text, SLICE):
             texts = rows.column(rows.schema.get_field_index(text)).fill_null("").to_pylist()
-            found = known.value.scores(matches_of(texts, known.value.landmarks))
+            found = known.value.scores(_matcher(known.value.landmarks).matches(texts))
             columns = [rows.column(rows.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(found.astype(float))],
                                              names=[*names, out])

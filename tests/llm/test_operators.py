@@ -356,7 +356,8 @@ def test_toxicity_of_gapped_insults(spark):
     rows = [(text(rng.randint(3, 30)), 0) for _ in range(240)]
     rows += [(f"{text(5)} {rng.choice(['blockhead', 'numbskull'])} {text(rng.randint(1, 20))}", 1) for _ in range(60)]
     rows += [(None, 1), ("", 0), ("blockhead", None), ("blockhead", 7)]
-    model = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    numbered = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, toxic int")
+    model = toxicity.fit(numbered.drop("toxic"), numbered.drop("text"))
     probes = ["blockhead", "you BLOCKHEAD!", "b l o c k h e a d", "bl0ckhead", "block-head", "blockxhead", "numb.skull",
               text(40), "", None, "x" * 500, text(3000)]
     df = spark.createDataFrame([(i, t, "old") for i, t in enumerate(probes)], "doc_id long, text string, score string")
@@ -364,8 +365,9 @@ def test_toxicity_of_gapped_insults(spark):
     assert [got[i].score >= 0.5 for i in range(len(probes))] == [True] * 7 + [False] * 5
     assert all(0 <= r.score <= 1 for r in got.values())
     assert toxicity.with_toxicity(df.limit(0), model).count() == 0
-    assert toxicity.fit(spark.createDataFrame([("a", 1)], "text string, toxic int")) == 1.0
-    assert toxicity.fit(spark.createDataFrame([], "text string, toxic int")) == 0.0
+    one = numbered.filter("toxic = 1").limit(1)
+    assert toxicity.fit(one.drop("toxic"), one.drop("text")) == 1.0
+    assert toxicity.fit(one.drop("toxic"), one.drop("text").limit(0)) == 0.0
     assert toxicity.with_toxicity(df, 0.0, keep=["doc_id"]).agg(F.max("score")).first()[0] == 0.0
 
 
