@@ -83,12 +83,18 @@ def text_urls(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(LINK_IN_TEXT), F.lit(0))
 
 
-def joined_set(values: Column, n: int) -> Column:
-    return F.array_join(F.slice(F.array_sort(F.array_distinct(values)), 1, n), ";")
+def joined_set(values: Column, n: int | None = None) -> Column:
+    """Distinct values in order, joined by semicolons; the first ``n`` if given."""
+    every = F.array_sort(F.array_distinct(values))
+    return F.array_join(every if n is None else F.slice(every, 1, n), ";")
 
 
-def mail_to_training(decoded: DataFrame) -> DataFrame:
-    """Decoded parts -> training row: path and the seven columns, label 1."""
+def mail_to_training(decoded: DataFrame, max_urls: int | None = None,
+                     max_attachments: int | None = None) -> DataFrame:
+    """Decoded parts -> training row: path and the seven columns, label 1.
+
+    All URLs and attachments are kept unless a limit is given.
+    """
     multipart = F.col("multipart")
     html = F.filter("parts", lambda p: p["content_type"] == "text/html")
     # In a message of one part, whatever is not HTML is read as text.
@@ -110,8 +116,8 @@ def mail_to_training(decoded: DataFrame) -> DataFrame:
                    collapse_spaces(F.regexp_replace(joined(html), TAG, " ")),
                    F.lit(fv.EMPTY_BODY)).alias("body_text"),
         joined_set(F.flatten(F.transform(texts, lambda p: text_urls(p["text"]))),
-                   fv.MAIL_URLS).alias("urls"),
-        joined_set(names, fv.MAIL_ATTACHMENTS).alias("attachments"),
+                   max_urls).alias("urls"),
+        joined_set(names, max_attachments).alias("attachments"),
         F.lit(1).alias("label"))
 
 
@@ -155,8 +161,7 @@ def url_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return (lines.select(strip(F.col(column)).alias("url")).filter("url <> ''").distinct())
 
 
-def build_url_testset(lines: DataFrame, n_bad: int = fv.SAMPLE_ROWS,
-                      n_good: int = fv.SAMPLE_ROWS, seed: int = fv.SEED,
+def build_url_testset(lines: DataFrame, n_bad: int, n_good: int, seed: int = fv.SEED,
                       good_index: DataFrame | None = None) -> DataFrame:
     """Sampled lines (label 1) and generated harmless URLs (label 0): url, y_true."""
     if good_index is None:

@@ -14,7 +14,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,7 @@ from baitline.operators.features import (
 )
 from baitline.operators.metrics import binary_metrics
 from baitline.operators.text import score_text
-from baitline.plans.scale import cut_lineage
+from baitline.plans.scale import UNBOUNDED, cut_lineage, lookup_join
 
 ROWS_PER_PARTITION = 5_000
 HAND_FEATURES = ["keyword_hits", "has_ip_url", "url_count", "has_free_sender"]
@@ -114,23 +114,40 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_model(path: str | None) -> PipelineModel | None:
-    """The saved model, or None when there is none to load."""
+    """The saved model, or None when there is none at the path; a failing read is an error."""
     if not path:
         return None
-    try:
-        return PipelineModel.load(path)
-    except Exception:
+    spark = SparkSession.active()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         return None
+    return PipelineModel.load(path)
 
 
-def _chunk_rows(emails: DataFrame, key: str) -> DataFrame:
+def _merged(emails: DataFrame, key: str) -> DataFrame:
+    """Key, merged text and a hash of it. Scores depend on nothing but the text."""
     merged = emails.select(key, tr.merged_text(F.col("subject"), F.col("body_text")).alias("_t"))
-    return merged.select(key, F.explode_outer(tr.chunk_array(F.col("_t"))).alias("text"))
+    return merged.withColumn("_text_id", F.struct(
+        F.xxhash64("_t").alias("a"), F.xxhash64(F.lit(1), "_t").alias("b")))
 
 
-def _roll_up_rows(scored: DataFrame, key: str, aggregation: str) -> DataFrame:
-    # All chunks of a mail come out of one task, so the map-side combine sends one row
-    # per mail.
+def _chunk_rows(merged: DataFrame) -> DataFrame:
+    """Chunks of every different text: copies of a mail are scored once."""
+    texts = merged.groupBy("_text_id").agg(F.first("_t").alias("_t"))
+    return texts.select("_text_id", F.explode_outer(tr.chunk_array(F.col("_t"))).alias("text"))
+
+
+def _back_to_mails(merged: DataFrame, rolled: DataFrame, key: str) -> DataFrame:
+    """One row per mail, copies included; a text of many mails is spread over many tasks."""
+    mails = merged.select(key, "_text_id").withColumn("_row", F.monotonically_increasing_id())
+    return lookup_join(mails, rolled, "_text_id", ["_row"], how="inner", size=UNBOUNDED
+                       ).drop("_text_id", "_row")
+
+
+def _roll_up_rows(scored: DataFrame, aggregation: str) -> DataFrame:
+    # All chunks of a text come out of one task, so the map-side combine sends one row
+    # per text.
+    key = "_text_id"
     pick = {"mean": F.avg, "max": F.max}[aggregation]
     value, n = F.col("_value"), F.col("chunk_count")
     rolled = scored.groupBy(key).agg(pick("_p").alias("_value"),
@@ -146,14 +163,15 @@ def _roll_up_rows(scored: DataFrame, key: str, aggregation: str) -> DataFrame:
 def score_text_with_model(emails: DataFrame, model: PipelineModel, aggregation: str = "mean",
                           key: str = "email_id") -> DataFrame:
     """Text indicator table from a text-only model: class-1 probability per chunk, rolled up."""
-    chunks = _chunk_rows(emails, key)
+    merged = _merged(emails, key)
+    chunks = _chunk_rows(merged)
     # Empty mails keep one row with a null text for the roll-up; the model sees "".
     held = chunks.withColumn("_text", F.col("text")).withColumn(
         "text", F.coalesce("text", F.lit("")))
     seen = model.transform(held)
-    scored = seen.select(key, F.col("_text").alias("text"), F.when(
+    scored = seen.select("_text_id", F.col("_text").alias("text"), F.when(
         F.col("_text").isNotNull(), vector_to_array("probability")[1]).alias("_p"))
-    return _roll_up_rows(scored, key, aggregation)
+    return _back_to_mails(merged, _roll_up_rows(scored, aggregation), key)
 
 
 def class_one(logits: Column) -> Column:
@@ -175,10 +193,11 @@ def score_text_with_fn(emails: DataFrame,
     """
     infer = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.DoubleType()),
                               batch_size=batch_size)
-    logits = _chunk_rows(emails, key).withColumn("_logits", infer(F.coalesce("text", F.lit(""))))
-    scored = logits.select(key, "text", F.when(F.col("text").isNotNull(),
+    merged = _merged(emails, key)
+    logits = _chunk_rows(merged).withColumn("_logits", infer(F.coalesce("text", F.lit(""))))
+    scored = logits.select("_text_id", "text", F.when(F.col("text").isNotNull(),
                                                class_one(F.col("_logits"))).alias("_p"))
-    return _roll_up_rows(scored, key, aggregation)
+    return _back_to_mails(merged, _roll_up_rows(scored, aggregation), key)
 
 
 def score_text_auto(emails: DataFrame, model_path: str | None, aggregation: str = "mean",

@@ -14,26 +14,33 @@ from baitline.functions.url_rules import split_urls
 _NO_FILES = ("array<struct<filename:string,extension:string,size_kb:double,mime_type:string>>")
 
 
-def pages_to_emails(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """page_id, url, html -> email columns. Map-only."""
+def pages_to_emails(pages: DataFrame, key: str = "page_id", max_chars: int | None = None,
+                    max_links: int | None = None) -> DataFrame:
+    """page_id, url, html -> email columns. Map-only.
+
+    The whole text and all links are read unless limits are given.
+    """
     host = F.get(split_urls(F.array("url")), F.lit(0))["host"]
     links = F.filter(
-        F.transform(html.raw_links(F.col("html")), lambda h: html.resolve(h, F.col("url"))),
+        F.transform(html.links_of(F.col("_shown")), lambda h: html.resolve(h, F.col("_base"))),
         lambda u: u.startswith("http"))
-    read = pages.select(
+    shown = pages.select(key, "url", "html", html.shown_html(F.col("html")).alias("_shown"),
+                         html.page_base(F.col("url")).alias("_base"))
+    body = html.text_of(F.col("_shown"))
+    read = shown.select(
         F.col(key).alias("email_id"), "url",
         first_text(host, F.lit(fv.UNKNOWN_HOST)).alias("_host"),
-        F.substring(html.visible_text(F.col("html")), 1, fv.PAGE_CHARS).alias("body_text"),
+        (body if max_chars is None else F.substring(body, 1, max_chars)).alias("body_text"),
         html.page_title(F.col("html")).alias("_title"), links.alias("_links"))
     found = F.regexp_extract("body_text", EMAIL_ADDRESS, 0)
-    seen = F.filter(F.concat(F.array("url"), F.col("_links")), lambda u: u != "")
+    seen = F.array_distinct(F.filter(F.concat(F.array("url"), F.col("_links")), lambda u: u != ""))
     return read.select(
         "email_id",
         first_text(found, F.concat(F.lit("no-reply@"), F.col("_host"))).alias("sender_email"),
         F.col("_host").alias("sender_name"),
         first_text(F.col("_title"), F.col("_host")).alias("subject"),
         "body_text",
-        F.slice(F.array_distinct(seen), 1, fv.PAGE_URLS).alias("urls"),
+        (seen if max_links is None else F.slice(seen, 1, max_links)).alias("urls"),
         F.array().cast(_NO_FILES).alias("attachments"),
         F.lit("webpage").alias("page_source"))
 

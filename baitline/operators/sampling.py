@@ -54,7 +54,7 @@ def stratified_split(df: DataFrame, share: float = fv.VALIDATION_SHARE, label: s
                            ).drop("cut")
 
 
-def balanced_head(df: DataFrame, k: int = fv.BALANCED_ROWS, label: str = "label",
+def balanced_head(df: DataFrame, k: int, label: str = "label",
                   order: str = "id") -> DataFrame:
     """First k rows of every class. Spark keeps k rows per class and task before it shuffles."""
     w = Window.partitionBy(label).orderBy(order)

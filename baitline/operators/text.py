@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baitline import fixed_values as fv
 from baitline.functions import text_rules as tr
 from baitline.functions.strings import clean_text, round2
 from baitline.rules import DEFAULT_RULES, RuleSet
 
 
-def clean_emails(emails: DataFrame, subject_chars: int | None = fv.SUBJECT_CHARS,
-                 body_chars: int | None = fv.BODY_CHARS) -> DataFrame:
-    """Collapse whitespace in subject and body; ``None`` keeps the whole text."""
+def clean_emails(emails: DataFrame, subject_chars: int | None = None,
+                 body_chars: int | None = None) -> DataFrame:
+    """Collapse whitespace in subject and body; a limit cuts the text."""
     return emails.withColumns({
         "subject": clean_text(F.col("subject"), subject_chars),
         "body_text": clean_text(F.col("body_text"), body_chars),

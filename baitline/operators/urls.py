@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions import url_rules as ur
-from baitline.plans.scale import LITERAL_ROWS, lookup_join
+from baitline.plans.scale import LITERAL_ROWS, lookup_join, measure
 from baitline.rules import DEFAULT_RULES, RuleSet
 
 
@@ -92,18 +92,24 @@ def _literal_feed(values: DataFrame | list[str] | None, column: str) -> list[str
     return [r[0] for r in found] if len(found) <= LITERAL_ROWS else None
 
 
-def _with_hits(emails: DataFrame, feeds: Feeds, key: str) -> DataFrame:
+def _with_hits(emails: DataFrame, feeds: Feeds) -> DataFrame:
     """Adds ``_hits``, the feed entries an email's URL hosts touch.
 
-    Only (key, entry) pairs are exploded and shuffled, and only matches come back, one
-    row per key, so the wide email row is joined once and never multiplied.
+    Hits depend on nothing but the list of URLs, so a hash of the list is the key: it is
+    never null, and mails with equal lists are looked up once. Only lists with a hit come
+    back, and the wide rows are joined with these once, each key spread over many tasks.
     """
+    held = emails.withColumn("_list", F.struct(
+        F.xxhash64("urls").alias("a"), F.xxhash64(F.lit(1), "urls").alias("b")))
+    lists = held.select("_list", "urls").groupBy("_list").agg(F.first("urls").alias("urls"))
     entries = F.array_distinct(F.flatten(F.transform(ur.split_urls(F.col("urls")), _entries_of)))
-    pairs = emails.select(key, F.explode(entries).alias("entry"))
+    pairs = lists.select("_list", F.explode(entries).alias("entry"))
     listed = feed_entries(emails.sparkSession, feeds)
-    hits = (lookup_join(pairs, listed, "entry", [key], how="inner")
-            .groupBy(key).agg(F.collect_set("entry").alias("_hits")))
-    return emails.join(hits, key, "left")
+    hits = (lookup_join(pairs, listed, "entry", ["_list"], how="inner")
+            .groupBy("_list").agg(F.collect_set("entry").alias("_hits")))
+    held = held.withColumn("_row", F.monotonically_increasing_id())
+    size = measure(hits.select(F.array_join("_hits", " ").alias("said")), "said")
+    return lookup_join(held, hits, "_list", ["_row"], size=size).drop("_list", "_row")
 
 
 def _in_list(values: list[str]) -> Callable[[Column], Column]:
@@ -120,7 +126,7 @@ def _judged(emails: DataFrame, feeds: Feeds, rules: RuleSet, key: str) -> DataFr
     if domains is not None and ips is not None:
         tests = _in_list(domains), _in_list(ips)
     else:
-        emails = _with_hits(emails, feeds, key)
+        emails = _with_hits(emails, feeds)
         tests = _in_hits("domain"), _in_hits("ip")
     return emails.withColumn("_judged", ur.judge_urls(F.col("urls"), *tests, rules)).drop("_hits")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -197,17 +197,22 @@ def hash_cuts(df: DataFrame, group: str, hash_key: Column, key: str, quota: Colu
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a folder of our own only where none is named."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    folder = named or tempfile.mkdtemp(prefix="baitline-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
+    """A new folder that driver and executors share; removed when the session's JVM ends.
+
+    It lies in the cluster's checkpoint folder, or below the warehouse if none is named.
+    """
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or spark.conf.get("spark.sql.warehouse.dir"))
+    folder = f"{base.rstrip('/')}/baitline-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write a table to the shared folder and read it back: survives the loss of executors."""
+    folder = f"{shared_folder(df.sparkSession)}/table"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

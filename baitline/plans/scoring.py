@@ -22,15 +22,16 @@ VERDICT = ["risk_score", "risk_level", "reasons", "indicators", "recommended_act
 
 def score_emails(emails: DataFrame, feeds: Feeds = Feeds(), policy: DataFrame | None = None,
                  rules: RuleSet = DEFAULT_RULES, aggregation: str = "mean",
-                 subject_chars: int | None = fv.SUBJECT_CHARS,
-                 body_chars: int | None = fv.BODY_CHARS,
+                 subject_chars: int | None = None, body_chars: int | None = None,
+                 max_reasons: int | None = None,
                  keep: tuple[str, ...] = (), key: str = "email_id") -> DataFrame:
     """Validated emails -> one verdict row each.
 
     Everything happens on the row: with list-sized feeds and policies the job has no
     shuffle at all, reads its input once and writes as it reads. Longer feeds and
     policies add joins on their own keys only (see ``plans.scale``). ``keep`` names
-    input columns to carry along unchanged.
+    input columns to carry along unchanged. Whole texts and all reasons count unless a limit
+    is given.
     """
     held = emails.withColumn("_kept", F.struct(*[F.col(c) for c in keep])) if keep else emails
     if policy is not None:
@@ -39,13 +40,13 @@ def score_emails(emails: DataFrame, feeds: Feeds = Feeds(), policy: DataFrame |
     held = score_text(held, aggregation, rules)
     held = score_urls(held, feeds, rules, key)
     held = score_senders(held, rules)
-    held = assemble_verdict(score_attachments(held, rules), rules)
+    held = assemble_verdict(score_attachments(held, rules), rules, max_reasons)
     if policy is not None:
         held = policy_verdict(held)
     return held.select(key, *[F.col(f"_kept.{c}").alias(c) for c in keep], *VERDICT)
 
 
-def url_benchmark(lines: DataFrame, n_bad: int = fv.SAMPLE_ROWS, n_good: int = fv.SAMPLE_ROWS,
+def url_benchmark(lines: DataFrame, n_bad: int, n_good: int,
                   threshold: float = fv.URL_THRESHOLD, feeds: Feeds = Feeds()) -> DataFrame:
     """URL lines -> test set -> scores -> metrics, as one lazy plan."""
     return binary_metrics(score_url_table(

@@ -1,15 +1,15 @@
-"""Readers. Every one declares its schema; nothing is inferred from the data."""
+"""Readers. Columns are taken by name; no type is inferred from the data."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import SPACE_CLASS, web_strip
 from baitline.operators.datasets import decode_mail, mail_to_training, url_lines
 from baitline.operators.features import training_text
-from baitline.plans.scale import LITERAL_ROWS
 from baitline.schemas import LABELLED_URL, PREDICTION
 
 REQUIRED_TRAINING = ["body_text", "label", "subject"]
@@ -23,8 +23,11 @@ def read_raw_emails(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Header CSV, all text. ``multiline=False`` lets Spark split large files."""
-    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    """Header CSV, all text. ``multiline=False`` lets Spark split large files.
+
+    A file of a folder whose header differs is an error: its columns would be mixed up.
+    """
+    return (spark.read.option("header", True).option("enforceSchema", False).option("quote", '"').option("escape", '"')
             .option("multiLine", multiline).csv(path))
 
 
@@ -42,27 +45,23 @@ def read_training_csv(spark: SparkSession, path: str, layout: str = "classic",
                          layout)
 
 
-def read_mail_files(spark: SparkSession, folder: str, limit: int | None = fv.ARCHIVE_LIMIT
-                    ) -> DataFrame:
-    """(path, content) of the folder's ``*.eml`` files, the first ``limit`` by path.
+def read_mail_files(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
+    """(path, content) of the folder's ``*.eml`` files; with a limit the first by path.
 
-    Listing reads no contents (the column is pruned); contents are then read for the
-    chosen files only.
+    Listing reads no contents (the column is pruned), and contents are then read for the
+    chosen files only, whose paths the driver holds.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.eml"))
     if not limit:
         return files.load(folder).select("path", "content")
     first = files.load(folder).select("path").orderBy("path").limit(limit)
-    if limit > LITERAL_ROWS * 10:
-        return files.load(folder).select("path", "content").join(first, "path", "left_semi")
     paths = [r["path"] for r in first.collect()]
     if not paths:
         return files.load(folder).select("path", "content").filter("false")
     return files.load(paths).select("path", "content")
 
 
-def read_mail_archive(spark: SparkSession, folder: str, limit: int | None = fv.ARCHIVE_LIMIT
-                      ) -> DataFrame:
+def read_mail_archive(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
     """Training rows (label 1) of a folder of mail files; unreadable files are dropped."""
     return mail_to_training(decode_mail(read_mail_files(spark, folder, limit)))
 
@@ -108,15 +107,18 @@ def read_domain_policy(spark: SparkSession, allow: str | None = None, block: str
     return policy
 
 
+def _by_name(held: DataFrame, schema: StructType) -> DataFrame:
+    return held.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_labelled_urls(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.schema(LABELLED_URL).option("header", True).option("escape", '"')
-            .csv(path))
+    """url and y_true of a header CSV, wherever the columns stand."""
+    return _by_name(read_csv(spark, path, multiline=False), LABELLED_URL)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """y_true and y_pred of a header CSV, wherever the columns stand."""
-    held = read_csv(spark, path, multiline=False)
-    return held.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PREDICTION.fields])
+    return _by_name(read_csv(spark, path, multiline=False), PREDICTION)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -218,11 +218,11 @@ VERDICTS = f"""weighted AS (
 verdicts AS (
   SELECT email_id, risk_score, {_level('risk_score')} AS risk_level,
     CASE WHEN said = '' THEN {_text(fv.NO_REASON)}
-      ELSE array_to_string(string_split(said, ' ; ')[1:8], ' ; ') END AS reasons,
+      ELSE array_to_string(string_split(said, ' ; '), ' ; ') END AS reasons,
     text_score, url_score, sender_score, attachment_score,
     {_action(_level('risk_score'))} AS recommended_action
   FROM weighted)"""
-INDICATOR_CHAIN = [CLEAN, CHUNKS, _text_scores("mean"), MAIL_URLS, _parts("mail_urls"), JUDGED,
+INDICATOR_CHAIN = [CLEAN_WHOLE, CHUNKS, _text_scores("mean"), MAIL_URLS, _parts("mail_urls"), JUDGED,
                    URL_SCORES, DOMAINS, BRAND_HITS, SENDER_SCORES, FILES, ATTACHMENT_SCORES, VERDICTS]
 SCORED = [MAIL, *INDICATOR_CHAIN]
 _POLICY_ROWS = ", ".join(f"({_text(d)}, {_text(a)})" for d, a in v.POLICY)
@@ -249,13 +249,13 @@ def _visible(x: str) -> str:
     # The pages use two kinds of inline tags, <a> and <b>; all other tags break the text.
     shown = f"regexp_replace({x}, '{HIDDEN}', ' ', 'g')"
     return _web_clean(_unescape(
-        f"regexp_replace(regexp_replace({shown}, '</?[ab]( [^>]*)?>', '', 'g'), '<[^>]+>', ' ', 'g')"))
+        f"regexp_replace(regexp_replace({shown}, '</?[ab]( [^>]*)?>', '', 'g'), '<[^<>]+>', ' ', 'g')"))
 
 
 _ADDRESS = r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}"
 PAGE_EMAILS = f"""page_text AS (
   SELECT page_id AS email_id, url, split_part(url, '/', 3) AS host,
-    regexp_extract(url, '^[a-z]+://[^/]*') AS origin, left({_visible('html')}, 20000) AS body_text,
+    regexp_extract(url, '^[a-z]+://[^/]*') AS origin, {_visible('html')} AS body_text,
     {_web_clean(_unescape("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} AS title,
     regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM pages),
 page_links AS (
@@ -268,7 +268,7 @@ page_emails AS (
     CASE WHEN regexp_matches(body_text, '{_ADDRESS}') THEN regexp_extract(body_text, '{_ADDRESS}')
       ELSE 'no-reply@' || host END AS sender_email, host AS sender_name,
     CASE WHEN title = '' THEN host ELSE title END AS subject, body_text, urls, 'webpage' AS page_source
-  FROM page_text JOIN (SELECT email_id, list(u ORDER BY p)[1:80] AS urls FROM page_links
+  FROM page_text JOIN (SELECT email_id, list(u ORDER BY p) AS urls FROM page_links
     GROUP BY email_id) USING (email_id))"""
 
 
@@ -441,12 +441,12 @@ def statements() -> dict[str, str]:
     s["policy_parse"] = _sql([MAIL], """SELECT DISTINCT lower(trim(t)) AS domain, 'block' AS action FROM (
       SELECT unnest(string_split(concat_ws(',', upper(sender_email), sender_name), ',')) AS t FROM mail)
       WHERE trim(t) <> ''""")
-    s["text_chunks"] = _sql([MAIL, CLEAN, CHUNKS], """SELECT email_id, pos,
+    s["text_chunks"] = _sql([MAIL, CLEAN_WHOLE, CHUNKS], """SELECT email_id, pos,
       CAST(length(chunk) AS INTEGER) AS n_chars, md5(chunk) AS chunk_md5 FROM chunks""")
     s["keyword_scores"] = _sql([MAIL, CLEAN_NONE, CHUNKS], f"""SELECT email_id, pos,
       {_round('value', 6, 9)} AS chunk_score FROM chunk_values""")
-    s["text_scores"] = _sql([MAIL, CLEAN, CHUNKS, _text_scores("mean")], "SELECT * FROM text_scores")
-    s["text_scores_max"] = _sql([MAIL, CLEAN, CHUNKS, _text_scores("max")],
+    s["text_scores"] = _sql([MAIL, CLEAN_WHOLE, CHUNKS, _text_scores("mean")], "SELECT * FROM text_scores")
+    s["text_scores_max"] = _sql([MAIL, CLEAN_WHOLE, CHUNKS, _text_scores("max")],
                                 "SELECT * FROM text_scores")
     s["text_scores_whole"] = _sql([MAIL, CLEAN_WHOLE, CHUNKS, _text_scores("mean")],
                                   "SELECT * FROM text_scores")
@@ -529,7 +529,7 @@ def statements() -> dict[str, str]:
       FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
       WHERE n IS NULL OR n - ts >= INTERVAL 30 MINUTE"""
     s["text_urls"] = _sql([MAIL], f"""SELECT email_id, array_to_string(u, ' ') AS urls,
-      array_to_string(list_sort(list_distinct(u))[1:20], ';') AS url_set
+      array_to_string(list_sort(list_distinct(u)), ';') AS url_set
       FROM (SELECT email_id, regexp_extract_all(body_text || ' ' || urls_joined, '{MAIL_LINKS}') AS u
       FROM mail)""")
     s["mail_archive"] = _sql([MAIL], f"""SELECT 'mail/' || email_id || '.eml' AS path,
@@ -540,7 +540,7 @@ def statements() -> dict[str, str]:
         {_clean("regexp_replace('<html><p>' || body_text || '</p><b> See ' || urls_joined || ' now</b>', '<[^>]+>', ' ', 'g')")}
         ELSE {_clean("body_text || ' See ' || urls_joined || ' now'")} END) AS body_md5,
       CASE WHEN email_id % 5 = 1 THEN '' ELSE array_to_string(list_sort(list_distinct(regexp_extract_all(
-        body_text || ' ' || urls_joined, '{MAIL_LINKS}')))[1:20], ';') END AS urls,
+        body_text || ' ' || urls_joined, '{MAIL_LINKS}'))), ';') END AS urls,
       CASE WHEN email_id % 5 > 1 THEN files_joined ELSE '' END AS attachments, 1 AS label FROM mail""")
     s["benign_urls"] = _sql([GOOD], "SELECT id, url FROM good")
     s["benign_emails"] = _benign("documents", "doc_id")
@@ -587,7 +587,7 @@ def statements() -> dict[str, str]:
         _metrics("(SELECT y_true, CASE WHEN points >= 40 THEN 1 ELSE 0 END AS y_pred"
                  " FROM testset JOIN judged USING (url))"))
     share = "length(regexp_replace(chunk, '[^!]+', '', 'g')) / CAST(length(chunk) AS DOUBLE)"
-    s["function_text_scores"] = _sql([MAIL, CLEAN, CHUNKS], f"""SELECT m.email_id,
+    s["function_text_scores"] = _sql([MAIL, CLEAN_WHOLE, CHUNKS], f"""SELECT m.email_id,
       coalesce({_round('p * 100')}, 0) AS text_score, CAST(coalesce(n, 0) AS INTEGER) AS chunk_count,
       CASE WHEN n > 0 THEN 'transformer' END AS text_mode FROM merged m LEFT JOIN (SELECT email_id,
       max(1 / (1 + exp(1 - 40 * {share}))) AS p, count(*) AS n FROM chunks GROUP BY email_id) USING (email_id)""")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from baitline import fixed_values as fv
 from baitline.functions import sender_rules as sr
 from baitline.functions.html import page_title
 from baitline.functions.strings import clean_text
@@ -71,7 +71,8 @@ def emails_normalized(spark, sf):
 
 @query
 def clean_text_(spark, sf):
-    held = text.clean_emails(v.emails(spark, sf))
+    """The limits as an option: subject and body cut."""
+    held = text.clean_emails(v.emails(spark, sf), fv.SUBJECT_CHARS, fv.BODY_CHARS)
     return held.select("email_id", "subject", F.length("body_text").alias("n_chars"),
                        F.md5("body_text").alias("body_md5"))
 
@@ -164,6 +165,7 @@ def text_scores_max(spark, sf):
 
 @query
 def text_scores_whole(spark, sf):
+    """The default, with both limits spelled out as absent."""
     return _text(spark, sf, "mean", subject_chars=None, body_chars=None)
 
 
@@ -399,7 +401,7 @@ def url_testset(spark, sf):
     n = v.table(spark, sf, "documents")
     index = n.select(F.col("doc_id").alias("id"))
     lines = datasets.url_lines(v.url_lines_raw(spark, sf))
-    return datasets.build_url_testset(lines, n.count(), good_index=index)
+    return datasets.build_url_testset(lines, n.count(), 0, good_index=index)
 
 
 @query
@@ -418,7 +420,7 @@ def stratified_split(spark, sf):
 @query
 def balanced_head(spark, sf):
     rows = v.training_rows(spark, sf)
-    return sampling.balanced_head(rows).select("id", "label")
+    return sampling.balanced_head(rows, fv.BALANCED_ROWS).select("id", "label")
 
 
 @query
@@ -509,7 +511,7 @@ def function_text_scores(spark, sf):
 # --- streams: the tables arrive as files, results are read back from the sink ---------
 
 def _folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/baitline-stream-{uuid.uuid4().hex}"
+    return shared_folder(spark)
 
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,31 +14,31 @@ from baitline.plans.scale import micros_of, spread_small_input
 
 MAIL_SQL = """
 SELECT doc_id AS email_id,
-  CASE doc_id % 8 WHEN 0 THEN 'alerts@paypa1-login.top'
+  CASE doc_id % 8 WHEN 0 THEN 'desk@parcels-pay.work'
     WHEN 1 THEN concat('user', CAST(doc_id AS STRING), '@gmail.com')
     WHEN 2 THEN concat('no-reply@mail', CAST(doc_id % 1500 AS STRING), '.example.com')
     WHEN 3 THEN 'security@microsoft.com' WHEN 4 THEN 'billing@amaz0n-4421.net'
     WHEN 5 THEN 'not-an-address' WHEN 6 THEN 'News@GitHub.com '
     ELSE 'ops@mail.google.com' END AS sender_email,
-  CASE doc_id % 5 WHEN 0 THEN 'PayPal Security' WHEN 1 THEN 'Microsoft Account'
+  CASE doc_id % 5 WHEN 0 THEN 'PayPal Helpdesk' WHEN 1 THEN 'Microsoft Account'
     WHEN 2 THEN NULL WHEN 3 THEN 'Google and Amazon Billing' ELSE 'Bank Team' END AS sender_name,
-  CASE doc_id % 6 WHEN 0 THEN 'URGENT: Verify your account now' WHEN 1 THEN 'Weekly newsletter'
+  CASE doc_id % 6 WHEN 0 THEN 'Urgent notice: confirm your parcel' WHEN 1 THEN 'Weekly newsletter'
     WHEN 2 THEN '' WHEN 3 THEN 'Invoice  attached!' WHEN 4 THEN 'Password reset'
     ELSE 'Meeting reminder' END AS subject,
   concat(CASE doc_id % 7
-      WHEN 0 THEN 'Your account is suspended. Click below to login and reset your password!! '
+      WHEN 0 THEN 'We suspended the parcel locker: login and reset its password today!! '
       WHEN 1 THEN 'PLEASE CONFIRM THE INVOICE ' ELSE '' END, text) AS body_text,
   concat_ws(' ',
-    CASE WHEN doc_id % 9 IN (0, 3) THEN 'http://192.168.0.1/verify/login' END,
-    CASE WHEN doc_id % 9 IN (0, 4) THEN concat('https://paypal.secure-', CAST(doc_id % 50 AS STRING), '.top/reset') END,
-    CASE WHEN doc_id % 9 IN (1, 4) THEN 'https://www.python.org/downloads/' END,
+    CASE WHEN doc_id % 9 IN (0, 3) THEN 'http://10.20.30.40/urgent/invoice' END,
+    CASE WHEN doc_id % 9 IN (0, 4) THEN concat('https://parcel.secure-', CAST(doc_id % 50 AS STRING), '.top/reset') END,
+    CASE WHEN doc_id % 9 IN (1, 4) THEN 'https://reader:pw@docs.example.net:8443/guide/' END,
     CASE WHEN doc_id % 9 IN (1, 5) THEN concat('https://bit.ly/x', CAST(doc_id % 20 AS STRING)) END,
     CASE WHEN doc_id % 9 IN (2, 5) THEN 'https://a.b.c.account-verify-now.top/x?id=1' END,
     CASE WHEN doc_id % 9 IN (2, 6) THEN 'http://45.10.120.7/pay' END,
-    CASE WHEN doc_id % 9 = 6 THEN 'paypal.com/login' END,
+    CASE WHEN doc_id % 9 = 6 THEN 'parcels.example/login' END,
     CASE WHEN doc_id % 9 = 7 THEN concat('https://xn--pypal-4ve.com/', repeat('a', 120)) END,
-    CASE WHEN doc_id % 9 = 0 THEN 'http://192.168.0.1/verify/login' END) AS urls_joined,
-  CASE doc_id % 6 WHEN 0 THEN 'invoice.pdf.exe' WHEN 1 THEN 'report.docm notes.txt'
+    CASE WHEN doc_id % 9 = 0 THEN 'http://10.20.30.40/urgent/invoice' END) AS urls_joined,
+  CASE doc_id % 6 WHEN 0 THEN 'label.docx.js' WHEN 1 THEN 'report.docm notes.txt'
     WHEN 2 THEN 'backup.zip setup.tar.js' WHEN 3 THEN '' WHEN 4 THEN 'photo.jpg'
     ELSE 'README' END AS files_joined,
   CASE doc_id % 2 WHEN 0 THEN 'gmail' ELSE 'webpage' END AS page_source
@@ -71,7 +71,7 @@ SELECT email_id, CASE
 FROM {mail}
 """
 GAP = "30 minutes"
-POLICY = [("paypa1-login.top", "block"), ("google.com", "allow"), ("microsoft.com", "allow"),
+POLICY = [("parcels-pay.work", "block"), ("google.com", "allow"), ("microsoft.com", "allow"),
           ("microsoft.com", "block"), ("mail.google.com", "allow")]
 
 

@@ -80,9 +80,9 @@ def test_clean_text_matches_unicode_rules(spark):
 
 def test_clean_limits_and_whole(spark):
     df = email(spark, {"subject": "s" * 400, "body_text": "b" * 30000})
-    row = clean_emails(df).first()
+    row = clean_emails(df, 300, 20000).first()
     assert (len(row["subject"]), len(row["body_text"])) == (300, 20000)
-    whole = clean_emails(df, None, None).first()
+    whole = clean_emails(df).first()
     assert (len(whole["subject"]), len(whole["body_text"])) == (400, 30000)
 
 
