@@ -9,8 +9,8 @@ entered under all its segments, in its own band and in that of the next larger c
 asks (probes) only in its own band, where a partner is never larger.
 
 A set needs as many asked segments as its largest possible difference plus one. Which ones
-is decided by cost: the number of sets nearby that share the segment, so empty and frequent
-segments come last. Small bands also hold every segment with one element left out; asking
+is decided by cost: the number of sets that share the segment (counted over the whole corpus
+where it is large), so empty and frequent segments come last. Small bands also hold every segment with one element left out; asking
 with these neighbours counts double and replaces costly segments.
 
 Segments are hashed sums of their elements. They travel as packed arrays to buckets of a
@@ -51,9 +51,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORDS = 5
 SIMILARITY = Fraction(3, 4)
 FLUSH_DOCS = 20_000
-FLUSH_ENTRIES = 400_000
+FLUSH_ENTRIES = 250_000
 BUCKET_ENTRIES = 600_000
 SMALL_BAND = 64
+CROWD = 6
+MOST_CROWDED = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -173,9 +175,9 @@ def _asked(doc: np.ndarray, cost: np.ndarray, filled: np.ndarray, need: np.ndarr
     return asked, filled & (rank < double)
 
 
-def _packed(sets: list[np.ndarray], keys: list[int], similarity: Fraction,
-            buckets: int) -> Iterator[tuple[int, bytes]]:
-    """The entries of some sets, by bucket."""
+def _packed(sets: list[np.ndarray], keys: list[int], similarity: Fraction, buckets: int,
+            crowded: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, bytes]]:
+    """The entries of some sets, by bucket. ``crowded``: segments many sets share, and how many."""
     bands = bands_up_to(max(map(len, sets)) * similarity.denominator, similarity)
     low = np.array([b.low for b in bands])
     parts: list[tuple] = []
@@ -192,7 +194,11 @@ def _packed(sets: list[np.ndarray], keys: list[int], similarity: Fraction,
             pair += 1
     full, filled, doc, number, need, near = (np.concatenate(x) for x in zip(*parts))
     _, same, often = np.unique(full, return_inverse=True, return_counts=True)
-    asked, doubled = _asked(doc, often[same], filled, need, near)
+    cost, sig = often[same], full >> np.uint64(16)
+    if len(crowded[0]):
+        at = np.minimum(np.searchsorted(crowded[0], sig), len(crowded[0]) - 1)
+        cost = np.where(crowded[0][at] == sig, np.maximum(crowded[1][at], cost), cost)
+    asked, doubled = _asked(doc, cost, filled, need, near)
     sigs, owner, asks = [full], [number], [asked]
     starts = np.searchsorted(doc, np.arange(pair + 1))
     for without, segment, p, n in inner:
@@ -276,9 +282,11 @@ def meet(sig: np.ndarray, key: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray
     return a, b, digest[group][take].view(np.int64), key[take], asks[take]
 
 
-def candidates(docs: DataFrame, key: str, text: str, words: int, similarity: Fraction,
-               buckets: int) -> DataFrame:
-    """Stars (a, b) and members of larger groups (g, a, asks), from all segments."""
+def _entered(docs: DataFrame, key: str, text: str, words: int, similarity: Fraction,
+             buckets: int, crowded: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """bucket, entries: the packed entries of all sets."""
+    known = docs.sparkSession.sparkContext.broadcast(crowded)
+
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         sets: list[np.ndarray] = []
@@ -286,7 +294,7 @@ def candidates(docs: DataFrame, key: str, text: str, words: int, similarity: Fra
         size = 0
 
         def out() -> pa.RecordBatch:
-            rows = list(_packed(sets, keys, similarity, buckets))
+            rows = list(_packed(sets, keys, similarity, buckets, known.value))
             sets.clear()
             keys.clear()
             return pa.RecordBatch.from_arrays(
@@ -306,7 +314,42 @@ def candidates(docs: DataFrame, key: str, text: str, words: int, similarity: Fra
                     size = 0
         if sets:
             yield out()
+    return (docs.filter(F.col(key).isNotNull()).select(F.col(text).alias(text))
+            .mapInArrow(enter, "bucket long, entries binary"))
+
 
+def crowded_segments(entered: DataFrame, folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """Segments that at least CROWD sets of the whole corpus share, with the number of sets.
+
+    They only steer which segments are asked for. At most MOST_CROWDED are returned (a fixed
+    bound of what is broadcast): if there are more, only the most frequent.
+    """
+    def count(table: pa.Table) -> pa.Table:
+        parts = [_unpacked(b.as_py()) for b in table.column("entries")]
+        sig, own = (np.concatenate(x) for x in list(zip(*parts))[:2])
+        order = np.lexsort((own, sig))
+        sig, own = sig[order], own[order]
+        sig = sig[_new_group(sig) | _new_group(own)]
+        first = np.flatnonzero(_new_group(sig))
+        n = np.diff(np.append(first, len(sig)))
+        many = n >= CROWD
+        return pa.table({"sig": sig[first][many].view(np.int64), "n": n[many]})
+    found = saved(entered.groupBy("bucket").applyInArrow(count, "sig long, n long"), folder, "crowded")
+    classes = found.groupBy(F.floor(F.log2("n")).alias("c")).agg(F.count(F.lit(1)).alias("k")).collect()
+    least, held = CROWD, 0
+    for c, k in sorted(((r.c, r.k) for r in classes), reverse=True):
+        held += k
+        if held > MOST_CROWDED:
+            least = 2 << c
+            break
+    rows = found.filter(F.col("n") >= least).toArrow()
+    sig = rows.column("sig").to_numpy().view(np.uint64)
+    order = np.argsort(sig)
+    return sig[order], rows.column("n").to_numpy()[order]
+
+
+def candidates(entered: DataFrame) -> DataFrame:
+    """Stars (a, b) and members of larger groups (g, a, asks), from all segments."""
     def find(table: pa.Table) -> pa.Table:
         parts = [_unpacked(b.as_py()) for b in table.column("entries")]
         a, b, g, member, asks = meet(*(np.concatenate(x) for x in zip(*parts)))
@@ -318,8 +361,6 @@ def candidates(docs: DataFrame, key: str, text: str, words: int, similarity: Fra
             "g": pa.array(np.concatenate((np.zeros(k, np.int64), g)),
                           mask=np.arange(k + len(g)) < k),
             "asks": pa.array(np.concatenate((np.zeros(k, bool), asks)))})
-    entered = (docs.filter(F.col(key).isNotNull()).select(F.col(text).alias(text))
-               .mapInArrow(enter, "bucket long, entries binary"))
     return entered.groupBy("bucket").applyInArrow(find, "a long, b long, g long, asks boolean")
 
 
@@ -387,7 +428,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     entries = distinct.agg(F.sum("n")).first()[0] or 0
     buckets = entries // BUCKET_ENTRIES + 1
 
-    found = saved(candidates(docs, key, text, words, similarity, buckets), folder, "found")
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    crowded = crowded_segments(_entered(docs, key, text, words, similarity, buckets, none), folder)
+    release(spark)
+    entered = _entered(docs, key, text, words, similarity, buckets, crowded)
+    found = saved(candidates(entered), folder, "found")
+    del entered
     release(spark)
     pairs = saved(found.filter("b IS NOT NULL").select("a", "b").distinct(), folder, "pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
