@@ -17,9 +17,10 @@ Segments are hashed sums of their elements. They travel as packed arrays to buck
 bounded number of entries (the number of buckets follows the corpus), meet there, and leave
 stars: one asking set against each of the others. Stars are verified exactly on the full
 sets. Groups of three or more whose members are still in different components afterwards
-are completed: every pair across components that met in a segment and has not been
-verified is verified too. So no link between components is ever missed, and pairs inside a
-component are not enumerated. Copies (equal sets) are one set throughout.
+are completed: sets of different components that met in a segment are held against each other
+as bit maps, inside the task of their group or of a pair of its blocks, and what may link is
+verified exactly. So no link between components is ever missed, and pairs inside a component
+are not enumerated. Copies (equal sets) are one set throughout.
 
 Cases: a text that is null, empty or blank has the empty set and links with nothing; a text
 with fewer words than a shingle is one shingle; a null id is returned with a null component
@@ -56,6 +57,7 @@ BUCKET_ENTRIES = 600_000
 SMALL_BAND = 64
 CROWD = 6
 MOST_CROWDED = 1_000_000
+GROUP_MEMBERS = 2_000
 
 
 @dataclass(frozen=True)
@@ -402,20 +404,73 @@ def _tested(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
     return both.select("a", "b", *columns).mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, bits: DataFrame, full_sets: Callable[[DataFrame], DataFrame],
-           similarity: Fraction, folder: str, name: str) -> DataFrame:
-    """The pairs (a, b) that link: bit maps first, then the exact test on full sets.
+def exact(near: DataFrame, full_sets: Callable[[DataFrame], DataFrame], similarity: Fraction,
+          folder: str, name: str) -> DataFrame:
+    """The pairs (a, b) that link, by full sets, which ``full_sets`` makes from their keys.
 
-    Only sets that pass the first test are made in full, by ``full_sets`` from their keys.
     Sets of popular keys meet many others; their partitions are split by AQE.
     """
-    near = _tested(pairs, bits, lambda n, m, x, y: _may_link(x, y, n, m, similarity))
-    near = saved(near, folder, f"{name}-near")
     keys = near.select(F.col("a").alias("key")).union(near.select("b")).distinct()
     full = saved(full_sets(keys), folder, f"{name}-sets").select("key", "elements")
     return saved(_tested(near, full, lambda x, y: _linked(x, y, similarity)), folder, name)
 
 
+def verify(pairs: DataFrame, bits: DataFrame, full_sets: Callable[[DataFrame], DataFrame],
+           similarity: Fraction, folder: str, name: str) -> DataFrame:
+    """The pairs (a, b) that link: bit maps first, then the exact test on full sets."""
+    near = _tested(pairs, bits, lambda n, m, x, y: _may_link(x, y, n, m, similarity))
+    return exact(saved(near, folder, f"{name}-near"), full_sets, similarity, folder, name)
+
+
+def _near_in_group(n: np.ndarray, label: np.ndarray, asks: np.ndarray, maps: list[bytes],
+                   similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i < j) of sets in different components that may link, by the bit map bound."""
+    size = min(map(len, maps)) * 8
+    bits = np.zeros((len(maps), size), np.float32)
+    for k, own in enumerate(maps):
+        bits[k] = np.unpackbits(np.frombuffer(own, np.uint8), bitorder="little").reshape(-1, size).max(0)
+    filled = bits.sum(1)
+    p, q = similarity.numerator, similarity.denominator
+    left, right = [], []
+    for at in range(0, len(maps), 512):
+        rows = slice(at, at + 512)
+        both = bits[rows] @ bits.T
+        # Bits that only one has are elements only it has.
+        shared = np.minimum(n[rows, None] - (filled[rows, None] - both), n[None] - (filled[None] - both))
+        good = shared * q >= p * (n[rows, None] + n[None] - shared)
+        good &= (label[rows, None] != label[None]) & (asks[rows, None] | asks[None])
+        i, j = np.nonzero(good)
+        i += at
+        left.append(i[i < j])
+        right.append(j[i < j])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def across_components(members: DataFrame, bits: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs (a < b) of sets that share a group but no component and may link.
+
+    ``members``: g, node, asks, label. Members are held against each other as bit maps inside
+    a task, and only what passes is returned. A group beyond GROUP_MEMBERS is dealt to several
+    tasks, one per pair of its blocks, so none holds more than two blocks.
+    """
+    sizes = members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / GROUP_MEMBERS).cast("int").alias("blocks"))
+    held = members.join(sizes, "g")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = held.withColumn("own", own).select("g", "node", "asks", "label", "own", other)
+    dealt = dealt.select("g", "node", "asks", "label", F.least("own", "other").alias("i"),
+                         F.greatest("own", "other").alias("j"))
+    full = dealt.join(bits.withColumnRenamed("key", "node"), "node")
+
+    def find(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_numpy()
+        i, j = _near_in_group(
+            table.column("n").to_numpy().astype(np.float64), table.column("label").to_numpy(),
+            table.column("asks").to_numpy(), [b.as_py() for b in table.column("bits")], similarity)
+        return pa.table({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
+    return full.groupBy("g", "i", "j").applyInArrow(find, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                        similarity: Fraction = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id reachable over links) of every row."""
@@ -456,16 +511,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     open_groups = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     open_groups = open_groups.filter("lo < hi").select("g")
     rest = saved(members.join(open_groups, "g", "left_semi"), folder, "open")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.g") == F.col("y.g")) & (F.col("x.label") < F.col("y.label"))
-                    & (F.col("x.asks") | F.col("y.asks")))
-    across = across.select(F.least("x.node", "y.node").alias("a"),
-                           F.greatest("x.node", "y.node").alias("b")).distinct()
     known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    across = across_components(rest, bits, similarity).distinct()
     across = saved(across.join(known, ["a", "b"], "left_anti"), folder, "across")
     release(spark)
     if across.limit(1).count():
-        more = verify(across, bits, full_sets, similarity, folder, "more")
+        more = exact(across, full_sets, similarity, folder, "more")
         if more.limit(1).count():
             labels = components(links.union(more), folder, "all")
 
