@@ -59,21 +59,30 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def _memo() -> dict:
+    name = "_baitline_worker_memo"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("values", {})
+
+
 def worker_memo(key: str, build: Callable[[], object]) -> object:
-    """A value that later tasks of the same Python worker find again."""
-    held = sys.modules.setdefault("_baitline_worker_memo", types.ModuleType("_baitline_worker_memo"))
-    if key not in held.__dict__:
-        held.__dict__[key] = build()
-    return held.__dict__[key]
+    """A value that later tasks of the same Python worker and step find again."""
+    held = _memo()
+    if key not in held:
+        held[key] = build()
+    return held[key]
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str,
-                most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES,
+                memo: str = "hash_tables") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut batches into runs of rows with about ``most`` bytes of text.
 
     Yields (rows, bytes of all texts, start offset of each text plus the end). A null is
-    an empty text. A single longer text comes alone.
+    an empty text. A single longer text comes alone. Values that the worker remembers of
+    another step (``worker_memo``) are dropped; those of ``memo`` stay.
     """
+    held = _memo()
+    for key in [k for k in held if k != memo]:
+        del held[key]
     for whole in batches:
         for k in range(0, whole.num_rows, SLICE_ROWS):
             batch = whole.slice(k, SLICE_ROWS)
@@ -90,6 +99,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str,
                 yield (batch.slice(first, last - first), data[at[first]:at[last]],
                        at[first:last + 1] - at[first])
                 first = last
+        pa.default_memory_pool().release_unused()
 
 
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -21,9 +21,9 @@ from baitline.llm.common import worker_memo
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLANK = "▁"
-MEMO_RUNS = 400_000
+MEMO_RUNS = 250_000
 MEMO_RUN_CHARS = 48
-MEMO_PAIRS = 2_000_000
+MEMO_PAIRS = 600_000
 
 
 def load_vocabulary(path: str) -> dict:
@@ -263,4 +263,6 @@ def runs(text: str) -> list[str]:
 
 
 def coder_of(vocabulary: dict, key: str) -> Coder:
-    return worker_memo(f"coder {key}", lambda: Coder(vocabulary))
+    coder = worker_memo(f"coder {key}", lambda: Coder(vocabulary))
+    coder.memo_key = f"coder {key}"
+    return coder

@@ -44,7 +44,7 @@ def with_ids(df: DataFrame, model: str, text: str = "text", out: str = "ids") ->
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(vocabulary.value, model)
-        for rows, _, _ in text_slices(batches, text):
+        for rows, _, _ in text_slices(batches, text, memo=coder.memo_key):
             texts = rows.column(rows.schema.get_field_index(text)).fill_null("").to_pylist()
             coded = coder.encode(texts)
             ends = np.cumsum([0] + [len(c) // 4 for c in coded]).astype(np.int32)
@@ -75,7 +75,7 @@ def with_ids_and_decoded(df: DataFrame, model: str, text: str = "text", ids: str
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(vocabulary.value, model)
-        for rows, _, _ in text_slices(batches, text):
+        for rows, _, _ in text_slices(batches, text, memo=coder.memo_key):
             texts = rows.column(rows.schema.get_field_index(text)).fill_null("").to_pylist()
             coded = coder.encode(texts)
             ends = np.cumsum([0] + [len(c) // 4 for c in coded]).astype(np.int32)

@@ -36,7 +36,7 @@ def with_token_count(df: DataFrame, model: str, text: str = "text",
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(vocabulary.value, model)
-        for rows, _, _ in text_slices(batches, text):
+        for rows, _, _ in text_slices(batches, text, memo=coder.memo_key):
             texts = rows.column(rows.schema.get_field_index(text)).fill_null("").to_pylist()
             yield _with(rows, {out: pa.array(coder.counts(texts), pa.int64())})
     return df.mapInArrow(count, _schema(df, **{out: T.LongType()}))
@@ -52,7 +52,7 @@ def with_prefix_answers(df: DataFrame, model: str, text: str = "text",
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(vocabulary.value, model)
-        for rows, _, _ in text_slices(batches, text):
+        for rows, _, _ in text_slices(batches, text, memo=coder.memo_key):
             at, within = [], []
             for own in rows.column(rows.schema.get_field_index(text)).fill_null("").to_pylist():
                 table = np.array(coder.prefix_counts(own))

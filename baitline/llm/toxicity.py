@@ -237,7 +237,11 @@ def matches_of(texts: list[str], landmarks: Landmarks) -> np.ndarray:
 
 
 def _matcher(landmarks: Landmarks) -> Matcher:
-    return worker_memo(f"matcher {landmarks.words}", lambda: Matcher(landmarks))
+    return worker_memo(_memo_key(landmarks), lambda: Matcher(landmarks))
+
+
+def _memo_key(landmarks: Landmarks) -> str:
+    return f"matcher {landmarks.words}"
 
 
 def _svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, cost: float = COST,
@@ -360,7 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = docs.sparkSession.sparkContext.broadcast(landmarks)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, _ in text_slices(batches, "text", SLICE):
+        for part, _, _ in text_slices(batches, "text", SLICE, _memo_key(known.value)):
             found = _matcher(known.value).matches(part.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), pa.array([m.tobytes() for m in found], pa.binary())],
@@ -394,7 +398,7 @@ def with_toxicity(df: DataFrame, model: Model | float, text: str = "text", out:
     known = df.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in text_slices(batches, text, SLICE):
+        for rows, _, _ in text_slices(batches, text, SLICE, _memo_key(known.value.landmarks)):
             texts = rows.column(rows.schema.get_field_index(text)).fill_null("").to_pylist()
             found = known.value.scores(_matcher(known.value.landmarks).matches(texts))
             columns = [rows.column(rows.schema.get_field_index(c)) for c in names]
