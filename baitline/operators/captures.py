@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import blank_if_null
-from baitline.plans.scale import filter_late, with_neighbour
+from baitline.plans.scale import with_neighbour
 
 
-def capture_filter(captures: DataFrame) -> DataFrame:
-    """Keep captures with sender, subject and body; short web pages are dropped."""
+def capture_filter(captures: DataFrame, min_page_chars: int = fv.MIN_PAGE_CHARS) -> DataFrame:
+    """Keep captures with sender, subject and body; web pages with less text are dropped.
+
+    A plain filter: on stored captures it reaches the scan.
+    """
     filled = [F.coalesce(F.col(c), F.lit("")) != "" for c in
               ("sender_email", "subject", "body_text")]
     short = (F.coalesce(F.col("page_source"), F.lit("")) == "webpage") & (
-        F.length("body_text") < fv.MIN_PAGE_CHARS)
-    return filter_late(captures, filled[0] & filled[1] & filled[2] & ~short)
+        F.length("body_text") < min_page_chars)
+    return captures.filter(filled[0] & filled[1] & filled[2] & ~short)
 
 
 def fingerprint_of(sender: Column, subject: Column, body: Column, urls: Column) -> Column:

@@ -58,10 +58,12 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     """Adds ``weight`` to every row. The class table becomes a literal, so a class with
-    half of all rows is not shuffled to one place."""
+    half of all rows is not shuffled to one place. A row without a label is an error."""
     rows = class_weights(df, label).limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes: {label!r} is not a class label")
+    if any(r[label] is None for r in rows):
+        raise ValueError(f"rows without a {label}: filter them first")
     pairs = [F.lit(v) for r in rows for v in (r[label], r["weight"])]
     return df.withColumn("weight", F.element_at(F.create_map(*pairs), F.col(label)))
 

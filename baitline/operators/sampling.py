@@ -35,7 +35,7 @@ def stratified_split(df: DataFrame, share: float = fv.VALIDATION_SHARE, label: s
     """Adds ``part`` ('validation' or 'train'): exactly ceil(share * n) rows of every class.
 
     The key should be unique; copies of a key always go to the same part. Rows are not
-    shuffled: each is compared with the cut of its class.
+    shuffled: each is compared with the cut of its class. A row without a label is an error.
     """
     hashed = seeded_key(seed, F.col(key))
     # The product is made decimal so that 0.2 * 15 does not become 3.0000000000000004.
@@ -44,6 +44,8 @@ def stratified_split(df: DataFrame, share: float = fv.VALIDATION_SHARE, label: s
     # One row per class. Read now when it is short: the split then stays a plain map, and
     # later passes over it (training makes several) do not count again.
     rows = cuts.limit(LITERAL_ROWS + 1).collect()
+    if any(r[label] is None for r in rows):
+        raise ValueError(f"rows without a {label}: filter them first")
     if len(rows) <= LITERAL_ROWS:
         cuts, size = df.sparkSession.createDataFrame(rows, cuts.schema), Measured(len(rows), 0)
     else:

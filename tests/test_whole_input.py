@@ -88,3 +88,19 @@ def test_a_broken_model_is_an_error(spark, tmp_path):
 
 def test_shared_folder_is_where_the_cluster_says(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_rows_without_a_label_are_refused(spark):
+    from baitline.operators.features import with_class_weight
+    from baitline.operators.sampling import stratified_split
+    rows = spark.createDataFrame([(n, 1 if n % 2 else None) for n in range(50)], "id long, label int")
+    for job in (with_class_weight, stratified_split):
+        with pytest.raises(ValueError, match="without a label"):
+            job(rows).collect()
+
+
+def test_capture_filter_reaches_the_scan(spark, tmp_path):
+    from baitline.operators.captures import capture_filter
+    email(spark, {"subject": "a", "body_text": "b"}).write.parquet(str(tmp_path / "captures"))
+    plan = capture_filter(spark.read.parquet(str(tmp_path / "captures")))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Filter" in plan
