@@ -217,7 +217,7 @@ def test_page_to_email(spark):
 def test_page_url_cap(spark):
     html = "".join(f'<a href="/{i}">x</a>' for i in range(100))
     df = spark.createDataFrame([(1, "https://a.org/", html)], "page_id int, url string, html string")
-    urls = pages_to_emails(df).first()["urls"]
+    urls = pages_to_emails(df, max_links=80).first()["urls"]
     assert len(urls) == 80 and urls[:2] == ["https://a.org/", "https://a.org/0"]
 
 
