@@ -96,8 +96,8 @@ def set_key(elements: np.ndarray) -> int:
 
 
 def set_bits(elements: np.ndarray) -> bytes:
-    """A bit map of a set, with 4 to 8 bits per element."""
-    size = 1 << max(5, int(4 * len(elements)).bit_length())
+    """A bit map of a set, with 8 to 16 bits per element."""
+    size = 1 << max(5, int(8 * len(elements)).bit_length())
     bits = np.zeros(size, np.uint8)
     bits[elements & np.uint64(size - 1)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
