@@ -4,8 +4,15 @@ A text becomes a vector of hashed letter trigrams: square roots of counts, times
 document frequency over all learning rows, scaled to length 1. Per language a bounded sample
 is clustered (spherical k-means), since one language is written in several ways (prose,
 tables, lists). A text gets the language of the centroid with the largest cosine. It is
-rejected if that cosine is below what is usual for texts of its length: a third of the value
-that all but the lowest ``tail`` of the sample reach. Very short texts are not judged.
+rejected if that cosine is below the floor of its class of length (powers of two trigrams). The
+floor lies in the middle of a gap: above it is the value that all but the lowest ``tail`` of the
+sample reach, below it what all but ``STRAY`` of a language's sample reach with the centroids of
+the other languages, as if it had been left out of learning. A language that reaches the known
+ones' value without its own centroids (a close relative, or one that other labels hold too)
+has no gap and does not lower or raise the floor; if none has a gap, the floor is the value
+itself. Beginnings of the sampled texts stand for short texts. Texts of fewer than
+``LEAST_GRAMS`` trigrams are a word or two and are not judged. A cluster of less than ``SUPPORT``
+of a sample is stray rows (of another language, say) and gives no centroid.
 
 Cases: a null text, or one without any letter, is ``und`` with score 0 and rejected; rows
 with a null language are not learned from; if nothing was learned every text is ``und`` and
@@ -38,8 +45,10 @@ SAMPLE = 2_000  # expected number of rows per language to cluster
 CLUSTERS = 4
 ROUNDS = 12
 TAIL = 0.005
-SLACK = 1 / 3
-LEAST_GRAMS = 32  # shorter texts are too short to be called foreign
+STRAY = 0.05
+SUPPORT = 0.01
+BEGINNINGS = (12, 24, 48, 96, 192)
+LEAST_GRAMS = 8  # shorter texts are too short to be called foreign
 ROWS = 256
 
 _LETTER = np.zeros(256, np.uint8)
@@ -110,7 +119,8 @@ def cluster(vectors: np.ndarray, clusters: int, rounds: int = ROUNDS) -> np.ndar
         sums = np.stack([vectors[own == c].sum(0) if (own == c).any() else centroids[c]
                          for c in range(len(centroids))])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1), 1e-9)[:, None]
-    return centroids
+    rows = np.bincount((vectors @ centroids.T).argmax(1), minlength=len(centroids))
+    return centroids[rows >= min(SUPPORT * len(vectors), rows.max())]
 
 
 def _counts_of(batches: Iterator[pa.RecordBatch], text: str):
@@ -174,26 +184,40 @@ def fit(learn: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     rows = sorted(rows, key=lambda r: (r.lang, r.centroid))
     model.languages = [r.lang for r in rows]
     model.centroids = np.array([r.centroid for r in rows], np.float32)
-    model.floors = _floors(picked, model, text, tail)
+    model.floors = _floors(picked, model, text, lang, tail)
     return model
 
 
-def _floors(picked: DataFrame, model: Model, text: str, tail: float) -> np.ndarray:
+def _floors(picked: DataFrame, model: Model, text: str, lang: str, tail: float) -> np.ndarray:
     """Per class of length (powers of two) the cosine below which a text is too far away."""
     known = picked.sparkSession.sparkContext.broadcast(model)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, counts in _counts_of(batches, text):
-            _, cosine, _ = known.value.nearest(counts)
+        model, names = known.value, np.array(known.value.languages)
+        for rows, counts in _counts_of(batches, text):
+            own = rows.column(rows.schema.get_field_index(lang))
+            cosine = model.vectors(counts) @ model.centroids.T
+            same = names[None, :] == np.array(own.to_pylist())[:, None]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_length_class(counts)), pa.array(cosine)], names=["c", "cosine"])
-    low = (picked.select(text).mapInArrow(near, "c long, cosine double").groupBy("c")
-           .agg(F.percentile_approx("cosine", tail, 10_000).alias("low")).collect())
-    found = {r.c: r.low * SLACK for r in low if 1 << r.c >= LEAST_GRAMS}
+                [pa.array(_length_class(counts)), own, pa.array(cosine.max(1).astype(float)),
+                 pa.array(np.where(same, 0, cosine).max(1).astype(float))],
+                names=["c", "lang", "cosine", "without"])
+    parts = [F.col(text)] + [F.substring(text, 1, n) for n in BEGINNINGS]
+    units = picked.select(F.explode(F.array_distinct(F.array(*parts))).alias(text), lang)
+    cosines = saved(units.mapInArrow(near, "c long, lang string, cosine double, without double"),
+                    shared_folder(picked.sparkSession), "language-cosines")
+    low = {r.c: r.q for r in cosines.groupBy("c").agg(
+        F.percentile_approx("cosine", tail, 10_000).alias("q")).collect()}
+    high: dict[int, float] = {}
+    for r in cosines.groupBy("c", "lang").agg(
+            F.percentile_approx("without", 1 - STRAY, 10_000).alias("q")).collect():
+        if r.q < low[r.c]:
+            high[r.c] = max(high.get(r.c, 0.0), r.q)
+    found = {c: (q + high.get(c, q)) / 2 for c, q in low.items() if 1 << c >= LEAST_GRAMS}
     # Longer texts come closer to a centroid: a class takes no higher floor than a longer one.
     floors = np.array([found.get(k, np.inf) for k in range(32)])
     floors = np.minimum.accumulate(floors[::-1])[::-1]
-    floors[~np.isfinite(floors)] = max(found.values(), default=0.0)
+    floors[~np.isfinite(floors)] = found[max(found)] if found else 0.0  # longer than any learned
     floors[:int(np.log2(LEAST_GRAMS))] = 0
     return floors
 

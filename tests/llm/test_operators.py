@@ -275,6 +275,18 @@ def test_language_of_held_out_rows(spark, data):
     assert [r.score for r in rows][:3] == [0.0] * 3
 
 
+@pytest.mark.parametrize("out", ["de", "es", "fr", "en"])
+def test_unknown_language_of_the_same_script_is_rejected(spark, data, out):
+    docs = spark.read.parquet(data.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text", "lang")
+    learn = language_id.learnable(F.col("doc_id"), 4, 2)
+    model = language_id.fit(docs.filter(learn & (F.col("lang") != out)))
+    rows = language_id.with_language(docs.filter(~learn), model).collect()
+    unknown = [r.rejected for r in rows if r.lang == out]
+    known = [r.rejected for r in rows if r.lang != out]
+    assert np.mean(unknown) > 0.9 and np.mean(known) < 0.02
+    assert all(f > 0 for f in model.floors[3:])  # texts from 8 trigrams on are judged
+
+
 def test_language_without_anything_learned(spark):
     empty = spark.createDataFrame([("x", None)], "text string, lang string")
     rows = language_id.with_language(spark.createDataFrame([("word",), ("1",)], "text string"),
