@@ -6,8 +6,8 @@ equal words. An insult with letters or signs inserted, or letters left out, keep
 its subsequences. Words are lower-cased, digits and signs that stand for letters are read as
 these, other signs inside a word are dropped, and a run of single letters is one word.
 
-Landmarks are words of labelled texts: distinct ones that mark toxic texts, and frequent ones
-of the others. A text is described by the best match of any of its words with every landmark,
+Landmarks are words of labelled texts: all distinct ones that surely mark toxic texts,
+however many, and frequent ones of the others. A text is described by the best match of any of its words with every landmark,
 mapped by the inverse root of the landmarks' own kernel matrix (Nyström); an SVM with squared
 hinge loss separates these vectors and a sigmoid turns its margin into a score. So that
 gapped insults are learned too, clean texts into which a landmark is put, as it is or with a
@@ -44,9 +44,9 @@ from baitline.llm.common import saved, shared_folder, text_slices, worker_memo
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 6_000
-TOXIC_LANDMARKS = 64
-CLEAN_LANDMARKS = 16
-CANDIDATES = 600
+CLEAN_LANDMARKS = 32
+BLOCK = 600
+ROWS = 2048
 ALIKE = 0.85
 DECAY = 0.6
 SPAN = 5
@@ -247,19 +247,27 @@ def _memo_key(landmarks: Landmarks) -> str:
 def _svm(x: np.ndarray, y: np.ndarray, share: np.ndarray, cost: float = COST,
          rounds: int = 100) -> np.ndarray:
     """Weights (the last one is the bias) of the squared-hinge SVM, by Newton steps."""
-    x = np.hstack((x, np.ones((len(x), 1))))
-    ridge = np.eye(x.shape[1]) / cost
+    width = x.shape[1] + 1
+    ridge = np.eye(width) / cost
     ridge[-1, -1] = 1e-6
+    def margins(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[a:a + ROWS] @ w[:-1] for a in range(0, len(x), ROWS)]) + w[-1]
+
     def loss(w: np.ndarray) -> float:
-        short = np.maximum(0, 1 - y * (x @ w))
+        short = np.maximum(0, 1 - y * margins(w))
         return float(w @ ridge @ w + share @ short ** 2)
 
-    w = np.zeros(x.shape[1])
+    w = np.zeros(width)
     best = loss(w)
     for _ in range(rounds):
-        active = y * (x @ w) < 1
-        xa = x[active] * share[active, None]
-        step = np.linalg.solve(ridge + xa.T @ x[active], xa.T @ y[active]) - w
+        active = np.flatnonzero(y * margins(w) < 1)
+        square, side = ridge.copy(), np.zeros(width)
+        for a in range(0, len(active), ROWS):  # a block of rows at a time is widened to doubles
+            own = active[a:a + ROWS]
+            xa = np.hstack((x[own].astype(float), np.ones((len(own), 1))))
+            square += (xa * share[own, None]).T @ xa
+            side += xa.T @ (share[own] * y[own])
+        step = np.linalg.solve(square, side) - w
         size = 1.0
         while size > 1e-4 and loss(w + size * step) >= best:
             size /= 2
@@ -312,7 +320,10 @@ def _word_counts(rows: DataFrame, text: str, label: str) -> DataFrame:
 
 
 def _choose(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], list[str]]:
-    """Landmarks: at most CANDIDATES rows reach the driver."""
+    """Landmarks: every word that passes the test, unless one before it is much alike.
+
+    Words that pass number less than the bounded sample has words; they reach the driver.
+    """
     words = counts.count()
     rate = F.col("toxic") / n_toxic
     other = (F.col("clean") + 0.5) / (n_clean + 1)
@@ -322,14 +333,18 @@ def _choose(counts: DataFrame, n_toxic: int, n_clean: int) -> tuple[list[str], l
     sure = F.col("toxic") * F.log(share / base) + clean > math.log(words + 1)
     marks = (counts.filter((F.col("toxic") > 0) & (rate > other)).filter(sure)
              .withColumn("worth", rate * F.log(rate / other))
-             .orderBy(F.desc("worth"), "word").limit(CANDIDATES).collect())
+             .orderBy(F.desc("worth"), "word").collect())
     often = counts.orderBy(F.desc("clean"), "word").limit(CLEAN_LANDMARKS).collect()
     words = [r.word for r in marks]
-    gram = Landmarks(words).kernel(words) if words else np.zeros((0, 0))
     chosen: list[int] = []
-    for k in range(len(words)):
-        if len(chosen) < TOXIC_LANDMARKS and (not chosen or gram[k, chosen].max() < ALIKE):
-            chosen.append(k)
+    for a in range(0, len(words), BLOCK):  # blocks keep the kernel matrices small
+        block = words[a:a + BLOCK]
+        near = Landmarks([words[k] for k in chosen]).kernel(block).max(1) if chosen else np.zeros(len(block))
+        gram, own = Landmarks(block).kernel(block), []
+        for k in np.flatnonzero(near < ALIKE):
+            if not own or gram[k, own].max() < ALIKE:
+                own.append(k)
+        chosen += [a + int(k) for k in own]
     toxic = [words[k] for k in chosen]
     return toxic, [r.word for r in often if r.word not in toxic]
 
@@ -371,12 +386,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 names=["y", "matches"])
     found = picked.select("text", "y").mapInArrow(describe, "y int, matches binary").collect()
     found.sort(key=lambda r: (r.y, bytes(r.matches)))
-    x = np.array([np.frombuffer(r.matches, np.float32) for r in found], np.float64)
+    n = len(found)
+    x = np.empty((n + VARIANTS * len(toxic), len(landmarks.words)), np.float32)
+    for k, r in enumerate(found):
+        x[k] = np.frombuffer(r.matches, np.float32)
     y = np.array([1.0 if r.y else -1.0 for r in found])
+    del found
     rng = np.random.default_rng(7)
     garbled = [_garbled(w, rng) for w in toxic for _ in range(VARIANTS)]
-    hosts = x[y < 0][rng.integers(0, size[0], len(garbled))]
-    x = np.vstack((x, np.maximum(hosts, landmarks.kernel(garbled))))
+    hosts = np.flatnonzero(y < 0)[rng.integers(0, size[0], len(garbled))]
+    for a in range(0, len(garbled), ROWS):
+        np.maximum(x[hosts[a:a + ROWS]], landmarks.kernel(garbled[a:a + ROWS]), out=x[n + a:][:ROWS])
     y = np.append(y, np.ones(len(garbled)))
 
     own = landmarks.kernel(landmarks.words).astype(np.float64)
@@ -384,8 +404,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
     share = np.ones(len(y))
     share[-len(garbled):] = GARBLED_SHARE * size[1] / len(garbled)
-    weights = _svm(x @ root, y, share)
-    slope, shift = _sigmoid(x @ root @ weights[:-1] + weights[-1], y, share)
+    for a in range(0, len(x), ROWS):
+        x[a:a + ROWS] = x[a:a + ROWS] @ root
+    weights = _svm(x, y, share)
+    slope, shift = _sigmoid(x @ weights[:-1].astype(np.float32) + weights[-1], y, share)
     return Model(landmarks, root, weights[:-1], float(weights[-1]), slope, shift)
 
 

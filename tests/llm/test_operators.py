@@ -383,6 +383,17 @@ def test_toxicity_of_gapped_insults(spark):
     assert toxicity.with_toxicity(df, 0.0, keep=["doc_id"]).agg(F.max("score")).first()[0] == 0.0
 
 
+def test_every_sure_marker_is_a_landmark(spark, monkeypatch):
+    rng = random.Random(3)
+    markers = sorted({"".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for _ in range(100)})
+    rows = [(w, 40, 0) for w in markers] + [("and", 2000, 8000), ("the", 1500, 6000)]
+    counts = spark.createDataFrame(rows, "word string, toxic long, clean long")
+    for block in [toxicity.BLOCK, 7]:
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        toxic, clean = toxicity._choose(counts, 4000, 16000)
+        assert toxic == markers and clean[:2] == ["and", "the"]
+
+
 def test_kernel_equals_plain_definition():
     def plain(a, b):
         def weights(w):
