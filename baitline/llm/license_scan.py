@@ -3,8 +3,13 @@
 A text is canonical when it is lower-cased, lines that state a copyright are gone, words of
 two spellings have one, and everything but letters and digits is a gap between words. Entire
 texts are compared: the SHA-256 of the canonical text is joined with the digests of known
-licences. Units are whole documents and every line of them, so a notice inside a document is
-found as the text it is.
+licences. Units are whole documents, every line of them, and runs of paragraphs (lines between
+blank lines) of as many paragraphs as a licence may have (``RUNS``), so a notice or a licence
+inside a document is found as the text it is. Known texts stand with and without their titles.
+
+A line of a body may begin with "copyright" when it is wrapped there. Documents are therefore
+read both ways: without any such line, and without those that state a copyright only; runs of
+paragraphs in the second way. A notice wrapped inside a paragraph of other lines is not found.
 
 Only DataFrame functions run. Known texts all hold one of a few words (checked when they are
 read); units without any of them cannot match and are not made canonical.
@@ -17,6 +22,7 @@ not matter; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,12 +34,24 @@ from baitline.plans.scale import lookup_join
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$"
 NO_WORD = r"[^\p{L}\p{N}]+"
 # Every known text holds one of these, in any spelling.
-SIGNS = r"licen[cs]e|permission|spdx"
+SIGNS = r"licen[cs]e|permission|spdx|redistribution"
+# Lines that state a copyright, not the lines of a licence that go on with that word.
+STATED = (r"(?mi)^[ \t]*(copyright(?![ \t]*[,.;)]|\s+(notices?|holders?|owners?|licen[cs]es?|laws?|"
+          r"statements?|interests?|and|or|in|to|of|on|for|is|are|the|rights?|protection|permission)\b)"
+          r"|\(c\)[ \t]*\d|©)[^\n]*$")
+
+
+def _paragraphs(text: str) -> int:
+    return len([p for p in re.split(r"\n\s*\n", text) if re.search(r"\w", p)])
+
 
+# Short licences are set in up to a dozen paragraphs; long ones as they were published.
+RUNS = sorted({*range(1, 13), *(_paragraphs(text) for _, text in KNOWN)})
 
-def canonical(text: Column) -> Column:
+
+def canonical(text: Column, dropped: str = COPYRIGHT_LINE) -> Column:
     """Words of a text, each between two blanks, so that equal words in a row are all replaced."""
-    bare = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    bare = F.regexp_replace(F.lower(text), dropped, "")
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(bare, NO_WORD, "  ")), F.lit(" "))
     return reduce(lambda c, pair: F.replace(c, F.lit(f" {pair[0]} "), F.lit(f" {pair[1]} ")),
                   SAME_WORDS, words)
@@ -45,12 +63,31 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) ->
     odd = texts.filter(~F.lower("text").rlike(SIGNS)).count()
     if odd:
         raise ValueError(f"{odd} known texts hold none of {SIGNS}")
-    return texts.select("license", F.sha2(canonical(F.col("text")), 256).alias("digest")).distinct()
+    ways = F.explode(F.array(*[F.sha2(canonical(F.col("text"), d), 256) for d in (COPYRIGHT_LINE, STATED)]))
+    return texts.select("license", ways.alias("digest")).distinct()
+
+
+def _runs(text: Column) -> Column:
+    """place, whole, digest of every run of paragraphs; a run of one line only if it is the text."""
+    paragraphs = F.filter(F.split(F.regexp_replace(text, STATED, ""), r"\n\s*\n"),
+                          lambda p: p.rlike(r"[\p{L}\p{N}]"))
+    n = F.size(paragraphs)
+
+    def run(at: Column, length: Column) -> Column:
+        own = F.array_join(F.slice(paragraphs, at, length), "\n")
+        whole = (at == 1) & (length == n)
+        lines = F.trim(F.regexp_replace(own, r"^\s+|\s+$", "")).contains("\n")
+        return F.when(whole | lines, F.struct(
+            (at * 1000 + length).cast("long").alias("place"), whole.alias("whole"),
+            F.sha2(canonical(own, STATED), 256).alias("digest")))
+    lengths = F.array(*[F.lit(k) for k in RUNS])
+    return F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(1), n), lambda at: F.transform(
+        F.filter(lengths, lambda k: k <= n - at + 1), lambda k: run(at, k)))))
 
 
 def scan_licenses(docs: DataFrame, digests: DataFrame, key: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """doc_id, unit (document or line), license, n: units of a document that are a known text."""
+    """doc_id, unit (document, line or paragraphs), license, n: units that are a known text."""
     held = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("t")).filter(
         F.lower("t").rlike(SIGNS))
     whole = held.select("doc_id", F.xxhash64("t").alias("h"), F.lit("document").alias("unit"),
@@ -58,7 +95,15 @@ def scan_licenses(docs: DataFrame, digests: DataFrame, key: str = "doc_id",
     lines = held.select("doc_id", F.xxhash64("t").alias("h"), F.lit("line").alias("unit"),
                         F.posexplode(F.split("t", "\n", -1)).alias("place", "t"))
     lines = lines.filter(F.lower("t").rlike(SIGNS))
-    units = whole.unionByName(lines).withColumn("digest", F.sha2(canonical(F.col("t")), 256))
-    found = lookup_join(units.drop("t"), digests, "digest", ["doc_id", "place"], how="inner")
+    units = whole.unionByName(lines).withColumn("digest", F.sha2(canonical(F.col("t")), 256)).drop("t")
+    again = whole.withColumn("digest", F.sha2(canonical(F.col("t"), STATED), 256)).drop("t")
+    runs = held.select("doc_id", F.xxhash64("t").alias("h"), F.explode(_runs(F.col("t"))).alias("run"))
+    runs = runs.filter("run IS NOT NULL").select(
+        "doc_id", "h", F.when(F.col("run.whole"), "document").otherwise("paragraphs").alias("unit"),
+        F.when(F.col("run.whole"), F.lit(-1).cast("long")).otherwise(F.col("run.place")).alias("place"), "run.digest")
+    units = units.withColumn("place", F.col("place").cast("long"))
+    again = again.withColumn("place", F.col("place").cast("long"))
+    units = units.unionByName(again).unionByName(runs)
+    found = lookup_join(units, digests, "digest", ["doc_id", "place"], how="inner")
     found = found.select("doc_id", "h", "unit", "place", "license").distinct()
     return found.groupBy("doc_id", "unit", "license").agg(F.count(F.lit(1)).alias("n"))

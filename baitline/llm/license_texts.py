@@ -1,5 +1,7 @@
 """Known licence texts and notices."""
 
+from pathlib import Path
+
 # Published texts, as they stand. Copyright lines are left out, since texts are
 # compared without them.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -17,11 +19,55 @@ Permission is granted to anyone to use this software for any purpose, including
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
 
+BSD_GRANT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"""
+
+BSD_CLAUSES = """1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+
+BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+
+BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT {} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <{}>"""
+
+
+def _titled(name: str, text: str, *titles: str) -> list[tuple[str, str]]:
+    """A text with and without a title and a line that reserves all rights."""
+    return [(name, "\n".join(filter(None, (title, rights, text))))
+            for title in ("", *titles) for rights in ("", "All rights reserved.")]
+
+
+def _published(file: str, name: str, title_lines: int) -> list[tuple[str, str]]:
+    """A text kept in a file, with and without its title and what follows its terms."""
+    text = (Path(__file__).parent / "licenses" / f"{file}.txt").read_text().strip("\n")
+    terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+    texts = dict.fromkeys([text, terms + end, terms])
+    return [(name, t) for whole in texts for t in (whole, "\n".join(whole.split("\n")[title_lines:]))]
+
+
 KNOWN = [
-    ("MIT", MIT),
-    ("ISC", ISC),
-    ("0BSD", ZERO_BSD),
-    ("Zlib", ZLIB),
+    *_titled("MIT", MIT, "MIT License", "The MIT License", "The MIT License (MIT)"),
+    *_titled("ISC", ISC, "ISC License", "The ISC License"),
+    *_titled("0BSD", ZERO_BSD, "BSD Zero Clause License", "Zero-Clause BSD", "0BSD"),
+    *_titled("Zlib", ZLIB, "zlib License", "The zlib License", "The zlib/libpng License"),
+    *[pair for who in ("HOLDER", "OWNER") for pair in (
+        _titled("BSD-2-Clause", "\n".join([BSD_GRANT, BSD_CLAUSES, BSD_DISCLAIMER.format(who)]),
+                "BSD 2-Clause License", "The BSD 2-Clause License", "BSD License", "Simplified BSD License")
+        + _titled("BSD-3-Clause", "\n".join([BSD_GRANT, BSD_CLAUSES, BSD_NAMES, BSD_DISCLAIMER.format(who)]),
+                  "BSD 3-Clause License", "The BSD 3-Clause License", "BSD License", "New BSD License"))],
+    *[pair for address in ("https://unlicense.org", "http://unlicense.org", "https://unlicense.org/", "http://unlicense.org/")
+      for pair in _titled("Unlicense", UNLICENSE.format(address), "The Unlicense", "Unlicense")],
+    *_published("Apache-2.0", "Apache-2.0", 3),
+    *_published("GPL-2", "GPL-2.0", 2),
+    *_published("GPL-3", "GPL-3.0", 2),
+    *_published("LGPL-2.1", "LGPL-2.1", 2),
+    *_published("LGPL-3", "LGPL-3.0", 2),
+    *_published("MPL-2.0", "MPL-2.0", 2),
+    *_published("CC0-1.0", "CC0-1.0", 3),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -16,7 +17,7 @@ from baitline.llm import jaccard_join, language_id, topk_search, toxicity
 from baitline.llm.decontamination import tiles, with_leaks
 from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.license_scan import known_digests, scan_licenses
-from baitline.llm.license_texts import ISC, MIT
+from baitline.llm.license_texts import ISC, KNOWN, MIT
 from baitline.llm.line_dedup import drop_repeated_lines
 from baitline.llm.pieces import Coder, load_vocabulary
 from baitline.llm.sentencepiece_codec import with_decoded, with_ids, with_ids_and_decoded
@@ -427,6 +428,21 @@ def test_license_spellings_and_copyright_lines(spark):
         known_digests(spark, [("none", "free for all")])
 
 
+def test_license_files_and_texts_inside_documents(spark):
+    apache, gpl = (next(t for n, t in KNOWN if n == name) for name in ("Apache-2.0", "GPL-3.0"))
+    bsd = next(t for n, t in KNOWN if n == "BSD-3-Clause")
+    wrapped = "\n".join(textwrap.wrap(MIT, 70)).replace(" copyright notice", "\ncopyright notice")
+    rows = [(1, f"MIT License\n\nCopyright (c) 2020 Someone\nAll rights reserved.\n\n{MIT}"), (2, apache), (3, gpl),
+            (4, "BSD 3-Clause License\n\nCopyright 2021 A\n\n" + bsd.replace("\n", "\n\n")), (5, wrapped),
+            (6, "Some prose.\n\n" + MIT.replace("\n", "\n\n") + "\n\nMore prose."),
+            (7, "Prose.\n\nLicensed under the\nMIT License.\n\nProse.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.unit, r.license) for r in scan_licenses(df, known_digests(spark)).collect()}
+    assert {(1, "document", "MIT"), (2, "document", "Apache-2.0"), (3, "document", "GPL-3.0"),
+            (4, "document", "BSD-3-Clause"), (5, "document", "MIT"), (6, "paragraphs", "MIT"),
+            (7, "paragraphs", "MIT")} <= got
+
+
 def test_digest_columns(spark, data):
     import __spark_entry__ as entry
     got = by_id(entry.queries()["op5_sentencepiece"](spark, data))
