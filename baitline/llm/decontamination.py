@@ -7,14 +7,17 @@ and again, until no run of ``least`` words is left. Tiles may stand in any order
 passage whose parts were rearranged is found as well. An item is leaked if its tiles cover at
 least ``coverage`` of its words.
 
-Words are runs of letters, digits and non-ASCII characters; A-Z count as a-z.
+Words are runs of letters, digits and their marks in any script, with their case folded; signs
+of any script are gaps. Scripts written without blanks (ideographs, kana, Thai, Lao, Khmer,
+Burmese) have one word per character. Items with fewer than ``least`` words have no seed: they
+are leaked where all their words stand in a row, and that first place is their tile.
 
 The benchmark is the query set: it is taken in blocks of bounded size, each broadcast and
 held against all documents where they stand. Documents are never shuffled, nor joined with
 each other.
 
-Cases: a null, empty or wordless text leaks nothing; items that are null, have no id or have
-fewer than ``least`` words are never found; items with equal texts or equal ids are each
+Cases: a null, empty or wordless text leaks nothing; items that are null, have no id or no
+word are never found; items with equal texts or equal ids are each
 reported; repeated documents each get their own result; between tiles of equal length the one
 earlier in the item, then in the document, is marked first; an empty benchmark or document
 table gives documents without leaks; a column named like the output is replaced.
@@ -22,8 +25,10 @@ table gives documents without leaks; a column named like the output is replaced.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from baitline.llm.common import gram_hashes, text_slices, word_hashes
+from baitline.llm.common import gram_hashes, mix, text_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,6 +46,12 @@ LEAST = 4
 COVERAGE = 0.6
 BLOCK_TEXT = 16 << 20
 SIEVE = 1 << 22
+CHARACTERS = 1 << 18
+
+GAP, IN_WORD, ALONE = 0, 1, 2
+# Scripts written without blanks.
+_NO_BLANKS = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x312F), (0x31A0, 0xA4CF),
+              (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)]
 
 LEAK = T.ArrayType(T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("n_words", T.IntegerType()),
@@ -54,6 +65,51 @@ _LEAK = pa.list_(pa.struct([
                                   ("from_byte", pa.int64()), ("to_byte", pa.int64())])))]))
 
 
+@functools.cache
+def characters() -> tuple[np.ndarray, np.ndarray]:
+    """Per code point the kind of character and its folded form."""
+    kind, folded = np.zeros(sys.maxunicode + 1, np.uint8), np.arange(sys.maxunicode + 1, dtype=np.uint32)
+    for k in range(sys.maxunicode + 1):
+        c = chr(k)
+        if unicodedata.category(c)[0] in "LMN":
+            kind[k] = IN_WORD
+            fold = c.casefold()
+            folded[k] = ord(fold if len(fold) == 1 else (c.lower() + c)[0])
+    for lo, hi in _NO_BLANKS:
+        kind[lo:hi + 1][kind[lo:hi + 1] == IN_WORD] = ALONE
+    return kind, folded
+
+
+def word_hashes(data: np.ndarray, at: np.ndarray, kinds: np.ndarray,
+                folded: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words of many texts: 64-bit hash, number of the text, start and end byte."""
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    kind = kinds[points]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    solid, fresh = kind != GAP, np.ones(len(points), bool)
+    fresh[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == ALONE)
+    fresh |= edge[place[:-1]]
+    start = np.flatnonzero(fresh & solid)
+    if not len(start):
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
+    bounds = np.append(np.flatnonzero(fresh), len(points))
+    end = bounds[np.searchsorted(bounds, start, "right")]
+    hashes = np.zeros(len(points), np.uint64)
+    begin = np.maximum.accumulate(np.where(fresh, np.arange(len(points)), 0))
+    for a in range(0, len(points), CHARACTERS):
+        part = slice(a, a + CHARACTERS)
+        away = (np.arange(a, min(a + CHARACTERS, len(points))) - begin[part] + 1).astype(np.uint64)
+        own = mix(folded[points[part]].astype(np.uint64) + (away << np.uint64(21)))
+        hashes[part] = np.where(solid[part], own, np.uint64(0))
+    # From one word's start to the next; gaps between them add nothing.
+    total = mix(np.add.reduceat(hashes, start))
+    first = place[start]
+    return total, np.searchsorted(at, first, "right") - 1, first, place[end]
+
+
 def tiles(at_item: np.ndarray, at_doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (first word in the item, in the document, length) from the places of shared seeds."""
     order = np.lexsort((at_item, at_doc - at_item))
@@ -91,7 +147,8 @@ class Items:
     def __init__(self, ids: list[int], texts: list[str], least: int):
         raw = [t.encode() for t in texts]
         at = np.cumsum([0] + [len(r) for r in raw])
-        words, item_of, _, _ = word_hashes(np.frombuffer(b"".join(raw), np.uint8), at, False)
+        self.characters = characters()
+        words, item_of, _, _ = word_hashes(np.frombuffer(b"".join(raw), np.uint8), at, *self.characters)
         seeds, first = gram_hashes(words, item_of, least)
         begin = np.searchsorted(item_of, np.arange(len(raw)))
         self.ids = np.array(ids, np.int64)
@@ -102,11 +159,37 @@ class Items:
         self.place = (first - begin[item_of[first]])[order]
         self.sieve = np.zeros(SIEVE, bool)
         self.sieve[seeds & np.uint64(SIEVE - 1)] = True
+        # Items without a seed, by their number of words: hash of the item, item.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in range(1, least):
+            whole, first = gram_hashes(words, item_of, n)
+            own = np.flatnonzero(self.n_words[item_of[first]] == n)
+            order = own[np.argsort(whole[own], kind="stable")]
+            if len(order):
+                self.short[n] = whole[order], item_of[first[order]]
+
+    def _add_short(self, out: list[list], words: np.ndarray, text_of: np.ndarray, start: np.ndarray,
+                   end: np.ndarray, at: np.ndarray) -> None:
+        for n, (known, item) in self.short.items():
+            grams, first = gram_hashes(words, text_of, n)
+            lo = np.searchsorted(known, grams)
+            maybe = np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == grams)
+            # Of a text's equal runs the first one counts.
+            pair = np.stack((text_of[first[maybe]].astype(np.int64), lo[maybe]), 1)
+            _, once = np.unique(pair, axis=0, return_index=True)
+            for k in maybe[once]:
+                word, text = int(first[k]), int(text_of[first[k]])
+                for who in item[lo[k]:np.searchsorted(known, grams[k], "right")]:
+                    out[text].append({
+                        "item_id": int(self.ids[who]), "n_words": n, "n_covered": n,
+                        "tiles": [{"item_word": 0, "n_words": n, "from_byte": int(start[word] - at[text]),
+                                   "to_byte": int(end[word + n - 1] - at[text])}]})
 
     def leaks(self, data: np.ndarray, at: np.ndarray, least: int, coverage: float) -> list[list]:
         """Per text its leaks."""
         out: list[list] = [[] for _ in at[1:]]
-        words, text_of, start, end = word_hashes(data, at, False)
+        words, text_of, start, end = word_hashes(data, at, *self.characters)
+        self._add_short(out, words, text_of, start, end, at)
         grams, first = gram_hashes(words, text_of, least)
         maybe = np.flatnonzero(self.sieve[grams & np.uint64(SIEVE - 1)])
         lo = np.searchsorted(self.seeds, grams[maybe])

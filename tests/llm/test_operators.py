@@ -256,6 +256,21 @@ def test_leaks_over_several_blocks(spark, monkeypatch):
     assert {r.doc_id: [leak.item_id for leak in r.leaks] for r in got.collect()} == {n: [n] for n, _ in items}
 
 
+def test_leaks_of_short_items_and_other_scripts(spark):
+    items = [(1, "Blue Moon"), (2, "今日は天気がいいですね"), (3, "l’été dernier à l’école normale"), (4, "!!"), (5, "ÉTÉ")]
+    docs = [(1, "once in a blue  moon, a blue moon"), (2, "前文。今日は天気がいいですね、と言った"),
+            (3, "L'ÉTÉ DERNIER “À L'ÉCOLE NORMALE”"), (4, "blue and moon!!"), (5, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = with_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: sorted(k.item_id for k in r.leaks) for r in rows} == {1: [1], 2: [2], 3: [3, 5], 4: [], 5: []}
+    for r in rows:
+        for k in r.leaks:
+            if k.item_id in (1, 2):
+                tile = k.tiles[0]
+                found = r.text.encode()[tile.from_byte:tile.to_byte].decode()
+                assert found == {1: "blue  moon", 2: "今日は天気がいいですね"}[k.item_id]
+
+
 # language identification
 
 def test_language_of_held_out_rows(spark, data):
