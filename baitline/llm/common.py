@@ -78,10 +78,10 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLIC
 
     Yields (rows, bytes of all texts, start offset of each text plus the end). A null is
     an empty text. A single longer text comes alone. Values that the worker remembers of
-    another step (``worker_memo``) are dropped; those of ``memo`` stay.
+    another step (``worker_memo``) are dropped; those whose name begins with ``memo`` stay.
     """
     held = _memo()
-    for key in [k for k in held if k != memo]:
+    for key in [k for k in held if not k.startswith(memo)]:
         del held[key]
     for whole in batches:
         for k in range(0, whole.num_rows, SLICE_ROWS):
@@ -135,11 +135,11 @@ def _hash_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return byte_values, powers(base), powers(pow(base, -1, 1 << 64))
 
 
-def _blocks(data: np.ndarray, blank: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of at most BLOCK_BYTES that end between words."""
+def word_blocks(data: np.ndarray, blank: np.ndarray, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``most`` bytes that end between words; a longer word is a run of its own."""
     at, end = 0, len(data)
     while at < end:
-        stop = min(at + BLOCK_BYTES, end)
+        stop = min(at + most, end)
         if stop < end:
             blanks = np.flatnonzero(blank[data[at:stop]])
             if len(blanks):
@@ -166,7 +166,7 @@ def word_hashes(data: np.ndarray, at: np.ndarray, marks: bool = True) -> tuple[n
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     hashes, starts, ends = [], [], []
-    for lo, hi in _blocks(data, blank):
+    for lo, hi in word_blocks(data, blank):
         raw = data[lo:hi]
         solid = ~blank[raw]
         before = np.empty(len(raw), bool)
@@ -183,10 +183,12 @@ def word_hashes(data: np.ndarray, at: np.ndarray, marks: bool = True) -> tuple[n
             total = np.zeros(len(raw) + 1, np.uint64)
             np.cumsum(values[_LOWER[raw]] * powers[:len(raw)], out=total[1:])
             own = (total[end] - total[start]) * inverse[start]
-            own = mix(own + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        else:
+        else:  # a stretch without a blank that texts may cut: the same sums word by word
             own = np.zeros(len(start), np.uint64)
-            length = np.full(len(start), _LONG_WORD + 1)
+            for k in np.flatnonzero(length <= _LONG_WORD):
+                word = values[_LOWER[raw[start[k]:end[k]]]]
+                own[k] = (word * powers[:len(word)]).sum()
+        own = mix(own + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         for k in np.flatnonzero(length > _LONG_WORD):
             word = _LOWER[raw[start[k]:end[k]]].tobytes()
             own[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")

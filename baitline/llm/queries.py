@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from baitline.llm.common import read
 from baitline.llm import language_id, topk_search, toxicity
 from baitline.llm.decontamination import with_leaks
+from baitline.llm.importance_resampling import resample
 from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.license_scan import known_digests, scan_licenses
 from baitline.llm.line_dedup import drop_repeated_lines
@@ -98,6 +99,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(documents(spark, folder), read(spark, folder, "benchmark"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
@@ -109,4 +114,5 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op13_importance_resampling": op13_importance_resampling,
 }
