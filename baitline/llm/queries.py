@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from baitline.llm.common import read
-from baitline.llm import language_id, topk_search, toxicity
+from baitline.llm import language_id, suffix_tree_lm, topk_search, toxicity
 from baitline.llm.decontamination import with_leaks
 from baitline.llm.importance_resampling import resample
 from baitline.llm.jaccard_join import jaccard_components
 from baitline.llm.license_scan import known_digests, scan_licenses
 from baitline.llm.line_dedup import drop_repeated_lines
+from baitline.llm.negative_mining import hard_negatives
 from baitline.llm.sentencepiece_codec import with_ids_and_decoded
 from baitline.llm.sharding import shard_by_bytes
 from baitline.llm.token_counts import with_token_count
@@ -99,6 +100,21 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_negative_mining(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").filter(topk_search.usable(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), topk_search.quantised(F.col("embedding")).alias("vector"))
+    return hard_negatives(rows, rows.filter("vec_id % 50 = 0"))
+
+
+def op12_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    learn = language_id.learnable(F.col("doc_id"), 7, 2)
+    scored = suffix_tree_lm.with_score(docs, suffix_tree_lm.fit(docs, learn))
+    return scored.select("doc_id", (~learn).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(documents(spark, folder), read(spark, folder, "benchmark"))
 
@@ -114,5 +130,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
+    "op11_negative_mining": op11_negative_mining,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_importance_resampling": op13_importance_resampling,
 }
