@@ -16,6 +16,7 @@ from baitline import fixed_values as fv
 from baitline.functions.sender_rules import header_address, header_name
 from baitline.functions.strings import SPACE_CLASS, collapse_spaces, first_text, strip
 from baitline.operators.sampling import seeded_sample
+from baitline.plans.scale import cut_lineage
 from baitline.schemas import TRAINING_COLUMNS
 
 # Code that runs in Python workers travels with the job: executors need not have this
@@ -26,13 +27,14 @@ LINK_IN_TEXT = rf"(?i)https?://[^{SPACE_CLASS[1:-1]}\"'<>]+"
 TAG = r"<[^>]+>"
 
 _PARTS = pa.schema([
-    ("path", pa.string()), ("from_header", pa.string()), ("subject", pa.string()),
+    ("path", pa.string()), ("place", pa.int64()), ("from_header", pa.string()), ("subject", pa.string()),
     ("multipart", pa.bool_()),
     ("parts", pa.list_(pa.struct([("content_type", pa.string()), ("filename", pa.string()),
                                   ("text", pa.string())]))),
+    ("error", pa.string()),
 ])
-_PARTS_DDL = ("path string, from_header string, subject string, multipart boolean,"
-              " parts array<struct<content_type:string,filename:string,text:string>>")
+_PARTS_DDL = ("path string, place long, from_header string, subject string, multipart boolean,"
+              " parts array<struct<content_type:string,filename:string,text:string>>, error string")
 
 
 def _decode_part(part) -> str:
@@ -48,34 +50,67 @@ def _clean(value: str) -> str:
     return value.encode("utf-8", errors="replace").decode("utf-8")
 
 
-def _read_message(path: str, content: bytes) -> dict | None:
-    """One message to its headers and decoded parts; None when it cannot be parsed."""
-    try:
-        message = BytesParser(policy=mime_policy.default).parsebytes(content)
-        multipart = message.is_multipart()
-        parts = []
-        for part in (message.walk() if multipart else [message]):
-            kind = part.get_content_type()
-            wanted = not multipart or kind in ("text/plain", "text/html")
-            name = part.get_filename() if multipart else None
-            parts.append({"content_type": kind, "filename": _clean(name) if name else None,
-                          "text": _clean(_decode_part(part)) if wanted else None})
-        return {"path": path, "from_header": _clean(str(message.get("From", ""))),
-                "subject": _clean(str(message.get("Subject", ""))),
-                "multipart": multipart, "parts": parts}
-    except Exception:
-        return None
+def _remembering_policy():
+    """The standard mail policy, but a header of the mail at hand is parsed once, not at every access."""
+    class Remembering(type(mime_policy.default)):
+        def header_fetch_parse(self, name, value):
+            if hasattr(value, "name"):
+                return value
+            if (name, value) not in known:
+                known[name, value] = mime_policy.default.header_fetch_parse(name, value)
+            return known[name, value]
+
+    known: dict = {}
+    return Remembering(), known
+
+
+def _read_message(parser: BytesParser, content: bytes) -> dict:
+    """The headers and decoded parts of one message."""
+    message = parser.parsebytes(content)
+    multipart = message.is_multipart()
+    parts = []
+    for part in (message.walk() if multipart else [message]):
+        kind = part.get_content_type()
+        wanted = not multipart or kind in ("text/plain", "text/html")
+        name = part.get_filename() if multipart else None
+        parts.append({"content_type": kind, "filename": _clean(name) if name else None,
+                      "text": _clean(_decode_part(part)) if wanted else None})
+    return {"from_header": _clean(str(message.get("From", ""))),
+            "subject": _clean(str(message.get("Subject", ""))), "multipart": multipart, "parts": parts}
 
 
 def decode_mail(files: DataFrame) -> DataFrame:
-    """(path, content) -> headers and decoded parts. Only the MIME codec runs in Python."""
+    """(path, content) -> headers and decoded parts, or ``error`` where a mail cannot be read.
+
+    ``place`` and ``error`` of an archive are taken over; a null content without an error is one.
+    Only the MIME codec runs in Python.
+    """
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        policy, known = _remembering_policy()
+        parser = BytesParser(policy=policy)
         for batch in batches:
-            read = map(_read_message, batch.column("path").to_pylist(),
-                       batch.column("content").to_pylist())
-            yield pa.RecordBatch.from_pylist([r for r in read if r is not None], schema=_PARTS)
-
-    return files.select("path", "content").mapInArrow(decode, _PARTS_DDL)
+            rows = []
+            for row in batch.to_pylist():
+                known.clear()
+                found = {"path": row["path"], "place": row["place"], "error": row["error"]}
+                if row["error"] is None and row["content"] is None:
+                    found["error"] = "no content"
+                elif row["error"] is None:
+                    try:
+                        found.update(_read_message(parser, row["content"]))
+                    except Exception as e:
+                        found["error"] = f"{type(e).__name__}: {_clean(str(e))}"
+                rows.append(found)
+            yield pa.RecordBatch.from_pylist(rows, schema=_PARTS)
+
+    place = F.col("place") if "place" in files.columns else F.lit(0).cast("long").alias("place")
+    error = F.col("error") if "error" in files.columns else F.lit(None).cast("string").alias("error")
+    return files.select("path", place, "content", error).mapInArrow(decode, _PARTS_DDL)
+
+
+def rejected_mail(decoded: DataFrame) -> DataFrame:
+    """The mails that could not be read: path, place, error."""
+    return decoded.filter("error IS NOT NULL").select("path", "place", "error")
 
 
 def text_urls(text: Column) -> Column:
@@ -93,8 +128,10 @@ def mail_to_training(decoded: DataFrame, max_urls: int | None = None,
                      max_attachments: int | None = None) -> DataFrame:
     """Decoded parts -> training row: path and the seven columns, label 1.
 
-    All URLs and attachments are kept unless a limit is given.
+    All URLs and attachments are kept unless a limit is given. Mails with an error are
+    in :func:`rejected_mail`.
     """
+    decoded = decoded.filter("error IS NULL")
     multipart = F.col("multipart")
     html = F.filter("parts", lambda p: p["content_type"] == "text/html")
     # In a message of one part, whatever is not HTML is read as text.
@@ -173,7 +210,10 @@ def build_url_testset(lines: DataFrame, n_bad: int, n_good: int, seed: int = fv.
 
 def build_training_set(spark: SparkSession, mail: DataFrame, ratio: float = 1.0,
                        seed: int = fv.SEED) -> DataFrame:
-    """Phishing rows and int(n * ratio) generated harmless ones."""
-    n = mail.count()
-    harmless = benign_emails(spark.range(int(n * max(0.0, ratio))), "id", seed)
-    return mail.select(TRAINING_COLUMNS).unionByName(harmless.select(TRAINING_COLUMNS))
+    """Phishing rows and int(n * ratio) generated harmless ones.
+
+    The rows are written once, so an archive is not decoded again to be counted.
+    """
+    mail = cut_lineage(mail.select(TRAINING_COLUMNS))
+    harmless = benign_emails(spark.range(int(mail.count() * max(0.0, ratio))), "id", seed)
+    return mail.unionByName(harmless.select(TRAINING_COLUMNS))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from baitline.functions import sender_rules as sr
 from baitline.functions.strings import blank_if_null
-from baitline.plans.scale import LITERAL_ROWS, UNBOUNDED, lookup_join, measure
+from baitline.operators.patterns import find_patterns
+from baitline.plans.scale import UNBOUNDED, lookup_join
 from baitline.rules import DEFAULT_RULES, RuleSet
 
 
@@ -33,39 +34,20 @@ def brand_mismatch(emails: DataFrame, rules: RuleSet = DEFAULT_RULES,
 def claimed_brands(emails: DataFrame, brands: DataFrame, key: str = "email_id") -> DataFrame:
     """As :func:`brand_mismatch` for a brand table of any size: key, ord, title.
 
-    ``brands`` has ord, brand, title, expected_domain. Containment is turned into an
-    equi-join: every piece of a name that is as long as some brand is looked up, so no
-    name is compared with every brand. Names are made distinct before they are cut.
+    ``brands`` has ord, brand, title, expected_domain. Each different sender is read once by an
+    automaton of all brands; only claims are shuffled.
     """
     usable = brands.filter("expected_domain IS NOT NULL AND expected_domain <> ''"
-                           " AND brand <> ''")
-    lengths = [r[0] for r in usable.select(F.length("brand")).distinct()
-               .limit(LITERAL_ROWS + 1).collect()]
-    if len(lengths) > LITERAL_ROWS:
-        raise ValueError("brands of more than a thousand different lengths")
-    senders = emails.select(key, F.lower(blank_if_null(F.col("sender_name"))).alias("name"),
-                            sr.sender_domain(F.col("sender_email")).alias("domain"))
-    pairs = senders.filter("domain <> ''").select("name", "domain").distinct()
-
-    def cut(size: int):
-        last = F.length("name") - size + 1
-        return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(
-            F.col("name"), i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
-
-    if not lengths:
-        return senders.filter("false").select(
-            key, F.lit(0).alias("ord"), F.lit("").alias("title"))
-    pieces = pairs.select("name", "domain", F.explode(F.array_distinct(F.flatten(F.array(
-        *[cut(n) for n in lengths])))).alias("brand"))
-    size = measure(usable, "brand", "title", "expected_domain")
-    claims = (lookup_join(pieces, usable, "brand", ["name", "domain"], how="inner", size=size)
-              .filter(~F.contains(F.col("domain"), F.col("expected_domain")))
-              .groupBy("name", "domain")
-              .agg(F.array_sort(F.collect_list(F.struct("ord", "title"))).alias("claims"))
-              .withColumn("pair", F.struct("name", "domain")).select("pair", "claims"))
+                           " AND brand <> ''").select("ord", "brand", "title", "expected_domain")
+    senders = emails.select(key, F.struct(
+        F.lower(blank_if_null(F.col("sender_name"))).alias("name"),
+        sr.sender_domain(F.col("sender_email")).alias("domain")).alias("pair"))
+    pairs = senders.filter("pair.domain <> '' AND pair.name <> ''").select("pair").distinct()
+    claims = (find_patterns(pairs.withColumn("name", F.col("pair.name")), usable, "pair", "name", "brand")
+              .filter(~F.contains(F.col("pair.domain"), F.col("expected_domain"))).groupBy("pair")
+              .agg(F.array_sort(F.collect_list(F.struct("ord", "title"))).alias("claims")))
     # A sender seen in a third of the mail is spread by the mail key.
-    keyed = senders.select(key, F.struct("name", "domain").alias("pair"))
-    return (lookup_join(keyed, claims, "pair", [key], how="inner", size=UNBOUNDED)
+    return (lookup_join(senders, claims, "pair", [key], how="inner", size=UNBOUNDED)
             .select(key, F.explode("claims").alias("c")).select(key, "c.ord", "c.title"))
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions import url_rules as ur
-from baitline.plans.scale import LITERAL_ROWS, lookup_join, measure
+from baitline.plans.bloom import Bloom
+from baitline.plans.scale import LITERAL_ROWS, cut_lineage, lookup_join, measure
 from baitline.rules import DEFAULT_RULES, RuleSet
 
 
@@ -65,6 +66,19 @@ def _entries_of(part: Column) -> Column:
     return F.when(part["host"] != "", chain).otherwise(F.array().cast("array<string>"))
 
 
+def occurring_entries(candidates: DataFrame, listed: DataFrame) -> DataFrame:
+    """The feed entries that occur among ``candidates`` (both have the column ``entry``).
+
+    A Bloom filter of the feed drops what cannot be listed before anything is shuffled; of the rest
+    each different entry goes to the feed once, so a host in a third of all rows is one row.
+    """
+    size = measure(listed)
+    if size.rows <= LITERAL_ROWS:
+        return listed.join(candidates, "entry", "left_semi")
+    may = candidates.filter(Bloom(listed, "entry", size.rows).may_hold(F.col("entry"))).distinct()
+    return may.join(listed, "entry", "left_semi")
+
+
 def match_reputation(urls: DataFrame, feeds: Feeds = Feeds()) -> DataFrame:
     """URL table -> its distinct hosts found in a feed: host, matched, feed.
 
@@ -75,7 +89,7 @@ def match_reputation(urls: DataFrame, feeds: Feeds = Feeds()) -> DataFrame:
              .select("p.host", "p.is_ip").distinct())
     chain = hosts.select("host", F.posexplode(_entries_of(
         F.struct("host", "is_ip"))).alias("pos", "entry"))
-    entries = feed_entries(urls.sparkSession, feeds)
+    entries = cut_lineage(occurring_entries(chain.select("entry"), feed_entries(urls.sparkSession, feeds)))
     first = (lookup_join(chain, entries, "entry", ["host"], how="inner")
              .groupBy("host").agg(F.min_by("entry", "pos").alias("entry")))
     return first.select("host", F.expr("substring(entry, locate(':', entry) + 1)").alias("matched"),
@@ -92,8 +106,13 @@ def _literal_feed(values: DataFrame | list[str] | None, column: str) -> list[str
     return [r[0] for r in found] if len(found) <= LITERAL_ROWS else None
 
 
-def _with_hits(emails: DataFrame, feeds: Feeds) -> DataFrame:
-    """Adds ``_hits``, the feed entries an email's URL hosts touch.
+def _touched(urls: Column) -> Column:
+    """Every entry a mail's URLs may be listed as."""
+    return F.array_distinct(F.flatten(F.transform(ur.split_urls(urls), _entries_of)))
+
+
+def _with_hits(emails: DataFrame, listed: DataFrame) -> DataFrame:
+    """Adds ``_hits``, the listed entries an email's URL hosts touch.
 
     Hits depend on nothing but the list of URLs, so a hash of the list is the key: it is
     never null, and mails with equal lists are looked up once. Only lists with a hit come
@@ -102,9 +121,7 @@ def _with_hits(emails: DataFrame, feeds: Feeds) -> DataFrame:
     held = emails.withColumn("_list", F.struct(
         F.xxhash64("urls").alias("a"), F.xxhash64(F.lit(1), "urls").alias("b")))
     lists = held.select("_list", "urls").groupBy("_list").agg(F.first("urls").alias("urls"))
-    entries = F.array_distinct(F.flatten(F.transform(ur.split_urls(F.col("urls")), _entries_of)))
-    pairs = lists.select("_list", F.explode(entries).alias("entry"))
-    listed = feed_entries(emails.sparkSession, feeds)
+    pairs = lists.select("_list", F.explode(_touched(F.col("urls"))).alias("entry"))
     hits = (lookup_join(pairs, listed, "entry", ["_list"], how="inner")
             .groupBy("_list").agg(F.collect_set("entry").alias("_hits")))
     held = held.withColumn("_row", F.monotonically_increasing_id())
@@ -123,11 +140,20 @@ def _in_hits(kind: str) -> Callable[[Column], Column]:
 
 def _judged(emails: DataFrame, feeds: Feeds, rules: RuleSet, key: str) -> DataFrame:
     domains, ips = _literal_feed(feeds.domains, "domain"), _literal_feed(feeds.ips, "ip")
-    if domains is not None and ips is not None:
-        tests = _in_list(domains), _in_list(ips)
-    else:
-        emails = _with_hits(emails, feeds)
+    if domains is None or ips is None:
+        # Of a long feed only what occurs in these mails matters, mostly a short list again.
+        touched = emails.select(F.explode(_touched(F.col("urls"))).alias("entry"))
+        listed = cut_lineage(occurring_entries(touched, feed_entries(emails.sparkSession, feeds)))
+        entries = [r[0] for r in listed.limit(LITERAL_ROWS + 1).collect()]
+        if len(entries) > LITERAL_ROWS:
+            emails = _with_hits(emails, listed)
+        else:
+            domains, ips = ([e.split(":", 1)[1] for e in entries if e.startswith(f"{kind}:")]
+                            for kind in ("domain", "ip"))
+    if domains is None or ips is None:
         tests = _in_hits("domain"), _in_hits("ip")
+    else:
+        tests = _in_list(domains), _in_list(ips)
     return emails.withColumn("_judged", ur.judge_urls(F.col("urls"), *tests, rules)).drop("_hits")
 
 

@@ -8,9 +8,12 @@ from pyspark.sql.types import StructType
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import SPACE_CLASS, web_strip
-from baitline.operators.datasets import decode_mail, mail_to_training, url_lines
+from baitline.operators.datasets import decode_mail, mail_to_training, rejected_mail, url_lines
 from baitline.operators.features import training_text
+from baitline.plans.scale import cut_lineage
 from baitline.schemas import LABELLED_URL, PREDICTION
+from baitline.sources.mail_archive import read_archive, read_archive_stream
+from baitline.sources.quoted_csv import read_quoted_csv
 
 REQUIRED_TRAINING = ["body_text", "label", "subject"]
 FILLED = {"classic": ["sender_email", "urls", "attachments"],
@@ -23,12 +26,16 @@ def read_raw_emails(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Header CSV, all text. ``multiline=False`` lets Spark split large files.
+    """Header CSV, all text; large files are read by many tasks either way.
 
-    A file of a folder whose header differs is an error: its columns would be mixed up.
+    ``multiline=False`` is for files without line breaks inside quotes: Spark splits them
+    without a look at the quotes. A file of a folder whose header differs is an error: its
+    columns would be mixed up.
     """
-    return (spark.read.option("header", True).option("enforceSchema", False).option("quote", '"').option("escape", '"')
-            .option("multiLine", multiline).csv(path))
+    if multiline:
+        return read_quoted_csv(spark, path)
+    return (spark.read.option("header", True).option("enforceSchema", False).option("quote", '"')
+            .option("escape", '"').csv(path))
 
 
 def read_training_csv(spark: SparkSession, path: str, layout: str = "classic",
@@ -45,25 +52,20 @@ def read_training_csv(spark: SparkSession, path: str, layout: str = "classic",
                          layout)
 
 
-def read_mail_files(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
-    """(path, content) of the folder's ``*.eml`` files; with a limit the first by path.
+def read_mail_archive(spark: SparkSession, folder: str, limit: int | None = None, **options: object) -> DataFrame:
+    """Training rows (label 1) of an archive of mails and mailboxes; with a limit of its first files."""
+    return mail_to_training(decode_mail(read_archive(spark, folder, limit=limit or None, **options)))
 
-    Listing reads no contents (the column is pruned), and contents are then read for the
-    chosen files only, whose paths the driver holds.
-    """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.eml"))
-    if not limit:
-        return files.load(folder).select("path", "content")
-    first = files.load(folder).select("path").orderBy("path").limit(limit)
-    paths = [r["path"] for r in first.collect()]
-    if not paths:
-        return files.load(folder).select("path", "content").filter("false")
-    return files.load(paths).select("path", "content")
+
+def read_mail_archive_checked(spark: SparkSession, folder: str, **options: object) -> tuple[DataFrame, DataFrame]:
+    """Training rows, and the mails that could not be read with the reason. Mails are decoded once."""
+    decoded = cut_lineage(decode_mail(read_archive(spark, folder, **options)))
+    return mail_to_training(decoded), rejected_mail(decoded)
 
 
-def read_mail_archive(spark: SparkSession, folder: str, limit: int | None = None) -> DataFrame:
-    """Training rows (label 1) of a folder of mail files; unreadable files are dropped."""
-    return mail_to_training(decode_mail(read_mail_files(spark, folder, limit)))
+def read_mail_archive_stream(spark: SparkSession, folder: str, **options: object) -> DataFrame:
+    """Training rows of mails as they arrive."""
+    return mail_to_training(decode_mail(read_archive_stream(spark, folder, **options)))
 
 
 def read_url_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -113,12 +115,12 @@ def _by_name(held: DataFrame, schema: StructType) -> DataFrame:
 
 def read_labelled_urls(spark: SparkSession, path: str) -> DataFrame:
     """url and y_true of a header CSV, wherever the columns stand."""
-    return _by_name(read_csv(spark, path, multiline=False), LABELLED_URL)
+    return _by_name(read_csv(spark, path), LABELLED_URL)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """y_true and y_pred of a header CSV, wherever the columns stand."""
-    return _by_name(read_csv(spark, path, multiline=False), PREDICTION)
+    return _by_name(read_csv(spark, path), PREDICTION)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

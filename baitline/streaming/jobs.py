@@ -6,6 +6,7 @@ restart neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Callable, Iterator
 
@@ -119,24 +120,99 @@ class _DropRepeats(StatefulProcessor):
         pass
 
 
-def _drop_repeats(df: DataFrame, value: str, tab: str, order: list[str]) -> DataFrame:
+class _DropRepeatsInOrder(StatefulProcessor):
+    """The same by event time: rows wait until the watermark has passed them.
+
+    One timer per tab stands at its earliest waiting row; when it fires, all rows the watermark
+    has passed are compared in their order and the timer moves to the next one.
+    """
+
+    def __init__(self, value: str, ts: str, seq: str, names: list[str]):
+        self._names, self._value = names, names.index(value)
+        self._ts, self._seq = names.index(ts), names.index(seq)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._last = handle.getValueState("last", "value string")
+        self._count = handle.getValueState("count", "taken long, due long")
+        self._waiting = handle.getMapState("waiting", "ts long, n long", "row binary")
+
+    def _set_timer(self, taken: int, before: int | None, due: int | None) -> None:
+        if due is not None and (before is None or due < before):
+            if before is not None:
+                self._handle.deleteTimer(before)
+            self._handle.registerTimer(due)
+            before = due
+        self._count.update((taken, -1 if before is None else before))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        taken, due = self._count.get() if self._count.exists() else (0, -1)
+        first = None
+        for batch in rows:
+            for row in batch.itertuples(index=False, name=None):
+                micros = pd.Timestamp(row[self._ts]).value // 1000
+                self._waiting.updateValue((micros, taken), (pickle.dumps(row),))
+                taken += 1
+                first = micros if first is None else min(first, micros)
+        self._set_timer(taken, None if due < 0 else due, None if first is None else -(-first // 1000))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        ready, later = [], None
+        for (micros, n), (row,) in self._waiting.iterator():
+            if micros <= passed:
+                held = pickle.loads(row)
+                ready.append((micros, held[self._seq], n, held))
+            else:
+                later = micros if later is None else min(later, micros)
+        ready.sort(key=lambda r: r[:3])
+        shown = self._last.get()[0] if self._last.exists() else None
+        kept = []
+        for micros, _, n, row in ready:
+            if row[self._value] != shown:
+                kept.append(row)
+            shown = row[self._value]
+            self._waiting.removeKey((micros, n))
+        if ready:
+            self._last.update((shown,))
+        self._set_timer(self._count.get()[0], None, None if later is None else -(-later // 1000))
+        if kept:
+            yield pd.DataFrame(kept, columns=self._names)
+
+    def close(self) -> None:
+        pass
+
+
+def _drop_repeats(df: DataFrame, value: str, tab: str, ts: str, seq: str, delay: str | None) -> DataFrame:
+    if delay is None:
+        processor, time_mode = _DropRepeats(value, [ts, seq]), "None"
+    else:
+        df = df.withWatermark(ts, delay)
+        processor, time_mode = _DropRepeatsInOrder(value, ts, seq, df.columns), "EventTime"
     return df.groupBy(tab).transformWithStateInPandas(
-        statefulProcessor=_DropRepeats(value, order), outputStructType=df.schema,
-        outputMode="Append", timeMode="None")
+        statefulProcessor=processor, outputStructType=df.schema, outputMode="Append", timeMode=time_mode)
+
 
+def stream_changes(captures: DataFrame, tab: str = "tab", ts: str = "ts", seq: str = "seq",
+                   delay: str | None = None) -> DataFrame:
+    """Captures whose fingerprint differs from the tab's previous one.
 
-def stream_changes(captures: DataFrame, tab: str = "tab", ts: str = "ts", seq: str = "seq"
-                   ) -> DataFrame:
-    """Captures whose fingerprint differs from the tab's previous one. Rows of a batch are
-    taken in (ts, seq) order."""
-    return _drop_repeats(captures, "fingerprint", tab, [ts, seq])
+    Without ``delay`` a tab's rows are compared as they arrive, those of a batch in (ts, seq) order.
+    With ``delay`` they are compared in (ts, seq) order whatever order they arrive in: a row waits until the
+    watermark (latest ts less ``delay``) has passed it. Later rows are dropped. ``ts`` must then be zoned.
+    """
+    return _drop_repeats(captures, "fingerprint", tab, ts, seq, delay)
 
 
-def stream_alerts(alerts: DataFrame, tab: str = "tab", ts: str = "ts", seq: str = "seq"
-                  ) -> DataFrame:
-    """Alerts that are not a repeat of the tab's last one; rows without a tab all pass."""
+def stream_alerts(alerts: DataFrame, tab: str = "tab", ts: str = "ts", seq: str = "seq",
+                  delay: str | None = None) -> DataFrame:
+    """Alerts that are not a repeat of the tab's last one; rows without a tab all pass.
+
+    ``delay`` as in :func:`stream_changes`.
+    """
     keyed = with_alert_key(alerts)
-    known = _drop_repeats(keyed.filter(F.col(tab).isNotNull()), "alert_key", tab, [ts, seq])
+    known = _drop_repeats(keyed.filter(F.col(tab).isNotNull()), "alert_key", tab, ts, seq, delay)
     return known.unionByName(keyed.filter(F.col(tab).isNull()))
 
 

@@ -457,12 +457,16 @@ def statements() -> dict[str, str]:
     own = _judged(_URL_FEED.format("NOT is_ip AND host LIKE '%secure-%'"), _URL_FEED.format("is_ip"))
     s["url_scores_table_feed"] = _sql([*links[:-1], own, URL_SCORES],
                                       "SELECT email_id, url_score, url_count FROM url_scores")
+    s["url_scores_long_feed"] = s["url_scores_table_feed"]
     s["url_reputation"] = _sql(links, f"""SELECT DISTINCT host, host AS matched, 'ip' AS feed FROM parts
       WHERE host IN ({_values(fv.DEFAULT_BAD_IPS)})
       UNION ALL SELECT host, bad, 'domain' FROM feed_hits""")
     s["brand_mismatch"] = _sql([MAIL, DOMAINS, BRAND_HITS], """SELECT email_id, domain AS sender_domain,
       CAST(row_number() OVER (PARTITION BY email_id ORDER BY ord) - 1 AS INTEGER) AS pos, title
       FROM brand_hits""")
+    s["keyword_table_hits"] = """SELECT doc_id, count(*) AS n_patterns FROM documents JOIN (
+      SELECT DISTINCT string_split(lower(text), ' ')[1] AS word FROM documents) ON contains(lower(text), word)
+      WHERE word <> '' GROUP BY doc_id"""
     s["brand_table_mismatch"] = _sql([MAIL, DOMAINS], """SELECT email_id, upper(b[1]) || b[2:] AS title
       FROM senders JOIN (SELECT DISTINCT lower(split_part(sender_name, ' ', 1)) AS b FROM mail
         WHERE sender_name IS NOT NULL) ON contains(lower(name), b)
@@ -542,6 +546,10 @@ def statements() -> dict[str, str]:
       CASE WHEN email_id % 5 = 1 THEN '' ELSE array_to_string(list_sort(list_distinct(regexp_extract_all(
         body_text || ' ' || urls_joined, '{MAIL_LINKS}'))), ';') END AS urls,
       CASE WHEN email_id % 5 > 1 THEN files_joined ELSE '' END AS attachments, 1 AS label FROM mail""")
+    boxed = "(CAST(regexp_extract(path, '(\\d+)', 1) AS BIGINT) % 11 <> 0)"
+    s["mail_boxes"] = s["stream_mail"] = f"SELECT * EXCLUDE (path) FROM ({s['mail_archive']}) WHERE {boxed}"
+    s["mail_rejected"] = """SELECT 'IndexError: list index out of range' AS error, count(*) AS n FROM documents
+      WHERE doc_id % 11 = 0 HAVING count(*) > 0"""
     s["benign_urls"] = _sql([GOOD], "SELECT id, url FROM good")
     s["benign_emails"] = _benign("documents", "doc_id")
     sample = """SELECT url FROM (SELECT url, row_number() OVER (ORDER BY md5('42' || url), url) AS r
@@ -562,6 +570,9 @@ def statements() -> dict[str, str]:
       OVER (PARTITION BY label ORDER BY id) AS r FROM training) WHERE r <= 300""")
     s["training_text"] = _sql([MAIL, TRAINING, TEXTS], """SELECT id, 'tagged' AS layout, md5(tagged) AS text_md5
       FROM texts UNION ALL SELECT id, 'classic', md5(classic) FROM texts""")
+    s["training_csv"] = _sql([MAIL, TRAINING, TEXTS], """SELECT sender_email, sender_name, subject,
+      md5(body_text) AS body_md5, urls, attachments, label, md5(tagged) AS text_md5
+      FROM training JOIN (SELECT id, tagged FROM texts) USING (id)""")
     s["hand_features"] = _sql([MAIL, TRAINING], f"""SELECT id,
       {_hits("lower(subject || ' ' || body_text)", fv.TRAINING_KEYWORDS)} AS keyword_hits,
       CAST(regexp_matches(lower(urls), 'https?://\\d+\\.\\d+\\.\\d+\\.\\d+') AS INTEGER) AS has_ip_url,
@@ -581,6 +592,11 @@ def statements() -> dict[str, str]:
     s["url_predictions"] = _sql(predicted, """SELECT url, 1 AS y_true,
       CAST(least(100, points) AS DOUBLE) AS url_score, CASE WHEN points >= 40 THEN 1 ELSE 0 END AS y_pred
       FROM judged""")
+    labelled = f"""labelled AS (SELECT unnest(string_split(urls_joined, ' ')) AS url, {v.LABEL_SQL} AS y_true
+      FROM mail)"""
+    s["labelled_urls_csv"] = _sql([MAIL, labelled, _parts("(SELECT url FROM labelled WHERE url <> '')"), JUDGED],
+                                  """SELECT y_true, CASE WHEN points >= 40 THEN 1 ELSE 0 END AS y_pred,
+      count(*) AS n FROM labelled JOIN judged USING (url) GROUP BY ALL""")
     s["binary_metrics"] = _metrics("(SELECT toxic AS y_true, 1 - quality AS y_pred FROM labels)")
     s["url_benchmark_metrics"] = _sql(
         [MAIL, RAW_LINES, GOOD, testset, _parts("testset"), JUDGED],
@@ -593,6 +609,9 @@ def statements() -> dict[str, str]:
       max(1 / (1 + exp(1 - 40 * {share}))) AS p, count(*) AS n FROM chunks GROUP BY email_id) USING (email_id)""")
     s["stream_changes"], s["stream_alerts"] = s["capture_changes"], s["alerts_deduped"]
     s["stream_latest"] = s["latest_verdict"]
+    # What the watermark has passed at the end.
+    s["stream_changes_late"] = s["capture_changes"] + """
+      AND ts_us <= (SELECT epoch_us(date_trunc('milliseconds', max(ts))) FROM events) - 172800000000"""
     # A burst is over when its last event plus the gap is not after the watermark.
     s["stream_debounce"] = s["debounced_captures"].replace(
         "WHERE n IS NULL OR n - ts >= INTERVAL 30 MINUTE",
@@ -609,4 +628,6 @@ def statements() -> dict[str, str]:
     s["stream_scores"] = _sql([*named, from_json, *INDICATOR_CHAIN], """
       SELECT email_id, risk_score, reasons FROM verdicts
       UNION ALL SELECT email_id, NULL, errors FROM complaints WHERE errors <> ''""")
+    s["intake_published"] = f"""SELECT email_id, errors FROM ({s['intake_errors']})
+      UNION ALL SELECT email_id, '' FROM ({s['intake_valid']})"""
     return s

@@ -12,11 +12,12 @@ from baitline.functions import sender_rules as sr
 from baitline.functions.html import page_title
 from baitline.functions.strings import clean_text
 from baitline.operators import (
-    alerts, attachments, captures, datasets, features, intake, metrics, models, pages, policy, risk,
-    sampling, senders, text, urls,
+    alerts, attachments, captures, datasets, features, intake, metrics, models, pages, patterns, policy,
+    risk, sampling, senders, text, urls,
 )
 from baitline.plans.scoring import score_emails, url_benchmark
 from baitline.plans.scale import micros_of, shared_folder
+from baitline.sources import readers, writers
 from baitline.sources.readers import parse_domains, parse_feed
 from baitline.streaming import jobs
 from baitline.workload import views as v
@@ -51,6 +52,16 @@ def intake_errors(spark, sf):
     return bad.select("email_id", joined("errors"))
 
 
+@query
+def intake_published(spark, sf):
+    """Accepted and rejected mails made visible together, and read back."""
+    good, bad = intake.validate_emails(v.raw_json(spark, sf))
+    path = shared_folder(spark)
+    writers.publish({"accepted": good.select("email_id"), "rejected": bad.select("email_id", joined("errors"))}, path)
+    return writers.read_published(spark, path, "rejected").unionByName(
+        writers.read_published(spark, path, "accepted").withColumn("errors", F.lit("")))
+
+
 @query
 def intake_valid(spark, sf):
     good, _ = intake.validate_emails(v.raw_json(spark, sf))
@@ -194,6 +205,20 @@ def url_scores_table_feed(spark, sf):
     return held.select("email_id", "url_score", "url_count")
 
 
+@query
+def url_scores_long_feed(spark, sf):
+    """A feed far longer than what occurs in the mails: most entries meet nothing."""
+    mail = v.emails(spark, sf)
+    hosts = urls.url_parts(urls.explode_urls(mail)).filter("host <> ''")
+    others = [v.table(spark, sf, t).select(F.concat(F.lit(f"{t}-"), F.col(i).cast("string"), F.lit(".example"))
+                                           .alias("domain")) for t, i in (("events", "event_id"), ("documents", "doc_id"))]
+    listed = hosts.filter("NOT is_ip AND host LIKE '%secure-%'").select(F.col("host").alias("domain"))
+    feeds = urls.Feeds(domains=listed.union(others[0]).union(others[1]),
+                       ips=hosts.filter("is_ip").select(F.col("host").alias("ip")))
+    held = urls.score_urls(urls.dedupe_urls(mail), feeds)
+    return held.select("email_id", "url_score", "url_count")
+
+
 @query
 def url_reputation(spark, sf):
     return urls.match_reputation(urls.explode_urls(v.emails(spark, sf)))
@@ -213,6 +238,14 @@ def brand_table_mismatch(spark, sf):
     return senders.claimed_brands(v.emails(spark, sf), brands).select("email_id", "title")
 
 
+@query
+def keyword_table_hits(spark, sf):
+    """Texts against a table of all first words, each text read once."""
+    docs = v.table(spark, sf, "documents").select("doc_id", F.lower("text").alias("text"))
+    words = docs.select(F.split("text", " ")[0].alias("pattern"))
+    return patterns.pattern_counts(docs, words, "doc_id")
+
+
 @query
 def sender_scores(spark, sf):
     held = senders.score_senders(intake.normalize_emails(v.emails(spark, sf)))
@@ -378,6 +411,33 @@ def mail_archive(spark, sf):
                        F.md5("body_text").alias("body_md5"), "urls", "attachments", "label")
 
 
+def _without_path(rows: DataFrame) -> DataFrame:
+    return rows.select("sender_email", "sender_name", "subject", F.md5("body_text").alias("body_md5"),
+                       "urls", "attachments", "label")
+
+
+@query
+def mail_boxes(spark, sf):
+    """Real mailboxes, read in splits of a megabyte."""
+    good, _ = readers.read_mail_archive_checked(spark, v.mail_boxes(spark, sf), split_bytes=1 << 20)
+    return _without_path(good)
+
+
+@query
+def mail_rejected(spark, sf):
+    _, bad = readers.read_mail_archive_checked(spark, v.mail_boxes(spark, sf), split_bytes=1 << 20)
+    return bad.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_mail(spark, sf):
+    """The same mailboxes as an arriving stream."""
+    arriving = readers.read_mail_archive_stream(spark, v.mail_boxes(spark, sf), settle_seconds=0)
+    out = shared_folder(spark)
+    jobs.drain(spark, lambda: jobs.to_folder(arriving, f"{out}/rows", f"{out}/mark", once=True))
+    return _without_path(spark.read.parquet(f"{out}/rows"))
+
+
 @query
 def benign_urls(spark, sf):
     index = v.table(spark, sf, "documents").select(F.col("doc_id").alias("id"))
@@ -412,6 +472,29 @@ def training_set(spark, sf):
         "attachments", "label")
 
 
+@query
+def training_csv(spark, sf):
+    """The training table written as CSV and read back, line breaks and all."""
+    path = f"{shared_folder(spark)}/training.csv"
+    writers.write_training_csv(v.training_rows(spark, sf), path)
+    return readers.read_training_csv(spark, path, "tagged").select(
+        "sender_email", "sender_name", "subject", F.md5("body_text").alias("body_md5"), "urls", "attachments",
+        "label", F.md5("text").alias("text_md5"))
+
+
+@query
+def labelled_urls_csv(spark, sf):
+    """URLs with labels to CSV and back, scored, and the predictions to CSV and back."""
+    folder = shared_folder(spark)
+    urls_of = v.mail(spark, sf).select(F.explode(F.split("urls_joined", " ")).alias("url"), F.expr(v.LABEL_SQL)
+                                       .cast("int").alias("y_true"))
+    writers.write_url_testset(urls_of.filter("url <> ''"), f"{folder}/testset.csv")
+    held = readers.read_labelled_urls(spark, f"{folder}/testset.csv")
+    writers.write_url_predictions(urls.score_url_table(held), f"{folder}/predictions.csv")
+    found = readers.read_predictions(spark, f"{folder}/predictions.csv")
+    return found.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def stratified_split(spark, sf):
     return sampling.stratified_split(v.training_rows(spark, sf)).select("id", "label", "part")
@@ -563,6 +646,28 @@ def stream_changes(spark, sf):
     return kept.select("tab", "seq", v.ts_us(kept), "page_id", "fingerprint")
 
 
+LATE_MICROS = 2 * 86400 * 1000000
+
+
+@query
+def stream_changes_late(spark, sf):
+    """Captures that arrive up to two days late, in four parts, the stream restarted after each."""
+    jobs.use_stream_settings(spark)
+    events, folder = v.table(spark, sf, "events"), _folder(spark)
+    micros = micros_of(events, "ts")
+    arrival = micros + F.pmod(F.xxhash64("event_id"), F.lit(LATE_MICROS))
+    held = events.select("event_id", "user_id", F.timestamp_micros(micros).alias("ts"), arrival.alias("arrival"))
+    low, high = held.agg(F.min("arrival"), F.max("arrival")).first()
+    part = F.floor((F.col("arrival") - low) * 4 / (high - low + 1))
+    for k in range(4):
+        held.filter(part == k).select("event_id", "user_id", "ts").write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema("event_id bigint, user_id bigint, ts timestamp").parquet(f"{folder}/in")
+        kept = jobs.stream_changes(v.page_captures(spark, sf, arriving), delay=f"{LATE_MICROS} microseconds")
+        jobs.drain(spark, lambda: jobs.to_folder(kept, f"{folder}/out", f"{folder}/checkpoint", once=True))
+    out = spark.read.parquet(f"{folder}/out")
+    return out.select("tab", "seq", v.ts_us(out), "page_id", "fingerprint")
+
+
 @query
 def stream_alerts(spark, sf):
     jobs.use_stream_settings(spark)

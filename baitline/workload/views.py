@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from baitline.operators.captures import fingerprint
 from baitline.operators.pages import pages_to_emails
-from baitline.plans.scale import micros_of, spread_small_input
+from baitline.plans.scale import micros_of, shared_folder, spread_small_input
+from baitline.sources.mail_archive import write_boxes
 
 MAIL_SQL = """
 SELECT doc_id AS email_id,
@@ -166,6 +167,16 @@ def url_lines_raw(spark: SparkSession, folder: str) -> DataFrame:
     return of_mail.unionByName(of_pages).unionByName(of_pages)
 
 
+def mail_boxes(spark: SparkSession, folder: str) -> str:
+    """The mail view as an archive of mailboxes in the shared folder; every eleventh mail is broken."""
+    mails = mail_files(spark, folder).select(F.when(
+        F.regexp_extract("path", r"(\d+)", 1).cast("long") % 11 == 0,
+        F.concat(F.encode(F.lit("From: \"\r\n"), "UTF-8"), F.col("content"))).otherwise(F.col("content")).alias("content"))
+    boxes = f"{shared_folder(spark)}/boxes"
+    write_boxes(mails, boxes)
+    return boxes
+
+
 def mail_files(spark: SparkSession, folder: str) -> DataFrame:
     """The mail view as message files: (path, content)."""
     crlf = F.lit("\r\n")

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,6 +57,30 @@ def test_alerts_equal_the_batch_result(spark, arrivals, tmp_path):
     assert seqs(got) == seqs(suppress_repeat_alerts(batch.withColumn("subject", F.lit("s"))))
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_changes_and_alerts_do_not_depend_on_the_order_of_arrival(spark, tmp_path, seed):
+    rows, batch = visits(spark, 300, seed=seed)
+    rng, delay = random.Random(seed), 120
+    late = sorted((r[1].timestamp() + rng.random() * delay, k) for k, r in enumerate(rows))
+    for i in range(0, 300, 60):
+        part = [rows[k] for _, k in late[i:i + 60]]
+        rng.shuffle(part)
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    jobs.use_stream_settings(spark)
+    end = batch.filter("tab IS NOT NULL").agg(F.max("ts")).first()[0]
+    done = F.col("ts") <= F.lit(end) - F.expr(f"INTERVAL {delay} SECONDS")
+    got = run(spark, jobs.stream_changes(stream(spark, str(tmp_path / "in")).filter("tab IS NOT NULL"),
+                                         delay=f"{delay} seconds"), tmp_path / "changes")
+    want = drop_consecutive_duplicates(batch.filter("tab IS NOT NULL")).filter(done)
+    assert seqs(got) == seqs(want) and 20 < want.count() < batch.count()
+    assert got.select("batch_id").distinct().count() > 2
+    if seed == 5:
+        alerts = stream(spark, str(tmp_path / "in")).withColumn("subject", F.lit("s"))
+        got = run(spark, jobs.stream_alerts(alerts, delay=f"{delay} seconds"), tmp_path / "alerts")
+        want = suppress_repeat_alerts(batch.withColumn("subject", F.lit("s")))
+        assert seqs(got) == seqs(want.filter(done | F.col("tab").isNull()))
+
+
 def test_latest_equals_the_batch_result(spark, arrivals, tmp_path):
     folder, batch = arrivals
     updates = run(spark, jobs.stream_latest(stream(spark, folder).filter("tab IS NOT NULL")),
