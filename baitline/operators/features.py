@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import any_contained, blank_if_null, count_contained, count_of, strip
+from baitline.operators.heavy_hitters import SIZE, candidates
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 MAX_CLASSES = 1000
@@ -68,29 +77,88 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     return df.withColumn("weight", F.element_at(F.create_map(*pairs), F.col(label)))
 
 
-def ngrams(text: Column) -> Column:
-    """Lower-case words of two or more characters, and their neighbouring pairs."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    pairs = F.when(F.size(words) > 1, F.zip_with(
+def words_of(text: Column) -> Column:
+    """Lower-case words of two or more characters."""
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+
+
+def _pairs(words: Column) -> Column:
+    return F.when(F.size(words) > 1, F.zip_with(
         F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1),
         lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    return F.concat(words, pairs)
 
 
-def ngram_vocabulary(df: DataFrame, n: int = fv.MAX_FEATURES, text: str = "text") -> DataFrame:
+def ngrams(text: Column) -> Column:
+    """Words and their neighbouring pairs."""
+    words = words_of(text)
+    return F.concat(words, _pairs(words))
+
+
+def _counted(terms: DataFrame, likely: np.ndarray) -> DataFrame:
+    """Exact counts of the terms whose hash is among ``likely``: term, n_uses, n_docs.
+
+    Each task counts for itself and sends one row per term.
+    """
+    known = terms.sparkSession.sparkContext.broadcast(likely)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = known.value
+        uses, docs = np.zeros((2, len(wanted)), np.int64)
+        names: list[str | None] = [None] * len(wanted)
+        for batch in batches if len(wanted) else ():
+            words = batch.column("words").flatten()
+            for column, width in (("word_ids", 1), ("pair_ids", 2)):
+                ids = batch.column(column)
+                doc = np.repeat(np.arange(len(ids)), ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                flat = ids.flatten().to_numpy(zero_copy_only=False)
+                at = np.minimum(np.searchsorted(wanted, flat), len(wanted) - 1)
+                hit = np.flatnonzero(wanted[at] == flat)
+                term = at[hit]
+                uses += np.bincount(term, minlength=len(wanted))
+                docs += np.bincount(np.unique(doc[hit] * len(wanted) + term) % len(wanted), minlength=len(wanted))
+                new, first = np.unique(term, return_index=True)
+                # A pair begins at the word of the same number, less the last words of earlier texts.
+                skipped = np.zeros(len(ids) + 1, np.int64)
+                lengths = batch.column("words").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                np.cumsum(np.minimum(lengths, width - 1), out=skipped[1:])
+                for t, k in zip(new.tolist(), hit[first].tolist()):
+                    if names[t] is None:
+                        start = k + int(skipped[doc[k]])
+                        names[t] = " ".join(words[start + i].as_py() for i in range(width))
+        seen = np.flatnonzero(uses)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([names[t] for t in seen], pa.string()), pa.array(uses[seen]), pa.array(docs[seen])],
+            names=["term", "n_uses", "n_docs"])
+
+    found = terms.mapInArrow(run, "term string, n_uses long, n_docs long")
+    return found.groupBy("term").agg(F.sum("n_uses").alias("n_uses"), F.sum("n_docs").alias("n_docs"))
+
+
+def ngram_vocabulary(df: DataFrame, n: int = fv.MAX_FEATURES, text: str = "text",
+                     summary: int = SIZE) -> DataFrame:
     """The n most frequent terms: term, n_uses, n_docs.
 
-    Uses and documents are counted by one aggregation with a map-side combine: a
-    document sends each of its uses, and once per different term a document mark. No
-    (document, term) pairs are shuffled to count distinct documents.
+    Summaries of bounded size find the terms that can be among them, a second pass counts these
+    exactly: what is shuffled depends on the summaries and on n, not on the number of different terms. Where
+    summaries cannot tell (see ``candidates``), every term is counted.
     """
+    words = df.select(words_of(F.col(text)).alias("words"))
+    hashed = words.select("words", F.transform("words", lambda w: F.xxhash64(w)).alias("word_ids"),
+                          F.transform(_pairs(F.col("words")), lambda p: F.xxhash64(p)).alias("pair_ids"))
+    likely = candidates(hashed.select(F.concat("word_ids", "pair_ids").alias("ids")), "ids", n, summary)
+    counted = _counted(hashed, likely) if likely is not None else _all_counted(df, text)
+    return counted.orderBy(F.desc("n_uses"), F.asc("term")).limit(n)
+
+
+def _all_counted(df: DataFrame, text: str) -> DataFrame:
+    """All terms, counted by one aggregation with a map-side combine: a document sends each of its
+    uses, and once per different term a document mark."""
     terms = df.select(ngrams(F.col(text)).alias("terms"))
     marks = F.concat(
         F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("use"),
                                                 F.lit(0).alias("doc"))),
         F.transform(F.array_distinct("terms"), lambda t: F.struct(
             t.alias("term"), F.lit(0).alias("use"), F.lit(1).alias("doc"))))
-    counted = (terms.select(F.explode(marks).alias("m"))
-               .groupBy(F.col("m.term").alias("term"))
-               .agg(F.sum("m.use").alias("n_uses"), F.sum("m.doc").alias("n_docs")))
-    return counted.orderBy(F.desc("n_uses"), F.asc("term")).limit(n)
+    return (terms.select(F.explode(marks).alias("m"))
+            .groupBy(F.col("m.term").alias("term"))
+            .agg(F.sum("m.use").alias("n_uses"), F.sum("m.doc").alias("n_docs")))

@@ -630,4 +630,23 @@ def statements() -> dict[str, str]:
       UNION ALL SELECT email_id, NULL, errors FROM complaints WHERE errors <> ''""")
     s["intake_published"] = f"""SELECT email_id, errors FROM ({s['intake_errors']})
       UNION ALL SELECT email_id, '' FROM ({s['intake_valid']})"""
+    s["raw_emails_file"] = f"SELECT errors, count(*) AS n FROM ({s['intake_errors']}) GROUP BY ALL"
+    s["pages_file"] = f"SELECT email_id, sender_email, subject, body_md5 FROM ({s['pages_to_emails']})"
+    s["eval_template_csv"] = _sql([MAIL, RAW_LINES], """SELECT url, 1 AS y_true, CAST(NULL AS INTEGER) AS y_pred
+      FROM lines""")
+    s["metrics_json"] = s["binary_metrics"]
+    s["shuffled_rows"] = _sql([MAIL, TRAINING], """SELECT id, label,
+      row_number() OVER (ORDER BY md5('42' || id), id) - 1 AS place FROM training""")
+    vocabulary = s["ngram_vocabulary"].replace(f"LIMIT {fv.MAX_FEATURES}", "LIMIT 300")
+    s["tfidf_features"] = _sql([MAIL, TRAINING, TEXTS, f"vocabulary AS ({vocabulary})", """words AS (SELECT id,
+      regexp_extract_all(lower(classic), '[\\p{L}\\p{N}_]{2,}') AS w FROM texts)""", """uses AS (
+      SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM words UNION ALL
+        SELECT id, w[i] || ' ' || w[i + 1] FROM (SELECT id, w, unnest(range(1, len(w))) AS i FROM words))
+      GROUP BY id, term)""", """weighed AS (SELECT id, place, tf * (ln((1.0 + (SELECT count(*) FROM texts))
+        / (1.0 + n_docs)) + 1) AS x FROM uses JOIN (SELECT term, n_docs,
+        row_number() OVER (ORDER BY n_uses DESC, term) AS place FROM vocabulary) USING (term))"""],
+                               """SELECT id, count(place)::INTEGER AS n_terms,
+      round(coalesce(max(x) / sqrt(sum(x * x)), 0), 6) AS largest,
+      round(coalesce(sum(x * place) / sqrt(sum(x * x)), 0), 4) AS by_place
+      FROM texts LEFT JOIN weighed USING (id) GROUP BY id""")
     return s

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
@@ -52,6 +53,21 @@ def intake_errors(spark, sf):
     return bad.select("email_id", joined("errors"))
 
 
+@query
+def raw_emails_file(spark, sf):
+    """JSON lines written as text and read back before they are checked."""
+    path = f"{shared_folder(spark)}/mails.json"
+    v.raw_json(spark, sf).select("raw").write.text(path)
+    _, bad = intake.validate_emails(readers.read_raw_emails(spark, path))
+    return bad.groupBy(joined("errors")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def pages_file(spark, sf):
+    held = pages.pages_to_emails(readers.read_pages(spark, f"{sf}/pages.parquet"))
+    return held.select("email_id", "sender_email", "subject", F.md5("body_text").alias("body_md5"))
+
+
 @query
 def intake_published(spark, sf):
     """Accepted and rejected mails made visible together, and read back."""
@@ -495,6 +511,45 @@ def labelled_urls_csv(spark, sf):
     return found.groupBy("y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def eval_template_csv(spark, sf):
+    """The template to fill with predictions, as written and read back."""
+    path = f"{shared_folder(spark)}/template.csv"
+    lines = datasets.url_lines(v.url_lines_raw(spark, sf))
+    writers.write_eval_template(lines.withColumn("y_true", F.lit(1)), path)
+    return readers.read_csv(spark, path).select("url", F.col("y_true").cast("int").alias("y_true"),
+                                                F.col("y_pred").cast("int").alias("y_pred"))
+
+
+@query
+def metrics_json(spark, sf):
+    path = f"{shared_folder(spark)}/metrics.json"
+    held = binary_metrics(spark, sf)
+    writers.write_metrics_json(held, path)
+    return spark.read.schema(held.schema).json(path)
+
+
+@query
+def shuffled_rows(spark, sf):
+    """The place of every row in the seeded order."""
+    held = sampling.shuffle_rows(v.training_rows(spark, sf).select("id", "label"), "id")
+    path = f"{shared_folder(spark)}/rows"
+    held.withColumn("at", F.monotonically_increasing_id()).write.parquet(path)
+    before = F.count(F.lit(1)).over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    return spark.read.parquet(path).select("id", "label", before.alias("place"))
+
+
+@query
+def tfidf_features(spark, sf):
+    """Per text: terms of the vocabulary it holds, and its weights summed by the terms' places."""
+    texts = features.training_text(v.training_rows(spark, sf))
+    held = models.fit_text_features(texts, 300).transform(texts.select("id", "text"))
+    values = vector_to_array("tfidf")
+    at = F.aggregate(F.transform(values, lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return held.select("id", F.size(F.filter(values, lambda x: x > 0)).alias("n_terms"),
+                       F.round(F.array_max(values), 6).alias("largest"), F.round(at, 4).alias("by_place"))
+
+
 @query
 def stratified_split(spark, sf):
     return sampling.stratified_split(v.training_rows(spark, sf)).select("id", "label", "part")

@@ -266,3 +266,30 @@ def test_tagged_text(spark):
     assert training_text(df, "tagged").first()["text"] == (
         "[SENDER] a [SUBJECT]  [BODY] b [URLS] u [ATTACHMENTS] ")
     assert training_text(df).first()["text"] == "b"
+
+
+@pytest.mark.parametrize("size", [4, 30, 1 << 18])
+def test_vocabulary_by_summaries_equals_a_full_count(spark, size):
+    """Small summaries lose counts and are made again until they can tell."""
+    import collections
+    import random
+    from baitline.operators.heavy_hitters import candidates, summarise
+
+    rng = random.Random(8)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7))}" for _ in range(rng.randrange(60))) for _ in range(400)]
+    texts += [None, "", "Zz zz ZZ", "w1 " * 500]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(6)
+    words = [t.lower().split() if t else [] for t in texts]
+    grams = [w + [" ".join(p) for p in zip(w, w[1:])] for w in words]
+    uses = collections.Counter(g for gs in grams for g in gs)
+    docs = collections.Counter(g for gs in grams for g in set(gs))
+    want = sorted(((-n, t) for t, n in uses.items()))[:25]
+    got = ngram_vocabulary(df, 25, summary=size).collect()
+    assert [(-r.n_uses, r.term) for r in got] == want
+    assert all(r.n_docs == docs[r.term] for r in got)
+    ids = df.select(F.transform(F.split(F.coalesce("text", F.lit("")), " "), lambda w: F.xxhash64(w)).alias("ids"))
+    lost = summarise(ids, "ids", 4).filter("value IS NULL").agg(F.sum("n")).first()[0]
+    assert lost > 0
+    even = spark.range(3000).select(F.array("id").alias("ids"))
+    assert candidates(even, "ids", 10) is None
+    assert len(candidates(even, "ids", 3000)) == 3000
