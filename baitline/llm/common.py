@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
-# Executors need no installed copy of this package: worker code travels with the job.
+# Executors need no installed copy of this package: worker code travels with the job, and values of its
+# classes as bytes (``shipped``).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SLICE_BYTES = 2 << 20
@@ -27,6 +28,15 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def shipped(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A broadcast value whose classes travel with it: call what is returned in a task.
+
+    A plain broadcast names the classes of its value by module, which executors may not have.
+    """
+    known = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(known.value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder in the shared place the cluster names; below the warehouse if it names none.
 

@@ -19,13 +19,13 @@ each other.
 Cases: a null, empty or wordless text leaks nothing; items that are null, have no id or no
 word are never found; items with equal texts or equal ids are each
 reported; repeated documents each get their own result; between tiles of equal length the one
-earlier in the item, then in the document, is marked first; an empty benchmark or document
+earlier in the item, then in the document, is marked first; of one seed repeated over a long stretch
+only places near its two ends are tried, as many as an item can use up; an empty benchmark or document
 table gives documents without leaks; a column named like the output is replaced.
 """
 
 from __future__ import annotations
 
-import functools
 import heapq
 import sys
 import unicodedata
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from baitline.llm.common import gram_hashes, mix, text_slices
+from baitline.llm.common import gram_hashes, mix, shipped, text_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -46,6 +46,7 @@ LEAST = 4
 COVERAGE = 0.6
 BLOCK_TEXT = 16 << 20
 SIEVE = 1 << 22
+PAIRS = 1 << 21
 CHARACTERS = 1 << 18
 
 GAP, IN_WORD, ALONE = 0, 1, 2
@@ -65,7 +66,6 @@ _LEAK = pa.list_(pa.struct([
                                   ("from_byte", pa.int64()), ("to_byte", pa.int64())])))]))
 
 
-@functools.cache
 def characters() -> tuple[np.ndarray, np.ndarray]:
     """Per code point the kind of character and its folded form."""
     kind, folded = np.zeros(sys.maxunicode + 1, np.uint8), np.arange(sys.maxunicode + 1, dtype=np.uint32)
@@ -112,15 +112,30 @@ def word_hashes(data: np.ndarray, at: np.ndarray, kinds: np.ndarray,
 
 def tiles(at_item: np.ndarray, at_doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (first word in the item, in the document, length) from the places of shared seeds."""
-    order = np.lexsort((at_item, at_doc - at_item))
-    i, j = at_item[order], at_doc[order]
-    fresh = np.concatenate(([True], (np.diff(i) != 1) | (np.diff(j) != 1)))
-    first = np.flatnonzero(fresh)
-    length = np.diff(np.append(first, len(i))) + least - 1
-    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(length, i[first], j[first])]
+    one = np.zeros(len(at_item), np.int64)
+    _, _, i, j, n = _joined_runs(one, one, at_item, at_doc, np.ones(len(at_item), np.int64))
+    return marked(i, j, n + least - 1, least)
+
+
+def _joined_runs(text: np.ndarray, item: np.ndarray, i: np.ndarray, j: np.ndarray,
+                 n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of ``n`` seeds from place i of the item and word j on; where one goes on as the next they are one."""
+    order = np.lexsort((j, j - i, item, text))
+    text, item, i, j, n = (x[order] for x in (text, item, i, j, n))
+    goes_on = ((text[1:] == text[:-1]) & (item[1:] == item[:-1]) & (i[1:] == i[:-1] + n[:-1])
+               & (j[1:] == j[:-1] + n[:-1]))
+    first = np.flatnonzero(np.concatenate(([True], ~goes_on))) if len(n) else np.zeros(0, np.int64)
+    return text[first], item[first], i[first], j[first], np.add.reduceat(n, first) if len(n) else n
+
+
+def marked(at_item: np.ndarray, at_doc: np.ndarray, length: np.ndarray, least: int,
+           n_words: int | None = None) -> list[tuple[int, int, int]]:
+    """Tiles out of maximal runs, longest first; done once no ``least`` words of the item are left in a row."""
+    heap = [(-int(n), int(a), int(b)) for n, a, b in zip(length, at_item, at_doc)]
     heapq.heapify(heap)
     in_item, in_doc, out = set(), set(), []
-    while heap:
+    room = n_words
+    while heap and (room is None or room >= least):
         n, a, b = heapq.heappop(heap)
         free, run = [], 0
         for k in range(-n + 1):
@@ -134,6 +149,9 @@ def tiles(at_item: np.ndarray, at_doc: np.ndarray, least: int) -> list[tuple[int
             out.append((a, b, -n))
             in_item.update(range(a, a - n))
             in_doc.update(range(b, b - n))
+            if n_words is not None:  # the longest free stretch of the item
+                taken = [-1, *sorted(in_item), n_words]
+                room = max(y - x for x, y in zip(taken, taken[1:])) - 1
         else:  # what is left of it waits for its turn among shorter ones
             for run, k in free:
                 if run >= least:
@@ -194,22 +212,43 @@ class Items:
         maybe = np.flatnonzero(self.sieve[grams & np.uint64(SIEVE - 1)])
         lo = np.searchsorted(self.seeds, grams[maybe])
         n = np.searchsorted(self.seeds, grams[maybe], "right") - lo
-        if not n.sum():
+        used = np.flatnonzero(n)
+        maybe, lo, n = maybe[used], lo[used], n[used]
+        if not len(n):
             return out
-        # All (seed in a text, seed in an item) pairs.
-        word = np.repeat(first[maybe], n)
-        hit = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-        item, place, text = self.item[hit], self.place[hit], text_of[word]
-        order = np.lexsort((place, item, text))
-        word, item, place, text = word[order], item[order], place[order], text[order]
+        # Of one seed over and over, as in a word repeated a million times, an item can use up no more
+        # places than it has words, from either end of the stretch.
+        most = 2 * int(self.n_words.max())
+        fresh = np.concatenate(([True], (np.diff(first[maybe]) != 1) | (np.diff(text_of[first[maybe]]) != 0)
+                                | (lo[1:] != lo[:-1])))
+        begin = np.flatnonzero(fresh)
+        size = np.diff(np.append(begin, len(n)))
+        inside = np.arange(len(n)) - np.repeat(begin, size)
+        size = np.repeat(size, size)
+        kept = (inside < most) | (inside >= size - most)
+        maybe, lo, n = maybe[kept], lo[kept], n[kept]
+        # Pairs (seed in a text, seed in an item), so many at a time; what is kept are runs along a diagonal.
+        parts, upto = [], np.cumsum(n)
+        a = 0
+        while a < len(n):
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS, "right")))
+            own = n[a:b]
+            word = np.repeat(first[maybe[a:b]], own)
+            hit = np.repeat(lo[a:b] - np.cumsum(own) + own, own) + np.arange(own.sum())
+            parts.append(_joined_runs(text_of[word], self.item[hit], self.place[hit], word,
+                                      np.ones(len(word), np.int64)))
+            a = b
+        text, item, place, word, length = _joined_runs(*map(np.concatenate, zip(*parts)))
+        length = length + least - 1
         cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(text) != 0)) + 1
         for a, b in zip([0, *cuts], [*cuts, len(item)]):
             who, n_words = int(item[a]), int(self.n_words[item[a]])
-            places = np.unique(place[a:b])
-            reach = least + np.minimum(np.diff(places), least).sum()  # words under any seed
-            if reach < coverage * n_words:
+            under = np.zeros(n_words + 1, np.int64)
+            np.add.at(under, place[a:b], 1)
+            np.add.at(under, place[a:b] + length[a:b], -1)
+            if (np.cumsum(under) > 0).sum() < coverage * n_words:  # words under any seed
                 continue
-            found = tiles(place[a:b], word[a:b], least)
+            found = marked(place[a:b], word[a:b], length[a:b], least, n_words)
             covered = sum(k for _, _, k in found)
             if covered >= coverage * n_words:
                 own = int(at[text[a]])
@@ -236,12 +275,12 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     done = docs.select(*names)
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == block).collect()
-        known = docs.sparkSession.sparkContext.broadcast(
-            Items([r.id for r in own], [r.t for r in own], least))
+        known = shipped(docs.sparkSession, Items([r.id for r in own], [r.t for r in own], least))
 
         def find(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
+            items = known()
             for rows, data, at in text_slices(batches, text):
-                found = known.value.leaks(data, at, least, coverage)
+                found = items.leaks(data, at, least, coverage)
                 if out in rows.schema.names:
                     before = rows.column(rows.schema.get_field_index(out)).to_pylist()
                     found = [a + b for a, b in zip(before, found)]

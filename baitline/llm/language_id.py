@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from baitline.llm.common import saved, shared_folder, text_slices
+from baitline.llm.common import saved, shared_folder, shipped, text_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -158,26 +158,29 @@ def fit(learn: DataFrame, text: str = "text", lang: str = "lang", sample: int =
     hash, are clustered in one task per language; that bounds the memory of the task.
     """
     learn = learn.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang)
-    sizes = {r[lang]: r["count"] for r in learn.groupBy(lang).count().collect()}
+    # Copies of one text are drawn or left together, so different texts are counted; with fewer than
+    # ``sample`` of them all are taken, however often each occurs.
+    sizes = {r[lang]: r["n"] for r in learn.groupBy(lang).agg(
+        F.approx_count_distinct(F.xxhash64(text), 0.02).alias("n")).collect()}
     if not sizes:
         return Model()
     seen, n = _document_frequency(learn, text)
     model = Model(idf=(np.log((n + 1) / (seen + 1)) + 1).astype(np.float32))
     span = float(1 << 63)
     cuts = learn.sparkSession.createDataFrame(
-        [(name, int(min(1.0, sample / size) * (span - 1024))) for name, size in sizes.items()],
+        [(name, int(min(1.0, 1.1 * sample / max(size, 1)) * (span - 1024))) for name, size in sizes.items()],
         f"`{lang}` string, _cut long")
     picked = (learn.join(F.broadcast(cuts), lang)
               .filter(F.xxhash64(text).bitwiseAND(F.lit((1 << 63) - 1)) <= F.col("_cut")))
     # Copies of one text would all be picked or all be left: they count once.
     picked = saved(picked.select(lang, text).dropDuplicates([lang, text]),
                    shared_folder(learn.sparkSession), "language-sample")
-    bare = learn.sparkSession.sparkContext.broadcast(model)
+    bare = shipped(learn.sparkSession, model)
 
     def centroids(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         batch = pa.RecordBatch.from_pandas(rows[["text"]], preserve_index=False)
         counts = np.concatenate([c for _, c in _counts_of(iter([batch]), "text")])
-        found = cluster(bare.value.vectors(counts), clusters)
+        found = cluster(bare().vectors(counts), clusters)
         return pd.DataFrame({"lang": key[0], "centroid": [c.tolist() for c in found]})
     rows = (picked.select(F.col(lang).alias("lang"), F.col(text).alias("text")).groupBy("lang")
             .applyInPandas(centroids, "lang string, centroid array<float>").collect())
@@ -190,10 +193,11 @@ def fit(learn: DataFrame, text: str = "text", lang: str = "lang", sample: int =
 
 def _floors(picked: DataFrame, model: Model, text: str, lang: str, tail: float) -> np.ndarray:
     """Per class of length (powers of two) the cosine below which a text is too far away."""
-    known = picked.sparkSession.sparkContext.broadcast(model)
+    known = shipped(picked.sparkSession, model)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, names = known.value, np.array(known.value.languages)
+        model = known()
+        names = np.array(model.languages)
         for rows, counts in _counts_of(batches, text):
             own = rows.column(rows.schema.get_field_index(lang))
             cosine = model.vectors(counts) @ model.centroids.T
@@ -227,10 +231,10 @@ def with_language(df: DataFrame, model: Model, text: str = "text",
     """Add lang_pred, score (cosine, 0 to 1) and rejected. ``keep`` names the columns to return."""
     added = ["lang_pred", "score", "rejected"]
     names = [c for c in keep or df.columns if c not in added]
-    known = df.sparkSession.sparkContext.broadcast(model)
+    known = shipped(df.sparkSession, model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = known.value
+        model = known()
         for rows, counts in _counts_of(batches, text):
             best, score, far = model.nearest(counts)
             texts = rows.column(rows.schema.get_field_index(text)).fill_null("")

@@ -40,6 +40,9 @@ STATED = (r"(?mi)^[ \t]*(copyright(?![ \t]*[,.;)]|\s+(notices?|holders?|owners?|
           r"statements?|interests?|and|or|in|to|of|on|for|is|are|the|rights?|protection|permission)\b)"
           r"|\(c\)[ \t]*\d|©)[^\n]*$")
 
+HEAD = 24         # characters of a known text by which its first paragraph is told
+MOST_HEADS = 500
+
 
 def _paragraphs(text: str) -> int:
     return len([p for p in re.split(r"\n\s*\n", text) if re.search(r"\w", p)])
@@ -63,26 +66,46 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) ->
     odd = texts.filter(~F.lower("text").rlike(SIGNS)).count()
     if odd:
         raise ValueError(f"{odd} known texts hold none of {SIGNS}")
-    ways = F.explode(F.array(*[F.sha2(canonical(F.col("text"), d), 256) for d in (COPYRIGHT_LINE, STATED)]))
-    return texts.select("license", ways.alias("digest")).distinct()
+    ways = F.explode(F.array(*[F.struct(F.sha2(c, 256).alias("digest"), F.left(c, F.lit(HEAD)).alias("head"))
+                               for d in (COPYRIGHT_LINE, STATED) for c in [canonical(F.col("text"), d)]])).alias("way")
+    return texts.select("license", ways).select("license", "way.digest", "way.head").distinct()
+
 
+def _runs(text: Column, heads: list[str] | None) -> Column:
+    """place, whole, digest of runs of paragraphs; a run of one line only if it is the text.
 
-def _runs(text: Column) -> Column:
-    """place, whole, digest of every run of paragraphs; a run of one line only if it is the text."""
+    A run is tried only where its first paragraphs begin like a known text (``heads``; None: everywhere).
+    """
     paragraphs = F.filter(F.split(F.regexp_replace(text, STATED, ""), r"\n\s*\n"),
                           lambda p: p.rlike(r"[\p{L}\p{N}]"))
-    n = F.size(paragraphs)
+    lengths = F.array(*[F.lit(k) for k in RUNS])
 
-    def run(at: Column, length: Column) -> Column:
-        own = F.array_join(F.slice(paragraphs, at, length), "\n")
-        whole = (at == 1) & (length == n)
+    def run(held: Column, at: Column, length: Column) -> Column:
+        own = F.array_join(F.slice(held, at, length), "\n")
+        whole = (at == 1) & (length == F.size(held))
         lines = F.trim(F.regexp_replace(own, r"^\s+|\s+$", "")).contains("\n")
         return F.when(whole | lines, F.struct(
             (at * 1000 + length).cast("long").alias("place"), whole.alias("whole"),
             F.sha2(canonical(own, STATED), 256).alias("digest")))
-    lengths = F.array(*[F.lit(k) for k in RUNS])
-    return F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(1), n), lambda at: F.transform(
-        F.filter(lengths, lambda k: k <= n - at + 1), lambda k: run(at, k)))))
+
+    def first(held: Column, at: Column) -> Column:
+        own = F.array_join(F.slice(held, at, F.lit(3)), "\n")
+        return F.struct(at.alias("at"), F.left(canonical(own, STATED), F.lit(HEAD)).alias("head"))
+
+    def known(place: Column) -> Column:
+        if heads is None:
+            return F.lit(True)
+        return F.exists(F.array(*[F.lit(h) for h in heads]),
+                        lambda h: place["head"].startswith(h) | h.startswith(place["head"]))
+
+    def every(held: Column) -> Column:
+        places = F.transform(F.sequence(F.lit(1), F.size(held)), lambda at: first(held, at))
+        return F.flatten(F.transform(F.filter(places, known), lambda x: F.transform(
+            F.filter(lengths, lambda k: k <= F.size(held) - x["at"] + 1), lambda k: run(held, x["at"], k))))
+
+    # The paragraphs are the value of a lambda's variable: cut once, not again at every place.
+    cut = F.filter(F.array(paragraphs), lambda held: F.size(held) > 0)
+    return F.flatten(F.transform(cut, every))
 
 
 def scan_licenses(docs: DataFrame, digests: DataFrame, key: str = "doc_id",
@@ -97,7 +120,12 @@ def scan_licenses(docs: DataFrame, digests: DataFrame, key: str = "doc_id",
     lines = lines.filter(F.lower("t").rlike(SIGNS))
     units = whole.unionByName(lines).withColumn("digest", F.sha2(canonical(F.col("t")), 256)).drop("t")
     again = whole.withColumn("digest", F.sha2(canonical(F.col("t"), STATED), 256)).drop("t")
-    runs = held.select("doc_id", F.xxhash64("t").alias("h"), F.explode(_runs(F.col("t"))).alias("run"))
+    heads = None
+    if "head" in digests.columns:
+        rows = digests.select("head").distinct().limit(MOST_HEADS + 1).collect()
+        heads = sorted(r.head for r in rows) if 0 < len(rows) <= MOST_HEADS else None
+        digests = digests.drop("head").distinct()
+    runs = held.select("doc_id", F.xxhash64("t").alias("h"), F.explode(_runs(F.col("t"), heads)).alias("run"))
     runs = runs.filter("run IS NOT NULL").select(
         "doc_id", "h", F.when(F.col("run.whole"), "document").otherwise("paragraphs").alias("unit"),
         F.when(F.col("run.whole"), F.lit(-1).cast("long")).otherwise(F.col("run.place")).alias("place"), "run.digest")

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 
@@ -80,6 +81,8 @@ class Coder:
         self.pair_memo: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.count_memo: dict[str, int] = {}
+        self.older_counts: dict[str, int] = {}
 
     def _raw(self, i: int, kind: int) -> bytes:
         if kind == 6:
@@ -188,17 +191,23 @@ class Coder:
             i -= size[i]
         return array("i", reversed(out)).tobytes()
 
-    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
-        """Ids of runs nobody has coded yet, in sorted order: neighbours share their beginnings."""
-        held, before, found = None, "", {}
+    def _tables(self, wanted: set[str]) -> Iterator[tuple[str, tuple[list, list, list]]]:
+        """Tables of many runs, in sorted order: neighbours share their beginnings.
+
+        A table is good until the next one is asked for.
+        """
+        held, before = None, ""
         for text in sorted(wanted):
             keep, most = 0, min(len(text), len(before))
             while keep < most and text[keep] == before[keep]:
                 keep += 1
             held = self.table(text, keep if held else 0, held)
-            found[text] = self._recover(text, held[0], held[1])
+            yield text, held
             before = text
-        return found
+
+    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
+        """Ids of runs nobody has coded yet."""
+        return {text: self._recover(text, held[0], held[1]) for text, held in self._tables(wanted)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as 32-bit integers, as bytes."""
@@ -217,8 +226,21 @@ class Coder:
         return [b"".join([known[r] for r in own]) for own in cut]
 
     def counts(self, texts: list[str]) -> list[int]:
-        """Number of tokens of whole texts: the last count of every run's table."""
-        return [len(ids) // 4 for ids in self.encode(texts)]
+        """Number of tokens of whole texts: the last prefix count of every run; no ids are recovered."""
+        cut = [runs(t) for t in texts]
+        memo, older = self.count_memo, self.older_counts
+        known, new = {}, set()
+        for r in set().union(*cut):
+            n = memo.get(r) or older.get(r)
+            if n is None:
+                new.add(r)
+            else:
+                known[r] = n
+        known.update((r, held[2][-1]) for r, held in self._tables(new))
+        if len(memo) + len(known) > MEMO_RUNS:
+            self.older_counts, self.count_memo = memo, {}
+        self.count_memo.update((r, n) for r, n in known.items() if len(r) <= MEMO_RUN_CHARS)
+        return [sum([known[r] for r in own]) for own in cut]
 
     def prefix_counts(self, text: str) -> list[int]:
         """Number of tokens of every prefix of a text, from 0 characters on."""

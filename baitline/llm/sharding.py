@@ -4,11 +4,12 @@ Records are ordered by (hash of the text, id), so equal texts lie together. A sa
 keys, weighted by size, gives the splitters: quantiles that cut the order into ranges of about
 equal bytes. Ranges that turn out overfull are subdivided by a sample of their own keys. The
 exact bytes of all ranges then say where each of the shards begins, and records are placed by
-the bytes before them inside their range only. A group of equal texts stays in one shard
-unless it is larger than ``group_share`` of a shard; larger groups are cut between records.
+the bytes before them inside their range only. A group of equal texts stays in one shard: those
+larger than ``group_share`` of a shard are dealt out first, the largest to the emptiest shard, and
+the small ones fill all shards up to one level. Only a group larger than a whole shard is cut, between records.
 
 Law ``bytes``: sizes of shards differ by at most twice ``group_share`` of a shard plus one
-record.
+record, unless groups that must stay whole fill a shard beyond that level.
 
 Only keys, sizes and hashes are shuffled, in as many ranges as the data needs, so no task sees
 a shard as a whole. Splitters are collected to the driver: at most about ``splitters`` per
@@ -23,6 +24,7 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
+import heapq
 import sys
 from collections.abc import Iterator
 
@@ -66,6 +68,30 @@ def _ranges(rows: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
     return rows.withColumn("range", place("h", "tie"))
 
 
+def _levelled(filled: list[int], total: int) -> np.ndarray:
+    """Where, in the order of the small groups, each shard ends, if all are to reach one level.
+
+    ``filled``: bytes every shard holds already; shards beyond the level get nothing more.
+    """
+    held = np.sort(np.array(filled, np.float64))
+    rest = total - held.sum()
+    for n in range(len(held), 0, -1):  # the n emptiest shards share the rest
+        level = (held[:n].sum() + rest) / n
+        if n == 1 or level >= held[n - 1]:
+            break
+    return np.cumsum(np.maximum(0.0, level - np.array(filled, np.float64)))
+
+
+def _shard_at(bounds: np.ndarray):
+    """The shard that holds a byte of the order."""
+    last = int(np.flatnonzero(np.diff(np.concatenate(([0.0], bounds))) > 0).max(initial=0))
+
+    @F.pandas_udf("int")
+    def shard(middle: pd.Series) -> pd.Series:
+        return pd.Series(np.minimum(np.searchsorted(bounds, middle.to_numpy(), "right"), last).astype(np.int32))
+    return shard
+
+
 def shard_by_bytes(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text",
                    splitters: int = SPLITTERS, group_share: float = GROUP_SHARE) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (gapless from 0) of every record.
@@ -91,8 +117,18 @@ def shard_by_bytes(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     target = total.b / shards
     groups = rows.groupBy("h").agg(F.sum("size").alias("bytes"))
     # At most 1 / group_share of these exist per shard.
-    large = [r.h for r in groups.filter(F.col("bytes") > group_share * target).collect()]
-    cut_in = {int(h) for h in large}
+    large = sorted(((r.bytes, r.h) for r in groups.filter(F.col("bytes") > group_share * target).collect()),
+                   reverse=True)
+    cut_in = {int(h) for _, h in large}
+    filled, dealt = [(0, s) for s in range(shards)], []
+    for size, h in large:
+        if size <= target:
+            held_by, s = heapq.heappop(filled)
+            dealt.append((h, s))
+            heapq.heappush(filled, (held_by + size, s))
+    bounds = _levelled([b for b, _ in sorted(filled, key=lambda f: f[1])], total.b)
+    large = [h for size, h in large if size > target]
+    dealt = F.broadcast(spark.createDataFrame(dealt, "h long, own int"))
 
     wanted = min(splitters, max(4 * shards, total.n // RANGE_ROWS + 1))
     cuts: set[tuple[int, int]] = set()
@@ -111,13 +147,14 @@ def shard_by_bytes(docs: DataFrame, shards: int, key: str = "doc_id", text: str
             break
         open_ = ranged.filter(F.col("range").isin(over)).drop("range")
 
-    placed = saved(_ranges(rows, list(cuts)), folder, "ranged")
-    sizes = sorted((r.range, r.b) for r in placed.groupBy("range").agg(F.sum("size").alias("b")).collect())
+    placed = saved(_ranges(rows, list(cuts)).join(dealt, "h", "left"), folder, "ranged")
+    free = F.when(F.col("own").isNull(), F.col("size")).otherwise(0)  # groups dealt out take up no room here
+    sizes = sorted((r.range, r.b) for r in placed.groupBy("range").agg(F.sum(free).alias("b")).collect())
     starts = np.cumsum([0] + [b for _, b in sizes])[:-1]
     begin = spark.createDataFrame([(r, int(s)) for (r, _), s in zip(sizes, starts)],
                                   "range int, start long")
     inside = Window.partitionBy("range").orderBy("h", "tie", "at")
-    before = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum(free).over(inside.rowsBetween(Window.unboundedPreceding, -1))
     held = placed.join(F.broadcast(begin), "range").withColumn(
         "offset", F.col("start") + F.coalesce(before, F.lit(0)))
     own = Window.partitionBy("range", "h")
@@ -125,8 +162,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, key: str = "doc_id", text: str
     # A whole group goes where its middle lies, a record of a cut group where its own lies.
     middle = F.when(whole, F.min("offset").over(own) + F.sum("size").over(own) / 2).otherwise(
         F.col("offset") + F.col("size") / 2)
-    held = held.withColumn("shard", F.least(F.lit(shards - 1), F.floor(middle / F.lit(target)))
-                           .cast("int"))
+    held = held.withColumn("shard", F.coalesce("own", _shard_at(bounds)(middle.cast("double"))))
     held = saved(held.select("doc_id", "size", "text_crc32", "h", "tie", "at", "range", "shard"),
                  folder, "sharded")
     counts = sorted((r.shard, r.range, r.n) for r in held.groupBy("shard", "range").agg(

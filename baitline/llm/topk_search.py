@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 QUERY_BLOCK = 4096
-DEPTHS = (0.6, 0.8, 1.0)
-FIRST_ROWS, BLOCK_ROWS = 512, 4096  # the first block is read to its end and gives the bound
+DEPTHS = (0.1, 0.3, 0.6, 0.8, 1.0)
+FIRST_ROWS, BLOCK_ROWS = 512, 4096  # the first block is small and gives the others their bound
+QUERY_ROWS = 256
 
 
 def usable(vector: Column) -> Column:
@@ -67,53 +68,60 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
-        self.lists = np.take_along_axis(vectors.T, self.order, 1).astype(np.float64)
-
-    def best(self, query: np.ndarray, own: int, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the candidates that may be among the k best, all resolved.
-
-        ``floor``: a score that k candidates of other blocks have reached.
+        n = len(ids)
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.lists = np.take_along_axis(vectors, order, 0).astype(np.float64)
+        self.place = np.empty(vectors.shape, np.int64)  # where each component stands in its list
+        np.put_along_axis(self.place, order, np.broadcast_to(np.arange(n)[:, None], order.shape), 0)
+
+    def _bounds(self, up: np.ndarray, down: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bound of every candidate for every query after ``depth`` entries of each list.
+
+        ``up`` and ``down`` are the positive and negative parts of the queries: the first read a
+        list from its large end, the others from its small end. Components read count as they are, others lie
+        between the last one read and the worst of the list.
         """
-        n = len(self.ids)
-        used = np.flatnonzero(query)
-        weight = query[used].astype(np.float64)
-        up = weight > 0
-        worst = weight * np.where(up, self.lists[used, 0], self.lists[used, -1])
-        slack = 1e-9 * (np.abs(weight) @ np.abs(self.lists[used]).max(1, initial=0)) if n else 0.0
-        open_ = self.ids != own
-        read, seen = np.zeros(n), np.zeros((len(used), n), np.float32)
-        done = 0
-        # Without a bound from other blocks too little is known before the lists end.
-        for share in (DEPTHS if floor > -np.inf else DEPTHS[-1:]) if len(used) else ():
-            depth = max(done + 1, int(n * share)) if n > 4 * k else n
-            depth = min(depth, n)
-            part, value = [], []
-            for r, d in enumerate(used):
-                at = slice(n - depth, n - done) if up[r] else slice(done, depth)
-                who = self.order[d, at]
-                part.append(who)
-                value.append(self.lists[d, at] * weight[r])
-                seen[r, who] = 1
-            read += np.bincount(np.concatenate(part), np.concatenate(value), n)
-            done = depth
-            if done == n:
-                break
-            last = weight * np.where(up, self.lists[used, n - depth], self.lists[used, depth - 1])
-            mix = np.stack((last, worst)).astype(np.float32) @ seen
-            # Bounds for the part not read; single precision is allowed for in the slack.
-            gap = 1e-5 * (np.abs(last).sum() + np.abs(worst).sum()) + slack
-            high = read + (last.sum() - mix[0]) + gap
-            low = (read + (worst.sum() - mix[1]) - gap)[open_]
-            bound = floor
-            if len(low) >= k:
-                bound = max(bound, np.partition(low, len(low) - k)[len(low) - k])
-            left = open_ & (high >= bound)
-            if left.sum() <= max(4 * k, n // 50):
-                open_ = left
+        n, both_low, both_high = len(self.ids), 0.0, 0.0
+        values = self.vectors.astype(np.float64)
+        for weight, read, last, worst in (
+                (up, self.place >= n - depth, self.lists[n - depth], self.lists[0]),
+                (down, self.place < depth, self.lists[depth - 1], self.lists[-1])):
+            known = weight @ np.where(read, values, 0.0).T
+            unread = (~read).astype(np.float64).T
+            both_high = both_high + known + (weight * last) @ unread
+            both_low = both_low + known + (weight * worst) @ unread
+        return both_low, both_high
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int,
+             floors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query ids and scores of the candidates that may be among the k best, all resolved.
+
+        ``floors``: scores that k candidates of other blocks have reached. All queries read to the same
+        depth at once; a query is done when few candidates can still qualify.
+        """
+        n, out = len(self.ids), [(self.ids[:0], np.zeros(0, np.int64))] * len(queries)
+        asked = np.arange(len(queries))
+        # The sums are exact as long as whole numbers are; beyond that bounds are widened.
+        largest = np.abs(self.lists).max(0)
+        slack = 1e-9 * (np.abs(queries).astype(np.float64) @ largest)
+        for share in DEPTHS if n > 4 * k else DEPTHS[-1:]:
+            depth = max(1, min(n, int(n * share)))
+            weight = queries[asked].astype(np.float64)
+            low, high = self._bounds(np.maximum(weight, 0), np.minimum(weight, 0), depth)
+            other = self.ids[None, :] != own[asked][:, None]
+            low = np.where(other, low - slack[asked, None], -np.inf)
+            bound = floors[asked]
+            if n >= k:
+                bound = np.maximum(bound, np.partition(low, n - k, 1)[:, n - k])
+            left = other & (high + slack[asked, None] >= bound[:, None])
+            done = (left.sum(1) <= max(4 * k, n // 50)) | (depth == n)
+            for r in np.flatnonzero(done):
+                who, q = np.flatnonzero(left[r]), asked[r]
+                out[q] = self.ids[who], self.vectors[who] @ queries[q]
+            asked = asked[~done]
+            if not len(asked):
                 break
-        who = np.flatnonzero(open_)
-        return self.ids[who], self.vectors[who] @ query
+        return out
 
 
 def _search(queries: tuple[np.ndarray, np.ndarray], k: int):
@@ -133,13 +141,14 @@ def _search(queries: tuple[np.ndarray, np.ndarray], k: int):
             while at < len(every):
                 end = at + (BLOCK_ROWS if begun else FIRST_ROWS)
                 block, at, begun = Block(every[at:end], matrix[at:end]), end, True
-                for q, own in enumerate(ids):
-                    who, score = best[q]
-                    floor = float(score[-1]) if len(score) == k else -np.inf
-                    near, value = block.best(asked[q], own, k, floor)
-                    who, score = np.concatenate((who, near)), np.concatenate((score, value))
-                    order = np.lexsort((who, -score))[:k]
-                    best[q] = who[order], score[order]
+                for a in range(0, len(ids), QUERY_ROWS):  # the bounds of so many queries are held at once
+                    part = slice(a, a + QUERY_ROWS)
+                    floors = np.array([s[-1] if len(s) == k else -np.inf for _, s in best[part]])
+                    found = block.best(asked[part], ids[part], k, floors)
+                    for q, (near, value) in enumerate(found, a):
+                        who, score = np.concatenate((best[q][0], near)), np.concatenate((best[q][1], value))
+                        order = np.lexsort((who, -score))[:k]
+                        best[q] = who[order], score[order]
         size = [len(who) for who, _ in best]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(ids, size)),

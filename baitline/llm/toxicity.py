@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from baitline.llm.common import saved, shared_folder, text_slices, worker_memo
+from baitline.llm.common import saved, shared_folder, shipped, text_slices, worker_memo
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -53,7 +53,8 @@ SPAN = 5
 WINDOW = 32
 LETTERS = 61
 START = "^"
-SHARPNESS = 4
+SHARPNESS = 4  # a power of two: squared twice
+KERNEL_ROWS = 1024
 VARIANTS = 24
 GARBLED_SHARE = 1.0  # all garbled examples together, as a share of the toxic ones
 COST = 100.0
@@ -146,8 +147,10 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 @dataclass
 class Landmarks:
     words: list[str]
-    place: np.ndarray = field(init=False)  # code -> row of the table, 0 for none
-    table: np.ndarray = field(init=False)  # code row x landmark
+    place: np.ndarray = field(init=False)   # code -> its number, 0 for none
+    starts: np.ndarray = field(init=False)  # where the entries of each code end; those of the one before, where they begin
+    owner: np.ndarray = field(init=False)   # per entry the landmark
+    weight: np.ndarray = field(init=False)  # and the code's weight in it
 
     def __post_init__(self):
         row, code, weight = subsequences(self.words)
@@ -155,8 +158,10 @@ class Landmarks:
         seen, at = np.unique(code, return_inverse=True)
         self.place = np.zeros(LETTERS ** 3, np.int32)
         self.place[seen] = np.arange(1, len(seen) + 1)
-        self.table = np.zeros((len(seen) + 1, len(self.words)), np.float32)
-        self.table[at + 1, row] = weight / np.maximum(norm, 1e-9)[row]
+        order = np.argsort(at, kind="stable")
+        self.starts = np.concatenate(([0], np.cumsum(np.bincount(at, minlength=len(seen)))))
+        self.owner = row[order]
+        self.weight = (weight / np.maximum(norm, 1e-9)[row])[order]
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """Kernel of every word with every landmark; 0 for words without three letters."""
@@ -172,16 +177,25 @@ class Landmarks:
                 continue
             first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
             own = row[first]
-            value = np.empty((len(own), len(self.words)), np.float32)
-            # A few hundred words at a time keep the gathered rows small.
-            for lo in range(0, len(first), 512):
-                hi = min(lo + 512, len(first))
-                end = first[hi] if hi < len(first) else len(row)
-                rows = self.table[place[first[lo]:end]] * weight[first[lo]:end, None].astype(np.float32)
-                value[lo:hi] = np.add.reduceat(rows, first[lo:hi] - first[lo], 0)
+            width = len(self.words)
+            value = np.empty((len(own), width), np.float32)
+            # A code occurs in few landmarks: only these are added up, some hundred words at a time.
+            for lo in range(0, len(first), KERNEL_ROWS):
+                hi = min(lo + KERNEL_ROWS, len(first))
+                part_of = slice(first[lo], first[hi] if hi < len(first) else len(row))
+                times = self.starts[place[part_of]] - self.starts[place[part_of] - 1]
+                at = np.repeat(self.starts[place[part_of]] - np.cumsum(times), times) + np.arange(times.sum())
+                line = np.repeat(np.repeat(np.arange(hi - lo), np.diff(np.append(first[lo:hi], part_of.stop))), times)
+                value[lo:hi] = np.bincount(line * width + self.owner[at], self.weight[at] * np.repeat(weight[part_of], times),
+                                           (hi - lo) * width).reshape(hi - lo, width)
             value /= np.maximum(norm[own], 1e-9)[:, None]
-            value **= SHARPNESS
-            np.maximum.at(out, a + owner[own], value)
+            value *= value
+            value *= value  # SHARPNESS
+            own = owner[own]
+            if len(part) == len(words[a:a + 4096]):
+                out[a + own] = value
+            else:
+                np.maximum.at(out, a + own, value)
         return out
 
 
@@ -311,7 +325,7 @@ def _word_counts(rows: DataFrame, text: str, label: str) -> DataFrame:
             labels = part.column(part.schema.get_field_index(label)).to_pylist()
             found = [(w, y) for t, y in zip(
                 part.column(part.schema.get_field_index(text)).to_pylist(), labels)
-                for w in plain_words(t or "", known) if len(w) <= WINDOW]
+                for w in {*_windows(sorted(plain_words(t or "", known)))[0]}]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w for w, _ in found], pa.string()),
                  pa.array([y for _, y in found], pa.int32())], names=["word", "y"])
@@ -376,11 +390,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not toxic:
         return size[1] / sum(size.values())
     landmarks = Landmarks(toxic + clean)
-    known = docs.sparkSession.sparkContext.broadcast(landmarks)
+    known = shipped(docs.sparkSession, landmarks)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, _ in text_slices(batches, "text", SLICE, _memo_key(known.value)):
-            found = _matcher(known.value).matches(part.column(0).to_pylist())
+        own = known()
+        for part, _, _ in text_slices(batches, "text", SLICE, _memo_key(own)):
+            found = _matcher(own).matches(part.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), pa.array([m.tobytes() for m in found], pa.binary())],
                 names=["y", "matches"])
@@ -417,12 +432,13 @@ def with_toxicity(df: DataFrame, model: Model | float, text: str = "text", out:
     names = [c for c in keep or df.columns if c != out]
     if not isinstance(model, Model):
         return df.select(*names, F.lit(float(model)).alias(out))
-    known = df.sparkSession.sparkContext.broadcast(model)
+    known = shipped(df.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, _, _ in text_slices(batches, text, SLICE, _memo_key(known.value.landmarks)):
+        own = known()
+        for rows, _, _ in text_slices(batches, text, SLICE, _memo_key(own.landmarks)):
             texts = rows.column(rows.schema.get_field_index(text)).fill_null("").to_pylist()
-            found = known.value.scores(_matcher(known.value.landmarks).matches(texts))
+            found = own.scores(_matcher(own.landmarks).matches(texts))
             columns = [rows.column(rows.schema.get_field_index(c)) for c in names]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(found.astype(float))],
                                              names=[*names, out])
