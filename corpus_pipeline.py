@@ -33,13 +33,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar shingle sets the one with the smallest id stays.
 
-    Documents without words are linked with nothing and stay.
+    A row is told by its id and text together: an id with two texts loses only the one that is a near
+    copy, a row that occurs twice stays once, and rows without an id are linked like all others but
+    stay only if nobody with an id is in their group. Documents without words are linked with nothing and stay.
     """
-    classes = jaccard_components(docs)
-    gone = classes.filter("component_id <> doc_id").select("doc_id").distinct()
-    gone = saved(gone, shared_folder(spark), "gone")
-    few = measure(gone).fits_broadcast
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    folder, names = shared_folder(spark), [*COLUMNS, "_row"]
+    own = F.xxhash64(F.struct("doc_id", "text"))
+    docs = docs.select(*COLUMNS).withColumn("_row", own)
+    classes = saved(jaccard_components(docs.select("_row", "text"), "_row").select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct(), folder, "classes")
+    joined = classes.filter("_group <> _row").select("_group").distinct()
+    members = classes.join(joined, "_group", "left_semi")
+    named = docs.select("_row", "doc_id").join(members, "_row")
+    first = named.groupBy("_group").agg(F.min_by("_row", F.struct(
+        F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row"))
+    gone = saved(members.select("_row").join(first, "_row", "left_anti"), folder, "gone")
+    kept = docs.join(F.broadcast(gone) if measure(gone).fits_broadcast else gone, "_row", "left_anti")
+    again = saved(docs.groupBy("_row").count().filter("count > 1").select("_row"), folder, "again")
+    size = measure(again)
+    if size.rows:
+        again = F.broadcast(again) if size.fits_broadcast else again
+        once = kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])
+        kept = kept.join(again, "_row", "left_anti").select(*names).unionByName(once.select(*names))
     return kept.select(*COLUMNS)
 
 
