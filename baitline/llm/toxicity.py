@@ -59,7 +59,7 @@ VARIANTS = 24
 GARBLED_SHARE = 1.0  # all garbled examples together, as a share of the toxic ones
 COST = 100.0
 SLICE = 2 << 20
-MEMO_WORDS = 200_000
+MEMO_WORDS = 60_000
 
 # Signs that stand for letters inside a word.
 STANDS_FOR = str.maketrans("013457@$|", "oieastasi")
