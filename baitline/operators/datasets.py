@@ -64,9 +64,9 @@ def _remembering_policy():
     return Remembering(), known
 
 
-def _read_message(parser: BytesParser, content: bytes) -> dict:
+def _read_message(path: str, content: bytes, parser: BytesParser | None = None) -> dict:
     """The headers and decoded parts of one message."""
-    message = parser.parsebytes(content)
+    message = (parser or BytesParser(policy=mime_policy.default)).parsebytes(content)
     multipart = message.is_multipart()
     parts = []
     for part in (message.walk() if multipart else [message]):
@@ -75,7 +75,7 @@ def _read_message(parser: BytesParser, content: bytes) -> dict:
         name = part.get_filename() if multipart else None
         parts.append({"content_type": kind, "filename": _clean(name) if name else None,
                       "text": _clean(_decode_part(part)) if wanted else None})
-    return {"from_header": _clean(str(message.get("From", ""))),
+    return {"path": path, "from_header": _clean(str(message.get("From", ""))),
             "subject": _clean(str(message.get("Subject", ""))), "multipart": multipart, "parts": parts}
 
 
@@ -97,7 +97,7 @@ def decode_mail(files: DataFrame) -> DataFrame:
                     found["error"] = "no content"
                 elif row["error"] is None:
                     try:
-                        found.update(_read_message(parser, row["content"]))
+                        found.update(_read_message(row["path"], row["content"], parser))
                     except Exception as e:
                         found["error"] = f"{type(e).__name__}: {_clean(str(e))}"
                 rows.append(found)
