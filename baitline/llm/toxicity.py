@@ -59,7 +59,7 @@ VARIANTS = 24
 GARBLED_SHARE = 1.0  # all garbled examples together, as a share of the toxic ones
 COST = 100.0
 SLICE = 2 << 20
-MEMO_WORDS = 60_000
+MEMO_WORDS = 160_000
 
 # Signs that stand for letters inside a word.
 STANDS_FOR = str.maketrans("013457@$|", "oieastasi")
@@ -234,7 +234,8 @@ class Matcher:
         start, number = len(self.number), self.number
         number.update(zip(new, range(start, start + len(new))))
         if start + len(new) > len(self.rows):
-            more = np.zeros((max(start + len(new), 2 * start), self.rows.shape[1]), np.float32)
+            room = max(start + len(new), min(2 * start, MEMO_WORDS))
+            more = np.zeros((room, self.rows.shape[1]), np.float32)
             more[:start] = self.rows[:start]
             self.rows = more
         self.rows[start:start + len(new)] = self.landmarks.kernel(new)
