@@ -17,10 +17,10 @@ Segments are hashed sums of their elements. They travel as packed arrays to buck
 bounded number of entries (the number of buckets follows the corpus), meet there, and leave
 stars: one asking set against each of the others. Stars are verified exactly on the full
 sets. Groups of three or more whose members are still in different components afterwards
-are completed: sets of different components that met in a segment are held against each other
-as bit maps, inside the task of their group or of a pair of its blocks, and what may link is
-verified exactly. So no link between components is ever missed, and pairs inside a component
-are not enumerated. Copies (equal sets) are one set throughout.
+are completed: sets of different components that met in a segment are held against each other,
+as bit maps first and then exactly, inside the task of their group or of a pair of its blocks,
+which returns a forest of links. So no link between components is ever missed, and pairs inside
+a component are not enumerated. Copies (equal sets) are one set throughout.
 
 Cases: a text that is null, empty or blank has the empty set and links with nothing; a text
 with fewer words than a shingle is one shingle; a null id is returned with a null component
@@ -58,6 +58,7 @@ SMALL_BAND = 64
 CROWD = 6
 MOST_CROWDED = 1_000_000
 GROUP_MEMBERS = 2_000
+GROUP_ELEMENTS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -138,22 +139,41 @@ def chosen_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, words: int
     return picked.select(text, "wanted").mapInArrow(run, f"key long, n long, {what} binary")
 
 
-def band_entries(elements: np.ndarray, band: Band) -> tuple[np.ndarray, ...]:
-    """Of one set: hash of every segment, its number of elements, the segment of each element,
-    and the hash of that segment without the element."""
-    m = np.uint64(band.segments)
-    segment = ((elements >> np.uint64(32)) * m) >> np.uint64(32)
-    ends = np.searchsorted(segment, np.arange(band.segments + 1, dtype=np.uint64))
+def entries_of(elements: np.ndarray, sizes: np.ndarray, band: np.ndarray, segments: np.ndarray,
+               near: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The segments of several sets, each in one band (number, segments, whether it has neighbours).
+
+    ``elements`` holds the sets one after the other. Returns hash and number of elements of every
+    segment, the number of the set of each, and per neighbour its hash, segment and set.
+    """
+    first = np.concatenate(([0], np.cumsum(segments)))
+    wide = np.repeat(segments.astype(np.uint64), sizes)
+    at = (((elements >> np.uint64(32)) * wide) >> np.uint64(32)).astype(np.int64)
+    at += np.repeat(first[:-1], sizes)
+    count = np.bincount(at, minlength=int(first[-1]))
     value = mix(elements ^ np.uint64(0xA0761D6478BD642F))
     total = np.zeros(len(elements) + 1, np.uint64)
     np.cumsum(value, out=total[1:])
-    sums = total[ends[1:]] - total[ends[:-1]]
-    place = (np.arange(band.segments, dtype=np.uint64) + np.uint64((band.number + 1) << 32))
+    ends = np.cumsum(count)
+    sums = total[ends] - total[ends - count]
+    place = (np.arange(first[-1]) - np.repeat(first[:-1], segments)).astype(np.uint64)
+    place += np.repeat((band + 1).astype(np.uint64) << np.uint64(32), segments)
     place = mix(place * np.uint64(0x9E3779B97F4A7C15))
-    inner = np.zeros(0, np.uint64)
-    if band.has_neighbours:
-        inner = mix((sums[segment] - value) ^ place[segment])
-    return mix(sums ^ place), np.diff(ends), segment.astype(np.int64), inner
+    each = np.repeat(near, sizes)
+    within = at[each]
+    inner = mix((sums[within] - value[each]) ^ place[within])
+    sets = np.arange(len(sizes))
+    return (mix(sums ^ place), count, np.repeat(sets, segments), inner, within,
+            np.repeat(sets, sizes)[each])
+
+
+def band_entries(elements: np.ndarray, band: Band) -> tuple[np.ndarray, ...]:
+    """Of one set: hash of every segment, its number of elements, the segment of each element,
+    and the hash of that segment without the element."""
+    full, count, _, inner, within, _ = entries_of(
+        elements, np.array([len(elements)]), np.array([band.number]), np.array([band.segments]),
+        np.array([band.has_neighbours]))
+    return full, count, within, inner
 
 
 def _asked(doc: np.ndarray, cost: np.ndarray, filled: np.ndarray, need: np.ndarray,
@@ -178,39 +198,33 @@ def _asked(doc: np.ndarray, cost: np.ndarray, filled: np.ndarray, need: np.ndarr
 
 
 def _packed(sets: list[np.ndarray], keys: list[int], similarity: Fraction, buckets: int,
-            crowded: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, bytes]]:
-    """The entries of some sets, by bucket. ``crowded``: segments many sets share, and how many."""
-    bands = bands_up_to(max(map(len, sets)) * similarity.denominator, similarity)
-    low = np.array([b.low for b in bands])
-    parts: list[tuple] = []
-    inner: list[tuple] = []
-    pair = 0
-    for number, elements in enumerate(sets):
-        own = int(np.searchsorted(low, len(elements), "right")) - 1
-        for band, need in ((bands[own], needed(len(elements), similarity)), (bands[own + 1], 0)):
-            full, count, segment, without = band_entries(elements, band)
-            parts.append((full, count > 0, np.full(len(full), pair), np.full(len(full), number),
-                          np.full(len(full), need), np.full(len(full), band.has_neighbours)))
-            if len(without):
-                inner.append((without, segment, pair, number))
-            pair += 1
-    full, filled, doc, number, need, near = (np.concatenate(x) for x in zip(*parts))
-    _, same, often = np.unique(full, return_inverse=True, return_counts=True)
-    cost, sig = often[same], full >> np.uint64(16)
-    if len(crowded[0]):
-        at = np.minimum(np.searchsorted(crowded[0], sig), len(crowded[0]) - 1)
-        cost = np.where(crowded[0][at] == sig, np.maximum(crowded[1][at], cost), cost)
-    asked, doubled = _asked(doc, cost, filled, need, near)
-    sigs, owner, asks = [full], [number], [asked]
-    starts = np.searchsorted(doc, np.arange(pair + 1))
-    for without, segment, p, n in inner:
-        sigs.append(without)
-        owner.append(np.full(len(without), n))
-        asks.append(doubled[starts[p]:starts[p + 1]][segment])
-    sig = np.concatenate(sigs) >> np.uint64(16)
-    owner, asks = np.concatenate(owner), np.concatenate(asks)
+            crowded: tuple[np.ndarray, np.ndarray] | None) -> Iterator[tuple[int, bytes]]:
+    """The entries of some sets, by bucket. ``crowded``: segments many sets share, and how many;
+    None: only whole segments, to be counted, none is asked for."""
+    sizes = np.array([len(s) for s in sets])
+    bands = bands_up_to(int(sizes.max()) * similarity.denominator, similarity)
+    own = np.searchsorted([b.low for b in bands], sizes, "right") - 1
+    segments, near = (np.array([getattr(b, x) for b in bands]) for x in ("segments", "has_neighbours"))
+    elements = np.concatenate(sets)
+    full, count, owner, inner, within, inner_owner = entries_of(
+        elements, sizes, own, segments[own], near[own])
+    larger, _, larger_owner, *more = entries_of(elements, sizes, own + 1, segments[own + 1], near[own + 1])
+    sigs, owners = [full, larger], [owner, larger_owner]
+    asks = [np.zeros(len(full), bool), np.zeros(len(larger), bool)]
+    if crowded is not None:
+        _, same, often = np.unique(np.concatenate(sigs), return_inverse=True, return_counts=True)
+        cost, sig = often[same][:len(full)], full >> np.uint64(16)
+        if len(crowded[0]):
+            at = np.minimum(np.searchsorted(crowded[0], sig), len(crowded[0]) - 1)
+            cost = np.where(crowded[0][at] == sig, np.maximum(crowded[1][at], cost), cost)
+        need = np.array([needed(int(n), similarity) for n in sizes])
+        asks[0], doubled = _asked(owner, cost, count > 0, need[owner], near[own][owner])
+        sigs += [inner, more[0]]
+        owners += [inner_owner, more[2]]
+        asks += [doubled[within], np.zeros(len(more[0]), bool)]
+    sig, owner, asked = np.concatenate(sigs) >> np.uint64(16), np.concatenate(owners), np.concatenate(asks)
     order = np.argsort(sig)
-    sig, owner, asks = sig[order], owner[order], asks[order]
+    sig, owner, asked = sig[order], owner[order], asked[order]
     bucket = (sig >> np.uint64(16)) * np.uint64(buckets) >> np.uint64(32)
     cuts = np.flatnonzero(np.diff(bucket)) + 1
     every = np.array(keys, np.int64)
@@ -221,7 +235,7 @@ def _packed(sets: list[np.ndarray], keys: list[int], similarity: Fraction, bucke
         yield int(bucket[lo]), b"".join((
             head, every[who].tobytes(), (s & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
             (s >> np.uint64(32)).astype(np.uint16).tobytes(),
-            (at | (asks[lo:hi].astype(np.int64) << 15)).astype(np.uint16).tobytes()))
+            (at | (asked[lo:hi].astype(np.int64) << 15)).astype(np.uint16).tobytes()))
 
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -285,7 +299,7 @@ def meet(sig: np.ndarray, key: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray
 
 
 def _entered(docs: DataFrame, key: str, text: str, words: int, similarity: Fraction,
-             buckets: int, crowded: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+             buckets: int, crowded: tuple[np.ndarray, np.ndarray] | None) -> DataFrame:
     """bucket, entries: the packed entries of all sets."""
     known = docs.sparkSession.sparkContext.broadcast(crowded)
 
@@ -422,51 +436,65 @@ def verify(pairs: DataFrame, bits: DataFrame, full_sets: Callable[[DataFrame], D
     return exact(saved(near, folder, f"{name}-near"), full_sets, similarity, folder, name)
 
 
-def _near_in_group(n: np.ndarray, label: np.ndarray, asks: np.ndarray, maps: list[bytes],
-                   similarity: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i < j) of sets in different components that may link, by the bit map bound."""
-    size = min(map(len, maps)) * 8
-    bits = np.zeros((len(maps), size), np.float32)
-    for k, own in enumerate(maps):
-        bits[k] = np.unpackbits(np.frombuffer(own, np.uint8), bitorder="little").reshape(-1, size).max(0)
+def _links_in_group(label: np.ndarray, asks: np.ndarray, sets: list[np.ndarray],
+                    similarity: Fraction) -> list[tuple[int, int]]:
+    """Places (i, j) of sets that link and join different components; at most one link per joint.
+
+    Bit maps of all sets, held against each other in blocks, tell which pairs may link; these
+    are verified on the full sets unless a link found before has joined their components.
+    """
+    n = np.array([len(s) for s in sets], np.float64)
+    size = 1 << max(5, int(8 * n.min()).bit_length())
+    bits = np.zeros((len(sets), size), np.float32)
+    for k, own in enumerate(sets):
+        bits[k, (own & np.uint64(size - 1)).astype(np.int64)] = 1
     filled = bits.sum(1)
     p, q = similarity.numerator, similarity.denominator
-    left, right = [], []
-    for at in range(0, len(maps), 512):
+    root = np.unique(label, return_inverse=True)[1]
+    links = []
+    for at in range(0, len(sets), 512):
         rows = slice(at, at + 512)
         both = bits[rows] @ bits.T
         # Bits that only one has are elements only it has.
         shared = np.minimum(n[rows, None] - (filled[rows, None] - both), n[None] - (filled[None] - both))
         good = shared * q >= p * (n[rows, None] + n[None] - shared)
-        good &= (label[rows, None] != label[None]) & (asks[rows, None] | asks[None])
-        i, j = np.nonzero(good)
-        i += at
-        left.append(i[i < j])
-        right.append(j[i < j])
-    return np.concatenate(left), np.concatenate(right)
+        good &= (root[rows, None] != root[None]) & (asks[rows, None] | asks[None])
+        for k in np.flatnonzero(good.any(1)):
+            i = at + int(k)
+            for j in np.flatnonzero(good[k]):
+                if root[i] == root[j]:
+                    continue
+                inside = int(np.isin(sets[i], sets[j], assume_unique=True).sum())
+                if _enough(inside, len(sets[i]), len(sets[j]), similarity):
+                    root[root == root[j]] = root[i]
+                    links.append((i, int(j)))
+    return links
 
 
-def across_components(members: DataFrame, bits: DataFrame, similarity: Fraction) -> DataFrame:
-    """Pairs (a < b) of sets that share a group but no component and may link.
+def across_components(members: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """Links (a < b) between sets that share a group but no component: a forest over components.
 
-    ``members``: g, node, asks, label. Members are held against each other as bit maps inside
-    a task, and only what passes is returned. A group beyond GROUP_MEMBERS is dealt to several
+    ``members``: g, node, asks, label; ``sets``: key, n, elements. All pairs are held against each
+    other and verified inside a task, which returns at most one link less than it holds
+    components. A group beyond GROUP_MEMBERS sets or GROUP_ELEMENTS elements is dealt to several
     tasks, one per pair of its blocks, so none holds more than two blocks.
     """
-    sizes = members.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / GROUP_MEMBERS).cast("int").alias("blocks"))
-    held = members.join(sizes, "g")
+    held = members.join(sets.select(F.col("key").alias("node"), "n"), "node")
+    most = F.greatest(F.count(F.lit(1)) / GROUP_MEMBERS, F.sum("n") / GROUP_ELEMENTS)
+    held = held.join(held.groupBy("g").agg(F.ceil(most).cast("int").alias("blocks")), "g")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = held.withColumn("own", own).select("g", "node", "asks", "label", "own", other)
     dealt = dealt.select("g", "node", "asks", "label", F.least("own", "other").alias("i"),
                          F.greatest("own", "other").alias("j"))
-    full = dealt.join(bits.withColumnRenamed("key", "node"), "node")
+    full = dealt.join(sets.select(F.col("key").alias("node"), "elements"), "node")
 
     def find(table: pa.Table) -> pa.Table:
         node = table.column("node").to_numpy()
-        i, j = _near_in_group(
-            table.column("n").to_numpy().astype(np.float64), table.column("label").to_numpy(),
-            table.column("asks").to_numpy(), [b.as_py() for b in table.column("bits")], similarity)
+        links = _links_in_group(
+            table.column("label").to_numpy(), table.column("asks").to_numpy(),
+            [np.frombuffer(b.as_py(), np.uint64) for b in table.column("elements")], similarity)
+        i, j = np.array(links, np.int64).reshape(-1, 2).T
         return pa.table({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
     return full.groupBy("g", "i", "j").applyInArrow(find, "a long, b long")
 
@@ -483,8 +511,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     entries = distinct.agg(F.sum("n")).first()[0] or 0
     buckets = entries // BUCKET_ENTRIES + 1
 
-    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    crowded = crowded_segments(_entered(docs, key, text, words, similarity, buckets, none), folder)
+    crowded = crowded_segments(_entered(docs, key, text, words, similarity, buckets, None), folder)
     release(spark)
     entered = _entered(docs, key, text, words, similarity, buckets, crowded)
     found = saved(candidates(entered), folder, "found")
@@ -511,12 +538,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     open_groups = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
     open_groups = open_groups.filter("lo < hi").select("g")
     rest = saved(members.join(open_groups, "g", "left_semi"), folder, "open")
-    known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = across_components(rest, bits, similarity).distinct()
-    across = saved(across.join(known, ["a", "b"], "left_anti"), folder, "across")
-    release(spark)
-    if across.limit(1).count():
-        more = exact(across, full_sets, similarity, folder, "more")
+    if rest.limit(1).count():
+        sets = saved(full_sets(rest.select(F.col("node").alias("key")).distinct()), folder, "open-sets")
+        more = saved(across_components(rest, sets, similarity).distinct(), folder, "more")
+        release(spark)
         if more.limit(1).count():
             labels = components(links.union(more), folder, "all")
 

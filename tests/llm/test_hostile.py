@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from baitline.llm import language_id, topk_search
+from baitline.llm import jaccard_join, language_id, topk_search
 from baitline.llm.common import shingle_sets
 from baitline.llm.decontamination import Items, tiles, with_leaks
 from baitline.llm.license_scan import known_digests, scan_licenses
@@ -187,3 +187,65 @@ def test_items_held_against_documents_as_a_table(spark):
     items = spark.createDataFrame([(1, item), (2, "la " * 50)], "item_id long, text string")
     got = {r.doc_id: [x.item_id for x in r.leaks] for r in with_leaks(docs, items).collect()}
     assert got == {1: [1], 2: [2], 3: []}
+
+
+def test_near_copies_that_meet_in_one_group_link_as_by_brute_force(spark):
+    """Many different near copies of one text, some on either side of the threshold."""
+    rng = random.Random(11)
+    base = [f"w{n}" for n in range(60)]
+    texts = []
+    for k in range(700):
+        words = list(base)
+        for _ in range(rng.choice([1, 1, 2])):
+            words[rng.randrange(25, 60)] = f"other{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i] = root[root[i]]
+        return i
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 4 * both >= 3 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {i: find(i) for i in range(len(sets))}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_links_in_a_group_are_a_forest_of_all_links(seed):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 63, 80, dtype=np.uint64)
+    sets = []
+    for _ in range(700):
+        own = base.copy()
+        own[rng.integers(0, 80, rng.integers(0, 14))] = rng.integers(0, 1 << 63, dtype=np.uint64)
+        sets.append(np.unique(own))
+    label = rng.integers(0, 600, len(sets))
+    asks = rng.random(len(sets)) < 0.5
+    links = jaccard_join._links_in_group(label, asks, sets, jaccard_join.SIMILARITY)
+    assert len(links) < len(set(label.tolist()))
+
+    def joined(pairs):
+        root = {int(k): int(k) for k in label}
+
+        def find(k):
+            while root[k] != k:
+                k = root[k]
+            return k
+        for i, j in pairs:
+            root[find(int(label[i]))] = find(int(label[j]))
+        groups = collections.defaultdict(set)
+        for k in root:
+            groups[find(k)].add(k)
+        return sorted(map(sorted, groups.values()))
+    plain = [frozenset(s.tolist()) for s in sets]
+    every = {(j, i) for i in range(len(sets)) for j in range(i) if (asks[i] or asks[j])
+             and 4 * len(plain[i] & plain[j]) >= 3 * len(plain[i] | plain[j])}
+    assert joined(links) == joined(every)
+    assert {tuple(sorted(x)) for x in links} <= every
