@@ -17,10 +17,11 @@ Segments are hashed sums of their elements. They travel as packed arrays to buck
 bounded number of entries (the number of buckets follows the corpus), meet there, and leave
 stars: one asking set against each of the others. Stars are verified exactly on the full
 sets. Groups of three or more whose members are still in different components afterwards
-are completed: sets of different components that met in a segment are held against each other,
-as bit maps first and then exactly, inside the task of their group or of a pair of its blocks,
-which returns a forest of links. So no link between components is ever missed, and pairs inside
-a component are not enumerated. Copies (equal sets) are one set throughout.
+are completed: sets of different components that met in a segment are held against each other
+as bit maps, inside the task of their group or of a pair of its blocks. First each task returns
+the likeliest pairs that would join its components (a forest), which are verified exactly; then
+all others that pass in groups still open. So no link between components is ever missed, and
+pairs inside a component are not enumerated. Copies (equal sets) are one set throughout.
 
 Cases: a text that is null, empty or blank has the empty set and links with nothing; a text
 with fewer words than a shingle is one shingle; a null id is returned with a null component
@@ -436,67 +437,86 @@ def verify(pairs: DataFrame, bits: DataFrame, full_sets: Callable[[DataFrame], D
     return exact(saved(near, folder, f"{name}-near"), full_sets, similarity, folder, name)
 
 
-def _links_in_group(label: np.ndarray, asks: np.ndarray, sets: list[np.ndarray],
-                    similarity: Fraction) -> list[tuple[int, int]]:
-    """Places (i, j) of sets that link and join different components; at most one link per joint.
-
-    Bit maps of all sets, held against each other in blocks, tell which pairs may link; these
-    are verified on the full sets unless a link found before has joined their components.
-    """
-    n = np.array([len(s) for s in sets], np.float64)
-    size = 1 << max(5, int(8 * n.min()).bit_length())
-    bits = np.zeros((len(sets), size), np.float32)
-    for k, own in enumerate(sets):
-        bits[k, (own & np.uint64(size - 1)).astype(np.int64)] = 1
+def _near_in_group(n: np.ndarray, label: np.ndarray, asks: np.ndarray, maps: list[bytes],
+                   similarity: Fraction) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (i < j) of sets in different components that may link, by the bit map bound, and
+    the bound of their similarity."""
+    size = min(map(len, maps)) * 8
+    bits = np.zeros((len(maps), size), np.float32)
+    for k, own in enumerate(maps):
+        bits[k] = np.unpackbits(np.frombuffer(own, np.uint8), bitorder="little").reshape(-1, size).max(0)
     filled = bits.sum(1)
     p, q = similarity.numerator, similarity.denominator
-    root = np.unique(label, return_inverse=True)[1]
-    links = []
-    for at in range(0, len(sets), 512):
+    left, right, most = [], [], []
+    for at in range(0, len(maps), 512):
         rows = slice(at, at + 512)
         both = bits[rows] @ bits.T
         # Bits that only one has are elements only it has.
         shared = np.minimum(n[rows, None] - (filled[rows, None] - both), n[None] - (filled[None] - both))
-        good = shared * q >= p * (n[rows, None] + n[None] - shared)
-        good &= (root[rows, None] != root[None]) & (asks[rows, None] | asks[None])
-        for k in np.flatnonzero(good.any(1)):
-            i = at + int(k)
-            for j in np.flatnonzero(good[k]):
-                if root[i] == root[j]:
-                    continue
-                inside = int(np.isin(sets[i], sets[j], assume_unique=True).sum())
-                if _enough(inside, len(sets[i]), len(sets[j]), similarity):
-                    root[root == root[j]] = root[i]
-                    links.append((i, int(j)))
-    return links
-
-
-def across_components(members: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
-    """Links (a < b) between sets that share a group but no component: a forest over components.
-
-    ``members``: g, node, asks, label; ``sets``: key, n, elements. All pairs are held against each
-    other and verified inside a task, which returns at most one link less than it holds
-    components. A group beyond GROUP_MEMBERS sets or GROUP_ELEMENTS elements is dealt to several
-    tasks, one per pair of its blocks, so none holds more than two blocks.
+        union = n[rows, None] + n[None] - shared
+        good = shared * q >= p * union
+        good &= (label[rows, None] != label[None]) & (asks[rows, None] | asks[None])
+        i, j = np.nonzero(np.triu(good, at + 1))
+        left.append(i + at)
+        right.append(j)
+        most.append(shared[i, j] / union[i, j])
+    return np.concatenate(left), np.concatenate(right), np.concatenate(most)
+
+
+def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Of pairs of places, those that join components when taken by falling weight."""
+    root = np.unique(label, return_inverse=True)[1]
+    order = np.argsort(-weight, kind="stable")
+    taken = []
+    while len(order):
+        order = order[root[i[order]] != root[j[order]]]
+        head, order = order[:256], order[256:]
+        for k in head:
+            a, b = root[i[k]], root[j[k]]
+            if a != b:
+                root[root == b] = a
+                taken.append(k)
+    return np.array(taken, np.int64)
+
+
+def across_components(members: DataFrame, bits: DataFrame, similarity: Fraction,
+                      forest: bool) -> DataFrame:
+    """Pairs g, a < b of sets that share a group but no component and may link.
+
+    ``members``: g, node, asks, label. Members are held against each other as bit maps inside
+    a task. Only what passes is returned; with ``forest`` only the likeliest pairs that would
+    join all that the pairs of the task join, at least one if any passes. A group beyond
+    GROUP_MEMBERS sets or GROUP_ELEMENTS elements is dealt to several tasks, one per pair of its
+    blocks, so none holds more than two blocks.
     """
-    held = members.join(sets.select(F.col("key").alias("node"), "n"), "node")
+    held = members.join(bits.select(F.col("key").alias("node"), "n"), "node")
     most = F.greatest(F.count(F.lit(1)) / GROUP_MEMBERS, F.sum("n") / GROUP_ELEMENTS)
     held = held.join(held.groupBy("g").agg(F.ceil(most).cast("int").alias("blocks")), "g")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = held.withColumn("own", own).select("g", "node", "asks", "label", "own", other)
-    dealt = dealt.select("g", "node", "asks", "label", F.least("own", "other").alias("i"),
+    dealt = held.withColumn("own", own).select("g", "node", "n", "asks", "label", "own", other)
+    dealt = dealt.select("g", "node", "n", "asks", "label", F.least("own", "other").alias("i"),
                          F.greatest("own", "other").alias("j"))
-    full = dealt.join(sets.select(F.col("key").alias("node"), "elements"), "node")
+    full = dealt.join(bits.select(F.col("key").alias("node"), "bits"), "node")
 
     def find(table: pa.Table) -> pa.Table:
-        node = table.column("node").to_numpy()
-        links = _links_in_group(
-            table.column("label").to_numpy(), table.column("asks").to_numpy(),
-            [np.frombuffer(b.as_py(), np.uint64) for b in table.column("elements")], similarity)
-        i, j = np.array(links, np.int64).reshape(-1, 2).T
-        return pa.table({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
-    return full.groupBy("g", "i", "j").applyInArrow(find, "a long, b long")
+        node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+        i, j, weight = _near_in_group(
+            table.column("n").to_numpy().astype(np.float64), label,
+            table.column("asks").to_numpy(), [b.as_py() for b in table.column("bits")], similarity)
+        if forest:
+            chosen = _forest(i, j, weight, label)
+            i, j = i[chosen], j[chosen]
+        return pa.table({"g": np.full(len(i), table.column("g")[0].as_py(), np.int64),
+                         "a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
+    return full.groupBy("g", "i", "j").applyInArrow(find, "g long, a long, b long")
+
+
+def _open_groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """g, node, asks, label of the groups whose members lie in different components."""
+    members = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return members.join(several.filter("lo < hi").select("g"), "g", "left_semi")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
@@ -532,18 +552,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     release(spark)
     labels = components(links, folder, "star")
     members = found.filter("g IS NOT NULL").select("g", F.col("a").alias("node"), "asks").distinct()
-    members = (members.join(labels, "node", "left")
-               .withColumn("label", F.coalesce("label", "node")))
-    members = saved(members, folder, "members")
-    open_groups = members.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    open_groups = open_groups.filter("lo < hi").select("g")
-    rest = saved(members.join(open_groups, "g", "left_semi"), folder, "open")
-    if rest.limit(1).count():
-        sets = saved(full_sets(rest.select(F.col("node").alias("key")).distinct()), folder, "open-sets")
-        more = saved(across_components(rest, sets, similarity).distinct(), folder, "more")
+    rest = saved(_open_groups(members, labels), folder, "open")
+    known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # The likeliest pairs join most of what there is to join; then all others of the groups that had any.
+    for name in ("likely", "across"):
+        met = saved(across_components(rest, bits, similarity, name == "likely"), folder, f"{name}-met")
+        near = saved(met.select("a", "b").distinct().join(known, ["a", "b"], "left_anti"), folder, name)
         release(spark)
-        if more.limit(1).count():
-            labels = components(links.union(more), folder, "all")
+        if not near.limit(1).count():
+            if name == "likely" and met.limit(1).count():
+                continue
+            break
+        links = links.union(exact(near, full_sets, similarity, folder, f"{name}-links"))
+        labels = components(links, folder, f"{name}-all")
+        if name == "likely":
+            known = known.union(near)
+            rest = rest.drop("label").join(met.select("g").distinct(), "g", "left_semi")
+            rest = saved(_open_groups(rest, labels), folder, "still-open")
 
     placed = distinct.join(labels.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("label", F.coalesce("label", "key"))
