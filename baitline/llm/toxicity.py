@@ -59,7 +59,8 @@ VARIANTS = 24
 GARBLED_SHARE = 1.0  # all garbled examples together, as a share of the toxic ones
 COST = 100.0
 SLICE = 2 << 20
-MEMO_WORDS = 160_000
+MEMO_WORDS = 200_000
+STEPS = 65_535  # remembered kernel values are whole numbers of 1/STEPS: half the memory and traffic of floats
 
 # Signs that stand for letters inside a word.
 STANDS_FOR = str.maketrans("013457@$|", "oieastasi")
@@ -220,7 +221,7 @@ class Matcher:
         self.landmarks = landmarks
         self.known: dict[str, str] = {}
         self.number: dict[str, int] = {}
-        self.rows = np.zeros((0, len(landmarks.words)), np.float32)
+        self.rows = np.zeros((0, len(landmarks.words)), np.uint16)
 
     def matches(self, texts: list[str]) -> np.ndarray:
         """Best match of any word of each text with each landmark."""
@@ -235,16 +236,18 @@ class Matcher:
         number.update(zip(new, range(start, start + len(new))))
         if start + len(new) > len(self.rows):
             room = max(start + len(new), min(2 * start, MEMO_WORDS))
-            more = np.zeros((room, self.rows.shape[1]), np.float32)
+            more = np.zeros((room, self.rows.shape[1]), np.uint16)
             more[:start] = self.rows[:start]
             self.rows = more
-        self.rows[start:start + len(new)] = self.landmarks.kernel(new)
-        out = np.zeros((len(texts), self.rows.shape[1]), np.float32)
+        for a in range(0, len(new), KERNEL_ROWS):
+            part = new[a:a + KERNEL_ROWS]
+            self.rows[start + a:start + a + len(part)] = np.rint(self.landmarks.kernel(part) * STEPS)
+        out = np.zeros((len(texts), self.rows.shape[1]), np.uint16)
         for k, words in enumerate(own):
             at = [number[w] for w in words]
             for a in range(0, len(at), 8192):
                 np.maximum(out[k], self.rows[at[a:a + 8192]].max(0), out=out[k])
-        return out
+        return out.astype(np.float32) / STEPS
 
 
 def matches_of(texts: list[str], landmarks: Landmarks) -> np.ndarray:

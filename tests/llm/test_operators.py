@@ -429,6 +429,20 @@ def test_kernel_equals_plain_definition():
     assert np.allclose(got, [[plain(w, m) for m in landmarks.words] for w in words_], atol=1e-5)
 
 
+def test_remembered_matches_equal_the_kernel(monkeypatch):
+    rng = random.Random(4)
+    words_ = ["".join(rng.choice("abcdeo") for _ in range(rng.randint(3, 40))) for _ in range(300)]
+    landmarks = toxicity.Landmarks(sorted({w for w in words_[:40] if len(w) <= toxicity.WINDOW}))
+    texts = [" ".join(rng.sample(words_, k)) for k in (1, 5, 80, 300)] + ["", "ab"]
+    want = [landmarks.kernel(sorted(toxicity.plain_words(t, {})) or ["ab"]).max(0) for t in texts]
+    for memo in (toxicity.MEMO_WORDS, 50):
+        monkeypatch.setattr(toxicity, "MEMO_WORDS", memo)
+        matcher = toxicity.Matcher(landmarks)
+        for _ in range(2):
+            got = np.concatenate([matcher.matches([t]) for t in texts])
+            assert np.allclose(got, want, atol=1 / toxicity.STEPS)
+
+
 # licences
 
 def test_license_spellings_and_copyright_lines(spark):
