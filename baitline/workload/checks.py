@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import SPACE_CLASS, WEB_SPACE_CLASS
+from baitline.operators.permutation import PRIME, Permutation
 from baitline.workload import views as v
 
 
@@ -404,6 +405,22 @@ OBJECTS = """objects AS (SELECT email_id, raw FROM (
 INTAKE = [MAIL, RAW, OBJECTS, _intake_errors()]
 
 
+def _permuted(table: str, key: str) -> str:
+    """Place of every row, numbered by ``key``: digits mixed round by round, again for places beyond the rows."""
+    mixed = (f"SELECT {key}, step + 1 AS step, n, hi, lo, x // lo AS d0, x % lo AS d1 "
+             "FROM walk, sizes WHERE step = 0 OR x >= n")
+    for k, (times, plus) in enumerate(Permutation(1).keys):
+        to, by, size, rest = ("d0", "d1", "hi", "d1") if k % 2 == 0 else ("d1", "d0", "lo", "d0")
+        power = f"(y * y % {PRIME} * (y * y % {PRIME}) % {PRIME} * y % {PRIME})"
+        mixed = (f"SELECT {key}, step, n, hi, lo, ({to} + {power}) % {size} AS {to}, {rest} FROM "
+                 f"(SELECT *, ({by} * {times} + {plus}) % {PRIME} AS y FROM ({mixed}))")
+    return f"""WITH RECURSIVE sizes AS (SELECT n, hi, CAST(ceil(n / hi) AS BIGINT) AS lo FROM (
+      SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS hi FROM (SELECT count(*) AS n FROM {table}))),
+    walk AS (SELECT {key}, 0 AS step, row_number() OVER (ORDER BY {key}) - 1 AS x FROM {table}
+      UNION ALL SELECT {key}, step, d0 * lo + d1 FROM ({mixed}))
+    SELECT {key}, arg_max(x, step) AS place FROM walk GROUP BY {key}"""
+
+
 def statements() -> dict[str, str]:
     s: dict[str, str] = {}
     s["intake_errors"] = _sql(INTAKE, "SELECT email_id, errors FROM complaints WHERE errors <> ''")
@@ -637,6 +654,7 @@ def statements() -> dict[str, str]:
     s["metrics_json"] = s["binary_metrics"]
     s["shuffled_rows"] = _sql([MAIL, TRAINING], """SELECT id, label,
       row_number() OVER (ORDER BY md5('42' || id), id) - 1 AS place FROM training""")
+    s["permuted_rows"] = _permuted("documents", "doc_id")
     vocabulary = s["ngram_vocabulary"].replace(f"LIMIT {fv.MAX_FEATURES}", "LIMIT 300")
     s["tfidf_features"] = _sql([MAIL, TRAINING, TEXTS, f"vocabulary AS ({vocabulary})", """words AS (SELECT id,
       regexp_extract_all(lower(classic), '[\\p{L}\\p{N}_]{2,}') AS w FROM texts)""", """uses AS (

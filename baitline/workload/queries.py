@@ -13,8 +13,8 @@ from baitline.functions import sender_rules as sr
 from baitline.functions.html import page_title
 from baitline.functions.strings import clean_text
 from baitline.operators import (
-    alerts, attachments, captures, datasets, features, intake, metrics, models, pages, patterns, policy,
-    risk, sampling, senders, text, urls,
+    alerts, attachments, captures, datasets, features, intake, metrics, models, pages, patterns,
+    permutation, policy, risk, sampling, senders, text, urls,
 )
 from baitline.plans.scoring import score_emails, url_benchmark
 from baitline.plans.scale import micros_of, shared_folder
@@ -539,6 +539,12 @@ def shuffled_rows(spark, sf):
     return spark.read.parquet(path).select("id", "label", before.alias("place"))
 
 
+@query
+def permuted_rows(spark, sf):
+    """All documents in the seeded order that is computed from their row numbers."""
+    return permutation.permuted_files(spark, f"{sf}/documents.parquet").select("doc_id", "place")
+
+
 @query
 def tfidf_features(spark, sf):
     """Per text: terms of the vocabulary it holds, and its weights summed by the terms' places."""
