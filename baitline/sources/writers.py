@@ -54,7 +54,7 @@ def _files(spark: SparkSession, path: str):
     return held.getFileSystem(spark._jsc.hadoopConfiguration()), held
 
 
-def _newest(spark: SparkSession, path: str) -> int:
+def newest_version(spark: SparkSession, path: str) -> int:
     """Number of the newest manifest, 0 if there is none."""
     files, folder = _files(spark, f"{path}/manifests")
     names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
@@ -81,7 +81,7 @@ def publish(tables: dict[str, DataFrame], path: str) -> int:
         files, folder = _files(spark, f"{path}/versions/{name}")
         files.delete(folder, True)
         raise
-    number = _newest(spark, path) + 1
+    number = newest_version(spark, path) + 1
     while True:
         target = _files(spark, f"{path}/manifests/{number:08d}.json")[1]
         if not files.exists(target) and files.rename(staged, target):
@@ -91,7 +91,7 @@ def publish(tables: dict[str, DataFrame], path: str) -> int:
 
 def read_published(spark: SparkSession, path: str, table: str, version: int | None = None) -> DataFrame:
     """A table of the newest version, or of the one named."""
-    version = version or _newest(spark, path)
+    version = version or newest_version(spark, path)
     if not version:
         raise FileNotFoundError(f"nothing published at {path}")
     said = "\n".join(r[0] for r in spark.read.text(f"{path}/manifests/{version:08d}.json").collect())

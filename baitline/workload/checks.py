@@ -624,6 +624,9 @@ def statements() -> dict[str, str]:
       coalesce({_round('p * 100')}, 0) AS text_score, CAST(coalesce(n, 0) AS INTEGER) AS chunk_count,
       CASE WHEN n > 0 THEN 'transformer' END AS text_mode FROM merged m LEFT JOIN (SELECT email_id,
       max(1 / (1 + exp(1 - 40 * {share}))) AS p, count(*) AS n FROM chunks GROUP BY email_id) USING (email_id)""")
+    s["stream_latest_log"] = _sql([*FINGERPRINTS, PAGE_VISITS], """SELECT tab, seq, ts_us, page_id, fingerprint
+      FROM (SELECT *, row_number() OVER (PARTITION BY tab ORDER BY ts_us DESC, seq DESC) AS n FROM page_visits)
+      WHERE n = 1""")
     s["stream_changes"], s["stream_alerts"] = s["capture_changes"], s["alerts_deduped"]
     s["stream_latest"] = s["latest_verdict"]
     # What the watermark has passed at the end.

@@ -20,7 +20,7 @@ from baitline.plans.scoring import score_emails, url_benchmark
 from baitline.plans.scale import micros_of, shared_folder
 from baitline.sources import readers, writers
 from baitline.sources.readers import parse_domains, parse_feed
-from baitline.streaming import jobs
+from baitline.streaming import jobs, latest_log
 from baitline.workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -745,3 +745,19 @@ def stream_latest(spark, sf):
         "tab", "ts", "seq", "email_id", "risk_score", "risk_level")
     last = jobs.newest_per_key(_drained(spark, jobs.stream_latest(seen), "update"))
     return last.select("tab", "seq", v.ts_us(last), "email_id", "risk_score", "risk_level")
+
+
+@query
+def stream_latest_log(spark, sf):
+    """Captures in four parts, the stream restarted after each, tabs forgotten at once, the log merged twice."""
+    jobs.use_stream_settings(spark)
+    events, folder = v.table(spark, sf, "events"), _folder(spark)
+    for k in range(4):
+        part = events.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == k)
+        part.write.mode("append").parquet(f"{folder}/in")
+        arriving = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        seen = v.page_captures(spark, sf, arriving).select("tab", "ts", "seq", "page_id", "fingerprint")
+        jobs.drain(spark, lambda seen=seen: latest_log.stream_latest_log(
+            seen, f"{folder}/log", f"{folder}/checkpoint", forget_ms=1, compact_every=2, once=True))
+    last = latest_log.read_latest(spark, f"{folder}/log")
+    return last.select("tab", "seq", v.ts_us(last), "page_id", "fingerprint")

@@ -8,7 +8,7 @@ from baitline.operators.alerts import latest_analysis, suppress_repeat_alerts
 from baitline.operators.captures import debounce, drop_consecutive_duplicates
 from baitline.operators.intake import validate_emails
 from baitline.plans.scoring import score_emails
-from baitline.streaming import jobs
+from baitline.streaming import jobs, latest_log
 from test_intake import GOOD
 from test_policy_alerts import visits
 
@@ -120,3 +120,50 @@ def test_scores_equal_the_batch_result_and_restart_adds_nothing(spark, tmp_path)
     cols = ["email_id", "risk_score", "risk_level", "reasons"]
     assert sorted(map(str, spark.read.parquet(where[0]).select(cols).collect())) == sorted(
         map(str, score_emails(good).select(cols).collect()))
+
+
+@pytest.mark.parametrize("forget_ms", [1, 3_600_000])
+def test_latest_log_equals_the_batch_result_whatever_is_forgotten(spark, arrivals, tmp_path, forget_ms):
+    folder, batch = arrivals
+    log = str(tmp_path / "log")
+
+    def start():
+        return latest_log.stream_latest_log(stream(spark, folder), log, str(tmp_path / "mark"), forget_ms,
+                                            compact_every=2, once=True)
+
+    jobs.drain(spark, start)
+    got = latest_log.read_latest(spark, log)
+    assert seqs(got) == seqs(latest_analysis(batch.filter("tab IS NOT NULL")))
+    assert sorted(got.columns) == sorted(batch.columns)
+    left = sorted(p.name for p in (tmp_path / "log" / "changes").iterdir() if p.name.startswith("batch_id="))
+    assert left == ["batch_id=2", "batch_id=3", "batch_id=4"]  # merged twice; what the first version held is gone
+    jobs.drain(spark, start)
+    latest_log.compact(spark, log, 3)  # a retry merges nothing twice
+    assert sorted(map(str, latest_log.read_latest(spark, log).collect())) == sorted(map(str, got.collect()))
+    latest_log.compact(spark, log, 4)
+    assert seqs(latest_log.read_latest(spark, log)) == seqs(got)
+
+
+def test_state_of_the_latest_log_levels_off(spark, tmp_path):
+    jobs.use_stream_settings(spark)
+    for k in range(5):  # tabs that never come back
+        rows = spark.range(k * 40, k * 40 + 40).selectExpr(
+            "CAST(id AS INT) AS tab", f"TIMESTAMP_SECONDS({k}) AS ts", "CAST(id AS INT) AS seq", "'f' AS fingerprint",
+            "'low' AS risk_level")
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def held(forget_ms):
+        where = [str(tmp_path / f"{name}{forget_ms}") for name in ("log", "mark")]
+        found = []
+
+        def start():
+            found.append(latest_log.stream_latest_log(stream(spark, str(tmp_path / "in")), *where, forget_ms, once=True))
+            return found[0]
+
+        jobs.drain(spark, start)
+        assert latest_log.read_latest(spark, where[0]).count() == 200
+        return [p["stateOperators"][0]["numRowsTotal"] for p in found[0].recentProgress if p["numInputRows"]]
+
+    remembered, forgotten = held(3_600_000), held(1)
+    assert remembered[-1] - remembered[0] >= 4 * 40
+    assert max(forgotten) <= 2 * remembered[0]
