@@ -39,8 +39,9 @@ def test_worker_code_needs_no_installed_package():
 
     from baitline.operators.datasets import _read_message
     from baitline.streaming.jobs import _DropRepeats
-    script = ("import pickle, sys; read, keep = pickle.loads(sys.stdin.buffer.read());"
-              "print(read('p', b'Subject: hi\\r\\n\\r\\nx')['subject'], type(keep).__name__)")
+    from baitline.streaming.latest_log import _Newer
+    script = ("import pickle, sys; read, keep, newer = pickle.loads(sys.stdin.buffer.read());"
+              "print(read('p', b'Subject: hi\\r\\n\\r\\nx')['subject'], type(keep).__name__, type(newer).__name__)")
     done = subprocess.run([sys.executable, "-c", script], cwd="/", capture_output=True,
-                          input=cloudpickle.dumps((_read_message, _DropRepeats("v", ["ts"]))))
-    assert done.stdout.decode().split() == ["hi", "_DropRepeats"], done.stderr.decode()
+                          input=cloudpickle.dumps((_read_message, _DropRepeats("v", ["ts"]), _Newer(["ts"], 1))))
+    assert done.stdout.decode().split() == ["hi", "_DropRepeats", "_Newer"], done.stderr.decode()
