@@ -1,7 +1,7 @@
 """Last verdict per tab as a changelog: state that is forgotten in time, files that are compacted.
 
 The stream remembers per tab only the place (ts, seq) of the newest row, and for ``forget_ms`` of processing
-time after the tab was last seen. It lets through rows that are newer than that; what it lets through for a forgotten tab
+time after the tab was last seen. Tabs are handled by bucket, whose places are read at once. It lets through rows that are newer than that; what it lets through for a forgotten tab
 may be old. A reader takes the newest row per tab, so forgetting costs a row in a file and never a
 wrong answer, and the state stays as large as the set of tabs seen lately.
 
@@ -23,58 +23,67 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from baitline.streaming.buckets import (
+    BUCKET, BUCKETS, newest_rows, packed, places, sort_keys, unpacked, values_of, with_bucket,
+)
 from baitline.sources.writers import newest_version, publish, read_published
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
-def _place(values) -> tuple:
-    """A row's (ts, seq) as something to compare, missing ones first."""
-    return tuple((False, 0) if pd.isna(v) else (True, v) for v in values)
+FEW = 16  # up to so many tabs of a bucket are looked up one by one, beyond the bucket is read
 
 
 class _Newer(StatefulProcessor):
-    """Lets through a tab's newest row of a batch if no newer one is remembered."""
+    """Lets through the newest row of each tab of a bucket if no newer one is remembered."""
 
-    def __init__(self, order: list[str], forget_ms: int):
-        self._order, self._forget_ms = order, forget_ms
+    def __init__(self, tab: str, kind: str, order: list[str], forget_ms: int):
+        self._tab, self._kind, self._order, self._forget_ms = tab, kind, order, forget_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._place = handle.getValueState("place", "place binary", ttlDurationMs=self._forget_ms)
+        self._places = handle.getMapState("places", f"tab {self._kind}", "place binary", ttlDurationMs=self._forget_ms)
+
+    def _known(self, tabs: list[tuple]) -> dict[tuple, bytes]:
+        if len(tabs) > FEW:
+            return {tuple(tab): place for tab, (place,) in self._places.iterator()}
+        found = ((tab, self._places.getValue(tab)) for tab in tabs)
+        return {tab: held[0] for tab, held in found if held}
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best, place = None, None
-        for batch in rows:  # one row is held, however many a tab has
-            last = batch.sort_values(self._order, kind="stable", na_position="first").iloc[[-1]]
-            own = _place(last[self._order].iloc[0])
-            if place is None or own > place:
-                best, place = last, own
-        known = pickle.loads(self._place.get()[0]) if self._place.exists() else None
-        newer = known is None or place > known
-        self._place.update((pickle.dumps(place if newer else known),))  # seen again: the time starts anew
-        if newer:
-            yield best
+        best = None
+        for batch in rows:  # one row per tab is held, however many a tab has
+            best = newest_rows(batch if best is None else pd.concat((best, batch)), [self._tab], self._order)
+        tabs = list(values_of(best, [self._tab]))
+        known, newer = self._known(tabs), []
+        for tab, values in zip(tabs, values_of(best, sort_keys(best, self._order)[0])):
+            place, before = places(values), known.get(tab)
+            newer.append(before is None or place > pickle.loads(before))
+            # Seen again: the time starts anew.
+            self._places.updateValue(tab, (pickle.dumps(place) if newer[-1] else before,))
+        if any(newer):
+            yield best[newer]
 
     def close(self) -> None:
         pass
 
 
-def latest_changes(verdicts: DataFrame, forget_ms: int, tab: str = "tab", ts: str = "ts", seq: str = "seq") -> DataFrame:
+def latest_changes(verdicts: DataFrame, forget_ms: int, tab: str = "tab", ts: str = "ts", seq: str = "seq",
+                   buckets: int = BUCKETS) -> DataFrame:
     """A stream's rows that are newer than what is remembered of their tab (append).
 
     Before the shuffle only the newest row of a tab in a batch of records is kept, so a busy tab is thinned out
-    where it is read.
+    where it is read. State is kept by bucket of tabs; a task holds one bucket's places and newest rows of a batch.
     """
     order = [ts, seq]
 
     def thinned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.sort_values(order, kind="stable", na_position="first").drop_duplicates(tab, keep="last")
+            yield newest_rows(batch, [tab], order)
 
-    known = verdicts.filter(F.col(tab).isNotNull())
-    return known.mapInPandas(thinned, verdicts.schema).groupBy(tab).transformWithStateInPandas(
-        statefulProcessor=_Newer(order, forget_ms), outputStructType=verdicts.schema, outputMode="Append",
-        timeMode="ProcessingTime")
+    known = packed(verdicts.filter(F.col(tab).isNotNull()))
+    thin = with_bucket(known.mapInPandas(thinned, known.schema), tab, buckets)
+    return unpacked(thin.groupBy(BUCKET).transformWithStateInPandas(
+        statefulProcessor=_Newer(tab, thin.schema[tab].dataType.simpleString(), order, forget_ms), outputStructType=thin.schema, outputMode="Append",
+        timeMode="ProcessingTime"), verdicts.schema)
 
 
 def _newest(df: DataFrame, tab: str, ts: str, seq: str) -> DataFrame:
