@@ -167,3 +167,36 @@ def test_state_of_the_latest_log_levels_off(spark, tmp_path):
     remembered, forgotten = held(3_600_000), held(1)
     assert remembered[-1] - remembered[0] >= 4 * 40
     assert max(forgotten) <= 2 * remembered[0]
+
+
+def test_tabs_in_buckets_keep_large_numbers_beside_nulls(spark, tmp_path):
+    """And waiting rows are no state of their own each."""
+    jobs.use_stream_settings(spark)
+    schema = "tab long, ts timestamp, seq long, fingerprint string, risk_level string"
+    large = 2**53 + 1
+    rows = spark.range(3000).selectExpr(
+        f"CASE WHEN id >= 10 THEN id % 1000 + {large} END AS tab", "TIMESTAMP_SECONDS(id) AS ts",
+        f"CASE WHEN id % 3 > 0 THEN id + {large} END AS seq", "CAST(id % 2 AS STRING) AS fingerprint", "'low' AS risk_level")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    end = spark.createDataFrame([(None, 9_000, 1, "end", "low")], "tab long, t long, seq long, fingerprint string, risk_level string")
+    end.selectExpr("tab", "TIMESTAMP_SECONDS(t) AS ts", "seq", "fingerprint", "risk_level").coalesce(1).write.mode(
+        "append").parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    found = []
+
+    def late():
+        found.append(jobs.to_folder(jobs.stream_changes(arriving, delay="60 seconds"), str(tmp_path / "late"),
+                                    str(tmp_path / "late_mark"), once=True))
+        return found[0]
+
+    jobs.drain(spark, late)
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in found[0].recentProgress) < 3000
+    got = spark.read.parquet(str(tmp_path / "late")).filter("tab IS NOT NULL")
+    want = drop_consecutive_duplicates(rows.filter("tab IS NOT NULL"))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    jobs.drain(spark, lambda: latest_log.stream_latest_log(
+        arriving, str(tmp_path / "log"), str(tmp_path / "mark"), 3_600_000, once=True))
+    got = latest_log.read_latest(spark, str(tmp_path / "log"))
+    want = latest_analysis(rows.filter("tab IS NOT NULL"))
+    assert got.count() == 1000
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
