@@ -9,9 +9,11 @@ but hits leaves a task.
 from __future__ import annotations
 
 import sys
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -23,6 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PART_BYTES = 2 << 20
 PART_ROWS = 200_000
+HELD_HITS = 1 << 16  # hits a task gathers before it hands them on
 
 
 def _automaton(words: list[str]) -> ahocorasick.Automaton:
@@ -38,6 +41,30 @@ def _automaton(words: list[str]) -> ahocorasick.Automaton:
     return found
 
 
+def _hits(batches: Iterator[pa.RecordBatch], table: pa.Table, search: ahocorasick.Automaton,
+          key: str) -> Iterator[pa.RecordBatch]:
+    """The hits of (key, text) batches, handed on as they come: a text can hold nearly every pattern."""
+    def rows(batch: pa.RecordBatch, who: array, what: array) -> pa.RecordBatch:
+        columns = [batch.column(0).take(pa.array(np.frombuffer(who, np.int64)))]
+        columns += table.take(pa.array(np.frombuffer(what, np.int64))).combine_chunks().columns
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        return pa.RecordBatch.from_arrays(columns, names=[key, *table.column_names])
+
+    for batch in batches if table.num_rows else ():
+        who, what = array("q"), array("q")
+        for k, value in enumerate(batch.column(1)):
+            value = value.as_py()
+            hits = {row for _, own in search.iter(value) for row in own} if value else ()
+            who.extend([k] * len(hits))
+            what.extend(sorted(hits))
+            if len(who) >= HELD_HITS:
+                yield rows(batch, who, what)
+                who, what = array("q"), array("q")
+        if who:
+            yield rows(batch, who, what)
+        pa.default_memory_pool().release_unused()
+
+
 def find_patterns(texts: DataFrame, patterns: DataFrame, key: str, text: str = "text", pattern: str = "pattern",
                   part_bytes: int = PART_BYTES, part_rows: int = PART_ROWS) -> DataFrame:
     """One row per text and pattern row it contains: ``key`` and all columns of ``patterns``.
@@ -60,17 +87,7 @@ def find_patterns(texts: DataFrame, patterns: DataFrame, key: str, text: str = "
 
         def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             table = known.value
-            search = _automaton(table.column(pattern).to_pylist())
-            for batch in batches if table.num_rows else ():
-                who, what = [], []
-                for k, value in enumerate(batch.column(1).to_pylist()):
-                    hits = {row for _, rows in search.iter(value) for row in rows} if value else ()
-                    who += [k] * len(hits)
-                    what += sorted(hits)
-                columns = [batch.column(0).take(pa.array(who, pa.int64()))]
-                columns += table.take(pa.array(what, pa.int64())).combine_chunks().columns
-                columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
-                yield pa.RecordBatch.from_arrays(columns, names=[key, *table.column_names])
+            yield from _hits(batches, table, _automaton(table.column(pattern).to_pylist()), key)
         part = texts.select(key, text).mapInArrow(run, schema)
         found = part if found is None else found.union(part)
     return found

@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from baitline.operators import patterns as pt
 from baitline.operators.patterns import find_patterns, pattern_counts
 from baitline.operators.urls import Feeds, match_reputation, occurring_entries, score_urls
 from baitline.plans.bloom import Bloom
@@ -91,3 +93,13 @@ def test_tables_are_published_together_or_not_at_all(spark, tmp_path):
     assert [writers.read_published(spark, path, t).count() for t in ("verdicts", "rejected")] == [2, 1]
     assert writers.read_published(spark, path, "verdicts", 1).count() == 1
     assert len(list((tmp_path / "out" / "versions").iterdir())) == 2
+
+
+def test_hits_of_many_texts_are_handed_on_as_they_come():
+    words = [f"w{i:03d}" for i in range(1000)]
+    table = pa.table({"pattern": words})
+    batch = pa.RecordBatch.from_pydict({"k": list(range(500)), "text": [" ".join(words)] * 499 + [None]})
+    found = list(pt._hits(iter([batch]), table, pt._automaton(words), "k"))
+    assert sum(b.num_rows for b in found) == 499 * 1000
+    assert max(b.num_rows for b in found) < pt.HELD_HITS + 1000
+    assert sorted({(r["k"], r["pattern"]) for b in found for r in b.to_pylist()}) == [(k, w) for k in range(499) for w in words]
