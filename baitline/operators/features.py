@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from baitline import fixed_values as fv
 from baitline.functions.strings import any_contained, blank_if_null, count_contained, count_of, strip
-from baitline.operators.heavy_hitters import SIZE, candidates
+from baitline.operators.heavy_hitters import SIZE, candidates, few_values
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -105,26 +105,28 @@ def _counted(terms: DataFrame, likely: np.ndarray) -> DataFrame:
         wanted = known.value
         uses, docs = np.zeros((2, len(wanted)), np.int64)
         names: list[str | None] = [None] * len(wanted)
-        for batch in batches if len(wanted) else ():
-            words = batch.column("words").flatten()
-            for column, width in (("word_ids", 1), ("pair_ids", 2)):
-                ids = batch.column(column)
-                doc = np.repeat(np.arange(len(ids)), ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-                flat = ids.flatten().to_numpy(zero_copy_only=False)
-                at = np.minimum(np.searchsorted(wanted, flat), len(wanted) - 1)
-                hit = np.flatnonzero(wanted[at] == flat)
-                term = at[hit]
-                uses += np.bincount(term, minlength=len(wanted))
-                docs += np.bincount(np.unique(doc[hit] * len(wanted) + term) % len(wanted), minlength=len(wanted))
-                new, first = np.unique(term, return_index=True)
-                # A pair begins at the word of the same number, less the last words of earlier texts.
-                skipped = np.zeros(len(ids) + 1, np.int64)
-                lengths = batch.column("words").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                np.cumsum(np.minimum(lengths, width - 1), out=skipped[1:])
-                for t, k in zip(new.tolist(), hit[first].tolist()):
-                    if names[t] is None:
-                        start = k + int(skipped[doc[k]])
-                        names[t] = " ".join(words[start + i].as_py() for i in range(width))
+        for whole in batches if len(wanted) else ():
+            for batch in few_values(whole, ["word_ids", "pair_ids"]):
+                words = batch.column("words").flatten()
+                for column, width in (("word_ids", 1), ("pair_ids", 2)):
+                    ids = batch.column(column)
+                    doc = np.repeat(np.arange(len(ids)), ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                    flat = ids.flatten().to_numpy(zero_copy_only=False)
+                    at = np.minimum(np.searchsorted(wanted, flat), len(wanted) - 1)
+                    hit = np.flatnonzero(wanted[at] == flat)
+                    term = at[hit]
+                    uses += np.bincount(term, minlength=len(wanted))
+                    docs += np.bincount(np.unique(doc[hit] * len(wanted) + term) % len(wanted), minlength=len(wanted))
+                    new, first = np.unique(term, return_index=True)
+                    # A pair begins at the word of the same number, less the last words of earlier texts.
+                    skipped = np.zeros(len(ids) + 1, np.int64)
+                    lengths = batch.column("words").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                    np.cumsum(np.minimum(lengths, width - 1), out=skipped[1:])
+                    for t, k in zip(new.tolist(), hit[first].tolist()):
+                        if names[t] is None:
+                            start = k + int(skipped[doc[k]])
+                            names[t] = " ".join(words[start + i].as_py() for i in range(width))
+            pa.default_memory_pool().release_unused()
         seen = np.flatnonzero(uses)
         yield pa.RecordBatch.from_arrays(
             [pa.array([names[t] for t in seen], pa.string()), pa.array(uses[seen]), pa.array(docs[seen])],

@@ -26,6 +26,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SIZE = 1 << 18
 MOST_SIZE = 1 << 24
 MOST_CANDIDATES = 8  # times n
+MOST_VALUES = 1 << 18  # array values a task works on at a time
+
+
+def few_values(batch: pa.RecordBatch, columns: list[int | str], most: int = MOST_VALUES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows with about ``most`` array values; a longer row comes alone."""
+    lengths = [batch.column(c).value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for c in columns]
+    ends = np.cumsum(np.sum(lengths, axis=0, dtype=np.int64))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = max(int(np.searchsorted(ends, before + most, "right")), first + 1)
+        yield batch.slice(first, last - first)
+        first = last
 
 
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,8 +77,10 @@ def summarise(values: DataFrame, column: str, size: int = SIZE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Summary(size)
         for batch in batches:
-            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            held.add(*np.unique(flat, return_counts=True))
+            for rows in few_values(batch, [0]):
+                flat = rows.column(0).flatten().to_numpy(zero_copy_only=False)
+                held.add(*np.unique(flat, return_counts=True))
+            pa.default_memory_pool().release_unused()
         held.trim()
         for k in range(0, len(held.keys), 1 << 16):
             part = slice(k, k + (1 << 16))

@@ -130,3 +130,16 @@ def test_large_logits_do_not_overflow(spark):
                                "l array<double>")
     got = [r[0] for r in df.select(models.class_one(F.col("l"))).collect()]
     assert got[0] == pytest.approx(0.0) and got[1] == pytest.approx(0.0) and got[2] == 1.0
+
+
+def test_arrays_are_worked_on_a_few_values_at_a_time():
+    import pyarrow as pa
+
+    from baitline.operators.heavy_hitters import few_values
+
+    ids = [[1] * 6, None, [], [2] * 3, [3] * 25, [4], [5] * 9]
+    batch = pa.RecordBatch.from_pydict({"a": pa.array(ids, pa.list_(pa.int64())), "b": pa.array(ids, pa.list_(pa.int64()))})
+    cut = list(few_values(batch, ["a", "b"], 20))
+    assert [v for b in cut for v in b.column(0).to_pylist()] == ids
+    assert all(b.num_rows == 1 or 2 * len(b.column(0).flatten()) <= 20 for b in cut) and len(cut) > 3
+    assert [len(b.column(0).flatten()) for b in few_values(batch, [0], 1 << 18)] == [44]
