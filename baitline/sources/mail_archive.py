@@ -40,7 +40,7 @@ SCHEMA = "path string, place long, content binary, error string"
 _ARROW = pa.schema([("path", pa.string()), ("place", pa.int64()), ("content", pa.binary()), ("error", pa.string())])
 SPLIT_BYTES = 64 << 20
 OPEN_COST = 256 << 10     # what opening a file costs, in bytes read
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 CHUNK = 1 << 20
 _BEGIN = re.compile(rb"(?:\A|(?<=\n\n)|(?<=\n\r\n))From ")
 _QUOTED_FROM = re.compile(rb"(?m)^>(>*From )")
@@ -316,10 +316,11 @@ def write_boxes(mails: DataFrame, path: str) -> None:
         staged, n = f"{own}/_part-{task.partitionId():05d}-{task.taskAttemptId()}", 0
         with system.open_output_stream(staged) as out:
             for batch in batches:
-                for content in batch.column(0).to_pylist():
-                    body = re.sub(rb"(?m)^(>*From )", rb">\1", content or b"")
+                for content in batch.column(0):
+                    body = re.sub(rb"(?m)^(>*From )", rb">\1", content.as_py() or b"")
                     out.write(b"From - Thu Jan  1 00:00:00 1970\n" + body + (b"\n" if body.endswith(b"\n") else b"\n\n"))
                     n += 1
+                pa.default_memory_pool().release_unused()
         system.move(staged, name) if n else system.delete_file(staged)
         yield pa.RecordBatch.from_arrays([pa.array([n])], names=["n"])
 

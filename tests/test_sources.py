@@ -175,3 +175,21 @@ def test_stream_takes_each_file_once_and_goes_on_after_a_restart(spark, tmp_path
     assert drained() == ["n1", "n2", "n3"]
     whole = mail_to_training(decode_mail(mail_archive.read_archive(spark, str(folder))))
     assert sorted(r.urls for r in whole.collect()) == sorted(r.urls for r in spark.read.parquet(out).collect())
+
+
+def test_mails_are_decoded_and_read_a_few_megabytes_at_a_time(tmp_path):
+    import pyarrow as pa
+
+    from baitline.operators import datasets
+    from baitline.sources import mail_archive
+
+    mails = [b"From: A <a@b.org>\r\nSubject: s%d\r\n\r\n" % i + b"text " * 4000 for i in range(500)]
+    batch = pa.RecordBatch.from_pydict({"path": [f"{i}.eml" for i in range(501)], "place": [0] * 501,
+                                        "content": [*mails, None], "error": [None] * 501})
+    found = list(datasets._decoded(iter([batch])))
+    assert [r["subject"] for b in found for r in b.to_pylist()] == [*(f"s{i}" for i in range(500)), None]
+    assert found[-1].to_pylist()[-1]["error"] == "no content" and max(b.nbytes for b in found) < 3 << 20
+    (tmp_path / "a.mbox").write_bytes(b"\n".join(b"From - x\n" + m + b"\n" for m in mails))
+    split = mail_archive.pack(mail_archive.list_files(str(tmp_path), ["*.mbox"], False), 64 << 20)[0]
+    read = list(mail_archive.read_split(split))
+    assert [m.rstrip(b"\n") for b in read for m in b.column("content").to_pylist()] == mails and max(b.nbytes for b in read) < 3 << 20
