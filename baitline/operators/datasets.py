@@ -25,6 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LINK_IN_TEXT = rf"(?i)https?://[^{SPACE_CLASS[1:-1]}\"'<>]+"
 TAG = r"<[^>]+>"
+DECODED_BYTES = 2 << 20  # of mails whose parts a task gathers before it hands them on
 
 _PARTS = pa.schema([
     ("path", pa.string()), ("place", pa.int64()), ("from_header", pa.string()), ("subject", pa.string()),
@@ -79,33 +80,42 @@ def _read_message(path: str, content: bytes, parser: BytesParser | None = None)
             "subject": _clean(str(message.get("Subject", ""))), "multipart": multipart, "parts": parts}
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, place, content, error) -> the rows of ``decode_mail``, a few megabytes of mails at a time."""
+    policy, known = _remembering_policy()
+    parser = BytesParser(policy=policy)
+    rows, size = [], 0
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]  # one mail is decoded at a time
+            known.clear()
+            found = {"path": row["path"], "place": row["place"], "error": row["error"]}
+            if row["error"] is None and row["content"] is None:
+                found["error"] = "no content"
+            elif row["error"] is None:
+                try:
+                    found.update(_read_message(row["path"], row["content"], parser))
+                except Exception as e:
+                    found["error"] = f"{type(e).__name__}: {_clean(str(e))}"
+            rows.append(found)
+            size += len(row["content"] or b"") + 256
+            if size >= DECODED_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, schema=_PARTS)
+                rows, size = [], 0
+        pa.default_memory_pool().release_unused()
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema=_PARTS)
+
+
 def decode_mail(files: DataFrame) -> DataFrame:
     """(path, content) -> headers and decoded parts, or ``error`` where a mail cannot be read.
 
     ``place`` and ``error`` of an archive are taken over; a null content without an error is one.
     Only the MIME codec runs in Python.
     """
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        policy, known = _remembering_policy()
-        parser = BytesParser(policy=policy)
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                known.clear()
-                found = {"path": row["path"], "place": row["place"], "error": row["error"]}
-                if row["error"] is None and row["content"] is None:
-                    found["error"] = "no content"
-                elif row["error"] is None:
-                    try:
-                        found.update(_read_message(row["path"], row["content"], parser))
-                    except Exception as e:
-                        found["error"] = f"{type(e).__name__}: {_clean(str(e))}"
-                rows.append(found)
-            yield pa.RecordBatch.from_pylist(rows, schema=_PARTS)
-
     place = F.col("place") if "place" in files.columns else F.lit(0).cast("long").alias("place")
     error = F.col("error") if "error" in files.columns else F.lit(None).cast("string").alias("error")
-    return files.select("path", place, "content", error).mapInArrow(decode, _PARTS_DDL)
+    return files.select("path", place, "content", error).mapInArrow(_decoded, _PARTS_DDL)
 
 
 def rejected_mail(decoded: DataFrame) -> DataFrame:
